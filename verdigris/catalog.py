@@ -230,3 +230,237 @@ def q_label_map(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the class distribution (replaced once training lands)."""
     return QUERIES["class_distribution"](spark, sf_dir)
+
+
+# ---------------------------------------------------------------- scaling ----
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.classification import NaiveBayes  # noqa: E402
+
+from verdigris.functions.vectors import to_vector  # noqa: E402
+from verdigris.operators import decode as DEC  # noqa: E402
+from verdigris.operators import evaluate as EV  # noqa: E402
+from verdigris.operators import features as FE  # noqa: E402
+from verdigris.operators import train as TR  # noqa: E402
+
+_SCALE_COLS = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+def _minmax_sql(c: str) -> str:
+    return (f"round(CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0.5 ELSE "
+            f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 6) AS {c}_mm")
+
+
+def _std_sql(c: str) -> str:
+    return (f"round(CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0.0 ELSE "
+            f"{c} / stddev_samp({c}) OVER () END, 6) AS {c}_std")
+
+
+@register("minmax_scale", f"""
+SELECT l_orderkey, l_linenumber, {', '.join(_minmax_sql(c) for c in _SCALE_COLS)} FROM lineitem
+""")
+def q_minmax_scale(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_SCALE_COLS)
+    return FE.scale_columns(li, _SCALE_COLS, "minmax").drop(*_SCALE_COLS)
+
+
+@register("standard_scale", f"""
+SELECT l_orderkey, l_linenumber, {', '.join(_std_sql(c) for c in _SCALE_COLS)} FROM lineitem
+""")
+def q_standard_scale(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_SCALE_COLS)
+    return FE.scale_columns(li, _SCALE_COLS, "standard").drop(*_SCALE_COLS)
+
+
+# ------------------------------------------------------------- evaluation ----
+
+_RULE_PRED_SQL = """
+SELECT l.quality AS label, CAST(d.n_chars > 600 AS INTEGER) AS prediction
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+def _rule_predictions(spark, sf_dir, threshold: int = 600) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return (docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+                .select(F.col("quality").alias("label"),
+                        (F.col("n_chars") > threshold).cast("int").alias("prediction")))
+
+
+def _metrics_sql(pred_sql: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    on = f" AND t.{group} = q.{group}" if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""
+WITH p AS ({pred_sql}),
+cells AS (SELECT {g}label, prediction, count(*) AS n FROM p GROUP BY ALL),
+t AS (SELECT {g}label, sum(n) AS n_true,
+             sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS hits
+      FROM cells GROUP BY ALL),
+q AS (SELECT {g}prediction AS label, sum(n) AS n_pred FROM cells GROUP BY ALL),
+c AS (SELECT t.*, coalesce(q.n_pred, 0) AS n_pred2, t.hits / t.n_true AS rec,
+             CASE WHEN coalesce(q.n_pred, 0) = 0 THEN 0.0 ELSE t.hits / q.n_pred END AS prec
+      FROM t LEFT JOIN q ON t.label = q.label{on}),
+f AS (SELECT *, CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END AS f1 FROM c)
+SELECT {g}round(sum(hits) / sum(n_true), 6) AS accuracy,
+       round(sum(n_true * prec) / sum(n_true), 6) AS weighted_precision,
+       round(sum(n_true * rec) / sum(n_true), 6) AS weighted_recall,
+       round(sum(n_true * f1) / sum(n_true), 6) AS weighted_f1
+FROM f {gb}
+"""
+
+
+@register("confusion_matrix", f"""
+SELECT label, prediction, count(*) AS n FROM ({_RULE_PRED_SQL}) GROUP BY label, prediction
+""")
+def q_confusion_matrix(spark, sf_dir):
+    return EV.confusion_cells(_rule_predictions(spark, sf_dir), "label", "prediction")
+
+
+@register("accuracy", f"""
+SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM ({_RULE_PRED_SQL})
+""")
+def q_accuracy(spark, sf_dir):
+    return EV.accuracy(_rule_predictions(spark, sf_dir), "label", "prediction")
+
+
+@register("weighted_metrics", _metrics_sql(_RULE_PRED_SQL))
+def q_weighted_metrics(spark, sf_dir):
+    return EV.evaluate(_rule_predictions(spark, sf_dir), "label", "prediction")
+
+
+# rule "models" scored like classifiers: (name, registration order, threshold)
+_RULE_MODELS = (("rule_400", 0, 400), ("rule_600", 1, 600), ("rule_800", 2, 800))
+_RULES_SQL = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, {o} AS ord, l.quality AS label, "
+    f"CAST(d.n_chars > {t} AS INTEGER) AS prediction "
+    f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id" for m, o, t in _RULE_MODELS)
+
+
+@register("best_model", f"""
+WITH m AS ({_metrics_sql(_RULES_SQL, 'model')}),
+o AS (SELECT DISTINCT model, ord FROM ({_RULES_SQL}))
+SELECT m.model, m.accuracy, m.weighted_precision, m.weighted_recall, m.weighted_f1, o.ord
+FROM m JOIN o ON m.model = o.model
+ORDER BY m.accuracy DESC, o.ord ASC LIMIT 1
+""")
+def q_best_model(spark, sf_dir):
+    preds = D.union_all([
+        _rule_predictions(spark, sf_dir, t).withColumn("model", F.lit(m)).withColumn("ord", F.lit(o))
+        for m, o, t in _RULE_MODELS])
+    metrics = EV.evaluate(preds, "label", "prediction", group_cols=("model", "ord"))
+    return EV.best_model(metrics, "accuracy", "ord")
+
+
+# --------------------------------------------------------- naive bayes ----
+
+def _embedding_features(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("label").cast("double").alias("label_index"),
+        to_vector("embedding").alias("features"))
+
+
+def _fit_nb_minmax(spark, sf_dir):
+    feats = _embedding_features(spark, sf_dir)
+    nb = NaiveBayes(featuresCol="features_mm", labelCol="label_index",
+                    **TR.PRESET_PARAMS[TR.NAIVE_BAYES])
+    model = Pipeline(stages=[FE.minmax_stage("features", "features_mm"), nb]).fit(feats)
+    return model.transform(feats)
+
+
+_NB_SQL = """
+WITH x AS (
+  SELECT vec_id, label, unnest(range(len(embedding))) AS j, CAST(unnest(embedding) AS DOUBLE) AS v
+  FROM embeddings),
+mm AS (SELECT j, min(v) AS mn, max(v) AS mx FROM x GROUP BY j),
+s AS (SELECT x.vec_id, x.label, x.j,
+             CASE WHEN mm.mx = mm.mn THEN 0.5 ELSE (x.v - mm.mn) / (mm.mx - mm.mn) END AS s
+      FROM x JOIN mm ON x.j = mm.j),
+sc AS (SELECT label, j, sum(s) AS t FROM s GROUP BY label, j),
+tot AS (SELECT label, sum(t) AS tt FROM sc GROUP BY label),
+nf AS (SELECT count(*) AS f FROM mm),
+th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + nf.f * 1.0) AS theta
+       FROM sc JOIN tot ON sc.label = tot.label CROSS JOIN nf),
+cn AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+k AS (SELECT count(*) AS k, sum(n) AS n FROM cn),
+pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln(k.n + k.k * 1.0) AS pi FROM cn CROSS JOIN k),
+dot AS (SELECT s.vec_id, th.label AS c, sum(s.s * th.theta) AS d
+        FROM s JOIN th ON s.j = th.j GROUP BY s.vec_id, th.label),
+raw AS (SELECT dot.vec_id, dot.c, dot.d + pr.pi AS raw FROM dot JOIN pr ON dot.c = pr.label),
+ranked AS (SELECT vec_id, c, raw,
+                  row_number() OVER (PARTITION BY vec_id ORDER BY raw DESC, c ASC) AS r,
+                  max(raw) OVER (PARTITION BY vec_id) AS mx
+           FROM raw)
+"""
+
+
+@register("train_nb", _NB_SQL + """
+SELECT vec_id, CAST(c AS DOUBLE) AS prediction FROM ranked WHERE r = 1
+""")
+def q_train_nb(spark, sf_dir):
+    return _fit_nb_minmax(spark, sf_dir).select("vec_id", "prediction")
+
+
+@register("confidence", _NB_SQL + """
+SELECT vec_id, round(100.0 / sum(exp(raw - mx)), 1) AS confidence FROM ranked GROUP BY vec_id
+""")
+def q_confidence(spark, sf_dir):
+    pred = DEC.add_confidence(_fit_nb_minmax(spark, sf_dir))
+    return pred.select("vec_id", "confidence")
+
+
+@register("decode_label", """
+WITH c AS (SELECT CAST(label AS VARCHAR) AS label, count(*) AS n FROM embeddings GROUP BY 1),
+m AS (SELECT row_number() OVER (ORDER BY n DESC, label) - 1 AS idx, label AS name FROM c),
+m2 AS (SELECT * FROM m WHERE idx < (SELECT count(*) FROM c) - 2)
+SELECT e.vec_id, CAST(e.label AS VARCHAR) AS class_index,
+       coalesce(m2.name, 'class_' || CAST(e.label AS VARCHAR)) AS prediction_label
+FROM embeddings e LEFT JOIN m2 ON e.label = m2.idx
+""")
+def q_decode_label(spark, sf_dir):
+    from pyspark.sql import Window
+    emb = table(spark, sf_dir, "embeddings")
+    full = D.label_map(emb.withColumn("label", F.col("label").cast("string")), "label")
+    # a map that lacks the two least frequent classes
+    partial = (full.withColumn("__k", F.count(F.lit(1)).over(Window.partitionBy()))
+                   .where(F.col("label_index") < F.col("__k") - 2).drop("__k"))
+    pred = emb.select("vec_id", F.col("label").cast("double").alias("prediction"))
+    return DEC.decode_prediction(pred, partial).select("vec_id", "class_index", "prediction_label")
+
+
+# ------------------------------------------- iterative models: invariants ----
+
+_INV_SQL = """
+SELECT vec_id, true AS present_once, true AS probability_sums_to_one,
+       true AS prediction_is_argmax
+FROM embeddings
+"""
+
+
+def model_invariants(pred: DataFrame, key_col: str) -> DataFrame:
+    """Per key: occurs once, probabilities sum to 1, prediction = arg-max."""
+    from verdigris.functions.vectors import to_array
+    arr = to_array("probability")
+    checks = pred.select(
+        key_col,
+        (F.abs(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) - 1.0) < 1e-9).alias("__p"),
+        ((F.array_position(arr, F.array_max(arr)) - 1).cast("double")
+         == F.col("prediction")).alias("__a"))
+    return checks.groupBy(key_col).agg(
+        (F.count(F.lit(1)) == 1).alias("present_once"),
+        F.bool_and("__p").alias("probability_sums_to_one"),
+        F.bool_and("__a").alias("prediction_is_argmax"))
+
+
+def _train_invariants(spark, sf_dir, name):
+    feats = _embedding_features(spark, sf_dir)
+    split = D.hash_split(feats, "vec_id", 0.8, SEED)
+    train = split.where(F.col("split") == "train")
+    fit = TR.fit_preset(name, train)
+    return model_invariants(fit.model.transform(feats), "vec_id")
+
+
+for _q, _name in (("train_lr", TR.LOGISTIC_REGRESSION), ("train_dt", TR.DECISION_TREE),
+                  ("train_rf", TR.RANDOM_FOREST)):
+    register(_q, _INV_SQL)(lambda spark, sf_dir, _n=_name: _train_invariants(spark, sf_dir, _n))
