@@ -464,3 +464,97 @@ def _train_invariants(spark, sf_dir, name):
 for _q, _name in (("train_lr", TR.LOGISTIC_REGRESSION), ("train_dt", TR.DECISION_TREE),
                   ("train_rf", TR.RANDOM_FOREST)):
     register(_q, _INV_SQL)(lambda spark, sf_dir, _n=_name: _train_invariants(spark, sf_dir, _n))
+
+
+# ------------------------------------------------------------------ pixels ----
+
+from verdigris.operators import pixels as PX  # noqa: E402
+
+EMB_SIDE = 8  # 64 embedding values -> an 8 x 8 image
+
+
+def embeddings_as_images(emb: DataFrame, corrupt: bool = False) -> DataFrame:
+    """``embeddings`` rows -> image structs (8 x 8, 3 channels, BGR), built in the JVM.
+
+    Values are quantised q = clip(floor(v * 255 + 128), 0, 255); pixel i has
+    B = q[i], G = q[(i+1) % 64], R = q[(i+2) % 64].  The origin is a file name
+    carrying the class (``.../v<id>___C<label> 0.png``).  With ``corrupt=True``
+    class-0 images lose their last byte and class-1 images claim 2 channels.
+    """
+    n = EMB_SIDE * EMB_SIDE
+    q = F.transform("embedding", lambda v: F.least(F.greatest(
+        F.floor(v.cast("double") * 255.0 + 128.0), F.lit(0)), F.lit(255)))
+    hexs = F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(3 * n - 1)),
+        lambda k: F.lpad(F.hex(F.element_at(F.col("__q"), ((F.floor(k / 3) + k % 3) % n + 1).cast("int"))),
+                         2, "0")), "")
+    data = F.unhex(F.col("__hex"))
+    channels = F.lit(3)
+    if corrupt:
+        data = F.when(F.col("label") == 0, F.substring(data, 1, 3 * n - 1)).otherwise(data)
+        channels = F.when(F.col("label") == 1, F.lit(2)).otherwise(F.lit(3))
+    origin = F.concat(F.lit("file:///data/images/v"), F.col("vec_id").cast("string"),
+                      F.lit("___C"), F.col("label").cast("string"), F.lit(" 0.png"))
+    return (emb.withColumn("__q", q).withColumn("__hex", hexs)
+               .select("vec_id", "label", F.struct(
+                   origin.alias("origin"), F.lit(EMB_SIDE).alias("height"),
+                   F.lit(EMB_SIDE).alias("width"), channels.alias("nChannels"),
+                   F.lit(PX.MODE_BGR).alias("mode"), data.alias("data")).alias("image")))
+
+
+def _emb_images(spark, sf_dir, corrupt=False):
+    return embeddings_as_images(table(spark, sf_dir, "embeddings"), corrupt)
+
+
+def _q(expr: str) -> str:
+    return f"least(greatest(floor(CAST({expr} AS DOUBLE) * 255 + 128), 0), 255)::INTEGER"
+
+
+_LUMA_SQL = f"""
+WITH p AS (SELECT vec_id, embedding AS e, unnest(range(64)) AS i FROM embeddings),
+c AS (SELECT vec_id, i, {_q('e[i + 1]')} AS b, {_q('e[(i + 1) % 64 + 1]')} AS g,
+             {_q('e[(i + 2) % 64 + 1]')} AS r FROM p),
+l AS (SELECT vec_id, i, (r * {PX.LUMA_R} + g * {PX.LUMA_G} + b * {PX.LUMA_B} + {PX.LUMA_ROUND})
+                        // {1 << PX.LUMA_SHIFT} AS luma FROM c)
+"""
+
+
+@register("grayscale", _LUMA_SQL + """
+SELECT vec_id, string_agg(printf('%02X', luma), '' ORDER BY i) AS gray_hex,
+       8 AS height, 8 AS width, 1 AS channels
+FROM l GROUP BY vec_id
+""")
+def q_grayscale(spark, sf_dir):
+    g = PX.grayscale(_emb_images(spark, sf_dir))
+    return g.select("vec_id", F.hex("image.data").alias("gray_hex"),
+                    F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                    F.col("image.nChannels").alias("channels"))
+
+
+@register("flatten_normalise", _LUMA_SQL + """
+SELECT vec_id, i, round(CAST(CAST(luma AS FLOAT) / CAST(255 AS FLOAT) AS DOUBLE), 5) AS value FROM l
+""")
+def q_flatten_normalise(spark, sf_dir):
+    f = PX.flatten_normalise(_emb_images(spark, sf_dir))
+    return f.select("vec_id", F.posexplode("features").alias("i", "v")) \
+        .select("vec_id", F.col("i").cast("bigint").alias("i"),
+                F.round(F.col("v").cast("double"), 5).alias("value"))
+
+
+@register("resize_box", _LUMA_SQL + """
+, cells AS (SELECT vec_id, (i // 16) * 4 + (i % 8) // 2 AS cell, (sum(luma) + 2) // 4 AS v
+            FROM l GROUP BY vec_id, cell)
+SELECT vec_id, string_agg(printf('%02X', v), '' ORDER BY cell) AS small_hex FROM cells GROUP BY vec_id
+""")
+def q_resize_box(spark, sf_dir):
+    r = PX.resize(_emb_images(spark, sf_dir), 4, filter="box")
+    return r.select("vec_id", F.hex("image.data").alias("small_hex"))
+
+
+@register("image_rejects", """
+SELECT vec_id, CASE label WHEN 0 THEN 'size_mismatch' ELSE 'unsupported_channels' END AS reason
+FROM embeddings WHERE label IN (0, 1)
+""")
+def q_image_rejects(spark, sf_dir):
+    return PX.image_rejects(_emb_images(spark, sf_dir, corrupt=True), keep=["vec_id"]) \
+        .select("vec_id", "reason")
