@@ -227,11 +227,6 @@ def q_label_map(spark, sf_dir):
     return D.label_map(table(spark, sf_dir, "documents"), "lang")
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: the class distribution (replaced once training lands)."""
-    return QUERIES["class_distribution"](spark, sf_dir)
-
-
 # ---------------------------------------------------------------- scaling ----
 
 from pyspark.ml import Pipeline  # noqa: E402
@@ -558,3 +553,146 @@ FROM embeddings WHERE label IN (0, 1)
 def q_image_rejects(spark, sf_dir):
     return PX.image_rejects(_emb_images(spark, sf_dir, corrupt=True), keep=["vec_id"]) \
         .select("vec_id", "reason")
+
+
+# ------------------------------------------------------------ scoring ----
+
+from verdigris.operators import partitions as PT  # noqa: E402
+from verdigris.plans import score as SC  # noqa: E402
+
+
+@register("score_batch", """
+SELECT vec_id, true AS present_once, true AS known_class, true AS confidence_in_range
+FROM embeddings
+""")
+def q_score_batch(spark, sf_dir):
+    """Images -> features -> label from file name -> index -> NB pipeline
+    (train split) -> score every image; checked by invariants."""
+    images = _emb_images(spark, sf_dir)
+    feats = PX.image_features(images, size=PX.DEFAULT_SIZE, keep_origin="origin")
+    feats = feats.withColumn("label", L.label_from_name("origin"))
+    indexed, indexer = D.index_labels(feats, "label", "label_index")
+    split = D.hash_split(indexed, "vec_id", 0.8, SEED)
+    train = split.where(F.col("split") == "train").withColumn("features", to_vector("features"))
+    model = TR.fit_preset(TR.NAIVE_BAYES, train).model
+    scored = SC.score_images(images, model, D.indexer_label_map(indexer), TR.NAIVE_BAYES,
+                             keep=("vec_id",))
+    k = len(indexer.labels)
+    return scored.groupBy("vec_id").agg(
+        (F.count(F.lit(1)) == 1).alias("present_once"),
+        F.bool_and(F.col("class_index").cast("int").between(0, k - 1)
+                   & ~F.col("prediction_label").startswith("class_")).alias("known_class"),
+        F.bool_and(F.col("confidence").between(0.0, 100.0)).alias("confidence_in_range"))
+
+
+# ------------------------------------------------------------- partitions ----
+
+@register("partition_profile", """
+SELECT 8 AS n_partitions, count(*) AS total_rows FROM lineitem
+""")
+def q_partition_profile(spark, sf_dir):
+    return PT.partition_profile(table(spark, sf_dir, "lineitem"), 8) \
+        .select("n_partitions", "total_rows")
+
+
+@register("partition_sweep")
+def q_partition_sweep(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    feats = _embedding_features(spark, sf_dir)
+    split = D.hash_split(feats, "vec_id", 0.8, SEED)
+    train = split.where(F.col("split") == "train")
+    test = split.where(F.col("split") == "test")
+
+    def pipeline():
+        return Pipeline(stages=[LogisticRegression(featuresCol="features", labelCol="label_index",
+                                                   **TR.SWEEP_LR_PARAMS)])
+    return PT.partition_sweep(train, test, pipeline, PT.SWEEP_COUNTS, warmup=True)
+
+
+_GUARD_REASON = PT.SKIP_REASON.split("{n}")
+
+
+@register("sweep_guard", f"""
+WITH s AS (SELECT l.quality, l.toxic, {_HASH_SPLIT_SQL} AS split FROM labels l),
+c AS (SELECT quality, toxic, count(*) FILTER (WHERE split = 'train') AS train_rows,
+             count(*) FILTER (WHERE split = 'test') AS test_rows FROM s GROUP BY quality, toxic)
+SELECT quality, toxic, train_rows, test_rows, train_rows < {PT.MIN_TRAIN_ROWS} AS skipped,
+       CASE WHEN train_rows < {PT.MIN_TRAIN_ROWS}
+            THEN '{_GUARD_REASON[0]}' || CAST(train_rows AS VARCHAR) || '{_GUARD_REASON[1]}' END AS reason
+FROM c
+""")
+def q_sweep_guard(spark, sf_dir):
+    """Which groups (quality x toxic) have too few training rows to train on."""
+    lab = D.hash_split(table(spark, sf_dir, "labels"), "doc_id", 0.8, SEED)
+    return PT.guard_rows(lab, "split", ("quality", "toxic"))
+
+
+# --------------------------------------------------------------- flagship ----
+
+from verdigris.operators.features import UnitClip  # noqa: E402
+
+_FLAGSHIP_SQL = f"""
+WITH c0 AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+bal AS (SELECT vec_id, label, embedding FROM (
+          SELECT e.*, row_number() OVER (PARTITION BY label ORDER BY {_md5_order('vec_id')}, vec_id) AS rn
+          FROM embeddings e) WHERE rn <= (SELECT 2 * min(n) FROM c0)),
+sp AS (SELECT *, substr({_md5_order('vec_id')}, 1, 8) < '{D.split_threshold_hex(0.8)}' AS is_train FROM bal),
+x AS (SELECT vec_id, label, is_train, unnest(range(len(embedding))) AS j,
+             CAST(unnest(embedding) AS DOUBLE) AS v FROM sp),
+mm AS (SELECT j, min(v) AS mn, max(v) AS mx FROM x WHERE is_train GROUP BY j),
+s AS (SELECT x.vec_id, x.label, x.is_train, x.j,
+             CASE WHEN mm.mx = mm.mn THEN 0.5
+                  ELSE least(greatest((x.v - mm.mn) / (mm.mx - mm.mn), 0.0), 1.0) END AS s
+      FROM x JOIN mm ON x.j = mm.j),
+sc AS (SELECT label, j, sum(s) AS t FROM s WHERE is_train GROUP BY label, j),
+tot AS (SELECT label, sum(t) AS tt FROM sc GROUP BY label),
+nf AS (SELECT count(*) AS f FROM mm),
+th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + nf.f * 1.0) AS theta
+       FROM sc JOIN tot ON sc.label = tot.label CROSS JOIN nf),
+cn AS (SELECT label, count(*) AS n FROM sp WHERE is_train GROUP BY label),
+k AS (SELECT count(*) AS k, sum(n) AS n FROM cn),
+pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln(k.n + k.k * 1.0) AS pi FROM cn CROSS JOIN k),
+dot AS (SELECT s.vec_id, s.label AS truth, th.label AS c, sum(s.s * th.theta) AS d
+        FROM s JOIN th ON s.j = th.j WHERE NOT s.is_train GROUP BY s.vec_id, s.label, th.label),
+raw AS (SELECT dot.vec_id, dot.truth, dot.c, dot.d + pr.pi AS raw FROM dot JOIN pr ON dot.c = pr.label),
+pred AS (SELECT truth AS label, c AS prediction FROM (
+           SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY raw DESC, c ASC) AS r FROM raw)
+         WHERE r = 1),
+cells AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY ALL),
+t AS (SELECT label, sum(n) AS n_true, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS hits
+      FROM cells GROUP BY label),
+q AS (SELECT prediction AS label, sum(n) AS n_pred FROM cells GROUP BY prediction),
+m AS (SELECT t.label, t.n_true, coalesce(q.n_pred, 0) AS n_pred, t.hits,
+             CASE WHEN coalesce(q.n_pred, 0) = 0 THEN 0.0 ELSE t.hits / q.n_pred END AS prec,
+             t.hits / t.n_true AS rec
+      FROM t LEFT JOIN q ON t.label = q.label)
+SELECT CAST(label AS DOUBLE) AS label, CAST(n_true AS BIGINT) AS n_true,
+       CAST(n_pred AS BIGINT) AS n_pred, CAST(hits AS BIGINT) AS hits,
+       round(prec, 6) AS precision, round(rec, 6) AS recall,
+       round(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2 * prec * rec / (prec + rec) END, 6) AS f1
+FROM m
+"""
+
+
+@register("flagship_nb_per_class", _FLAGSHIP_SQL)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings -> exact balance -> hash split -> [min-max (train only), clip,
+    Naive Bayes] -> per-class precision / recall / F1 on the test rows."""
+    emb = table(spark, sf_dir, "embeddings")
+    bal = D.balance_exact(emb, "label", "vec_id", factor=2, seed=SEED)
+    rows = D.hash_split(bal, "vec_id", 0.8, SEED).select(
+        "vec_id", "split", F.col("label").cast("double").alias("label_index"),
+        to_vector("embedding").alias("features"))
+    train = rows.where(F.col("split") == "train")
+    test = rows.where(F.col("split") == "test")
+    nb = NaiveBayes(featuresCol="features_clip", labelCol="label_index",
+                    **TR.PRESET_PARAMS[TR.NAIVE_BAYES])
+    model = Pipeline(stages=[FE.minmax_stage("features", "features_mm"),
+                             UnitClip(inputCol="features_mm", outputCol="features_clip"),
+                             nb]).fit(train)
+    cells = EV.confusion_cells(model.transform(test), "label_index", "prediction")
+    per = EV.per_class_metrics(cells)
+    return per.select("label", F.col("n_true").cast("long"), F.col("n_pred").cast("long"),
+                      F.col("hits").cast("long"),
+                      *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
