@@ -477,21 +477,21 @@ def embeddings_as_images(emb: DataFrame, corrupt: bool = False) -> DataFrame:
     class-0 images lose their last byte and class-1 images claim 2 channels.
     """
     n = EMB_SIDE * EMB_SIDE
-    q = F.transform("embedding", lambda v: F.least(F.greatest(
-        F.floor(v.cast("double") * 255.0 + 128.0), F.lit(0)), F.lit(255)))
-    hexs = F.array_join(F.transform(
-        F.sequence(F.lit(0), F.lit(3 * n - 1)),
-        lambda k: F.lpad(F.hex(F.element_at(F.col("__q"), ((F.floor(k / 3) + k % 3) % n + 1).cast("int"))),
-                         2, "0")), "")
-    data = F.unhex(F.col("__hex"))
+    # two hex digits per quantised value; G and R are the same list rotated
+    hq = F.transform("embedding", lambda v: F.lpad(F.hex(F.least(F.greatest(
+        F.floor(v.cast("double") * 255.0 + 128.0), F.lit(0)), F.lit(255))), 2, "0"))
+    g = F.concat(F.slice(hq, 2, n - 1), F.slice(hq, 1, 1))
+    r = F.concat(F.slice(hq, 3, n - 2), F.slice(hq, 1, 2))
+    bgr = F.zip_with(F.zip_with(hq, g, lambda x, y: F.concat(x, y)), r,
+                     lambda xy, z: F.concat(xy, z))
+    data = F.unhex(F.array_join(bgr, ""))
     channels = F.lit(3)
     if corrupt:
         data = F.when(F.col("label") == 0, F.substring(data, 1, 3 * n - 1)).otherwise(data)
         channels = F.when(F.col("label") == 1, F.lit(2)).otherwise(F.lit(3))
     origin = F.concat(F.lit("file:///data/images/v"), F.col("vec_id").cast("string"),
                       F.lit("___C"), F.col("label").cast("string"), F.lit(" 0.png"))
-    return (emb.withColumn("__q", q).withColumn("__hex", hexs)
-               .select("vec_id", "label", F.struct(
+    return (emb.select("vec_id", "label", F.struct(
                    origin.alias("origin"), F.lit(EMB_SIDE).alias("height"),
                    F.lit(EMB_SIDE).alias("width"), channels.alias("nChannels"),
                    F.lit(PX.MODE_BGR).alias("mode"), data.alias("data")).alias("image")))
@@ -559,6 +559,7 @@ def q_image_rejects(spark, sf_dir):
 
 from verdigris.operators import partitions as PT  # noqa: E402
 from verdigris.plans import score as SC  # noqa: E402
+from verdigris.session import materialize  # noqa: E402
 
 
 @register("score_batch", """
@@ -570,11 +571,12 @@ def q_score_batch(spark, sf_dir):
     (train split) -> score every image; checked by invariants."""
     images = _emb_images(spark, sf_dir)
     feats = PX.image_features(images, size=PX.DEFAULT_SIZE, keep_origin="origin")
-    feats = feats.withColumn("label", L.label_from_name("origin"))
+    # pixels are computed once; fits and scoring re-read the written table
+    feats = materialize(feats.withColumn("label", L.label_from_name("origin")), "features")
     indexed, indexer = D.index_labels(feats, "label", "label_index")
     split = D.hash_split(indexed, "vec_id", 0.8, SEED)
     train = split.where(F.col("split") == "train").withColumn("features", to_vector("features"))
-    model = TR.fit_preset(TR.NAIVE_BAYES, train).model
+    model = TR.fit_preset(TR.NAIVE_BAYES, PT.spread(train)).model
     scored = SC.score_images(images, model, D.indexer_label_map(indexer), TR.NAIVE_BAYES,
                              keep=("vec_id",))
     k = len(indexer.labels)

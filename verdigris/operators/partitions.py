@@ -31,6 +31,19 @@ SWEEP_SCHEMA = T.StructType([
 ])
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Ensure CPU-heavy work (pixels, model fitting) has at least
+    ``min_partitions`` (default: the cluster's parallelism) partitions.
+
+    A round-robin repartition happens only when the input has fewer
+    partitions than that, i.e. for small inputs; large scans already have
+    more and are left untouched (no shuffle of image bytes)."""
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per physical partition (``spark_partition_id``), one aggregation."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

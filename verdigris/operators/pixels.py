@@ -171,6 +171,8 @@ def valid_images(df: DataFrame, image_col: str = "image") -> DataFrame:
 # --------------------------------------------------------------------------
 
 def _flatten(df: DataFrame, image_col: str) -> tuple[DataFrame, list[T.StructField]]:
+    from verdigris.operators.partitions import spread
+    df = spread(df)
     rest = [f for f in df.schema.fields if f.name != image_col]
     im = F.col(image_col)
     flat = df.select(*[F.col(f.name) for f in rest],

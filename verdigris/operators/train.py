@@ -84,5 +84,6 @@ def fit_timed(pipeline: Pipeline, train: DataFrame, name: str = "model") -> FitR
 
 def fit_preset(name: str, train: DataFrame, input_col: str = "features",
                label_col: str = "label_index", scale: bool = True, **overrides) -> FitResult:
+    from verdigris.operators.partitions import spread
     clf = classifier(name, label_col=label_col, **overrides)
-    return fit_timed(make_pipeline(clf, input_col, scale), train, name)
+    return fit_timed(make_pipeline(clf, input_col, scale), spread(train), name)

@@ -12,6 +12,7 @@ from verdigris.functions.vectors import to_vector
 from verdigris.operators import dataset as D
 from verdigris.operators import evaluate as EV
 from verdigris.operators import train as TR
+from verdigris.operators.partitions import spread
 from verdigris.plans.registry import ModelRegistry
 
 
@@ -29,7 +30,7 @@ def train_and_compare(train: DataFrame, test: DataFrame,
 
     Returns (metrics table ordered by accuracy, {name: FitResult}).  With a
     registry, each model is saved and its metrics row appended."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         D.require_rows(train, "no training rows")
