@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
-from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, StandardScaler
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -52,21 +52,32 @@ class UnitClip(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, De
 
 def scale_columns(df: DataFrame, cols: Sequence[str], method: str = "minmax",
                   suffix: str | None = None, digits: int | None = 6) -> DataFrame:
-    """Scale numeric columns with the same MLlib scalers used on pixel vectors.
+    """Scale numeric columns with the scalers' rules (min-max: constant -> 0.5;
+    standard: x / sample std, constant -> 0.0).
 
-    The columns are assembled into one vector, the scaler is fit in a single
-    aggregation pass, and the result is split back into ``<col><suffix>``.
-    """
+    One codegen'd aggregation computes the 2 x F statistics (the only values
+    that reach the driver); the transform is plain column arithmetic on
+    literals, so it stays inside whole-stage codegen.  Vector columns use the
+    MLlib stages above instead."""
     if method not in ("minmax", "standard"):
         raise ValueError("method must be 'minmax' or 'standard'")
     suffix = suffix or ("_mm" if method == "minmax" else "_std")
-    assembled = VectorAssembler(inputCols=list(cols), outputCol="__vec",
-                                handleInvalid="keep").transform(df)
-    stage = (MinMaxScaler(inputCol="__vec", outputCol="__scaled") if method == "minmax"
-             else StandardScaler(inputCol="__vec", outputCol="__scaled",
-                                 withMean=False, withStd=True))
-    scaled = stage.fit(assembled).transform(assembled).withColumn("__arr", to_array("__scaled"))
+    if method == "minmax":
+        aggs = [f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(cols)
+                for k, f in (("lo", F.min), ("hi", F.max))]
+    else:
+        aggs = [F.stddev_samp(F.col(c)).alias(f"sd{i}") for i, c in enumerate(cols)]
+    stats = df.agg(*aggs).first()
+    out = df
     for i, c in enumerate(cols):
-        v = F.col("__arr")[i]
-        scaled = scaled.withColumn(f"{c}{suffix}", F.round(v, digits) if digits is not None else v)
-    return scaled.drop("__vec", "__scaled", "__arr")
+        x = F.col(c).cast("double")
+        if method == "minmax":
+            lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
+            v = (F.lit(0.5) if lo is None or hi == lo
+                 else (x - F.lit(float(lo))) / F.lit(float(hi) - float(lo)))
+        else:
+            sd = stats[f"sd{i}"]
+            v = F.lit(0.0) if not sd else x / F.lit(float(sd))
+        v = F.when(F.col(c).isNull(), F.lit(None)).otherwise(v)
+        out = out.withColumn(f"{c}{suffix}", F.round(v, digits) if digits is not None else v)
+    return out
