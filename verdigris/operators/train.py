@@ -31,9 +31,6 @@ PRESET_PARAMS = {
     RANDOM_FOREST: dict(numTrees=20, maxDepth=5, maxBins=32, seed=42),
     NAIVE_BAYES: dict(smoothing=1.0, modelType="multinomial"),
 }
-# execution-only settings (the fitted model does not depend on them): larger
-# per-pass node batches and cached node ids cut passes over the data for deep trees
-TREE_EXECUTION = dict(maxMemoryInMB=1024, cacheNodeIds=True)
 # logistic regression as used by the partition sweep
 SWEEP_LR_PARAMS = dict(maxIter=20, regParam=0.1, family="multinomial")
 PRESET_ORDER = (LOGISTIC_REGRESSION, DECISION_TREE, RANDOM_FOREST, NAIVE_BAYES)
@@ -51,8 +48,6 @@ def classifier(name: str, features_col: str = "scaled_features",
                label_col: str = "label_index", **overrides):
     """A preset classifier by name; ``overrides`` replace preset parameters."""
     params = {**PRESET_PARAMS[name], **overrides}
-    if name in (DECISION_TREE, RANDOM_FOREST):
-        params = {**TREE_EXECUTION, **params}
     return _CLASSES[name](featuresCol=features_col, labelCol=label_col, **params)
 
 
