@@ -159,21 +159,27 @@ def join_on_basename(meta: DataFrame, feats: DataFrame, path_col: str = "path",
 # balancing and splitting
 # --------------------------------------------------------------------------
 
-def first_n_per_class(df: DataFrame, label_col: str, key_col: str,
-                      quota: DataFrame, seed: int = DEFAULT_SEED,
-                      bucket_bits: int = 14) -> DataFrame:
+def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFrame,
+                      seed: int = DEFAULT_SEED, bucket_bits: int = 14,
+                      flag_col: str | None = None) -> DataFrame:
     """Rows whose rank inside their class, by ``order_hash(key)`` then key, is
     at most the class's ``quota`` (``quota``: columns ``label_col, quota``).
 
+    With ``flag_col`` every row is kept and the flag tells whether it is
+    within the quota; otherwise only those rows are returned.
+
     Exact, and no single task ever sorts a whole class: rows are bucketed by
     the first ``bucket_bits`` bits of their hash; a histogram (partial
-    aggregation, at most classes × 2^bits rows) tells for each class which
-    bucket holds the cut.  Buckets below it are kept whole, buckets above it
-    are dropped, and only rows of the one cut bucket per class are ranked
-    (a window over about n_class / 2^bits rows).
+    aggregation, at most classes x 2^bits rows, checkpointed) tells for each
+    class which bucket holds the cut.  Buckets below it are in, buckets above
+    it are out, and only rows of the one cut bucket per class are ranked (a
+    window over about n_class / 2^bits rows).
     """
+    from verdigris.session import ensure_checkpoint_dir
+
     if not 4 <= bucket_bits <= 24:
         raise ValueError("bucket_bits must be in [4, 24]")
+    ensure_checkpoint_dir(df.sparkSession)
     hex_digits = (bucket_bits + 3) // 4
     shift = hex_digits * 4 - bucket_bits
     h = (df.withColumn("__h", order_hash(key_col, seed))
@@ -185,7 +191,7 @@ def first_n_per_class(df: DataFrame, label_col: str, key_col: str,
                .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.withColumn("__before", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
     # class -> (cut bucket, rows still needed from it); classes at or under
-    # their quota have no cut and are kept whole
+    # their quota have no cut and are kept whole, a quota of 0 keeps nothing
     cuts = (hist.join(quota, label_col)
                 .where((F.col("__before") < F.col("quota"))
                        & (F.col("__before") + F.col("__cnt") >= F.col("quota")))
@@ -196,13 +202,25 @@ def first_n_per_class(df: DataFrame, label_col: str, key_col: str,
     cuts = broadcast_if_small(cuts.unionByName(empty).checkpoint())
 
     j = h.join(cuts, label_col, "left")
-    whole = j.where(F.col("__cut").isNull() | (F.col("__b") < F.col("__cut")))
+    inside = F.col("__cut").isNull() | (F.col("__b") < F.col("__cut"))
     edge = (j.where(F.col("__b") == F.col("__cut"))
               .withColumn("__r", F.row_number().over(
                   Window.partitionBy(label_col, "__b").orderBy("__h", key_col)))
-              .where(F.col("__r") <= F.col("__need"))
+              .withColumn("__in", F.col("__r") <= F.col("__need"))
               .drop("__r"))
-    return whole.unionByName(edge).drop("__h", "__b", "__cut", "__need")
+    if flag_col is None:
+        out = j.where(inside).unionByName(edge.where("__in").drop("__in"))
+    else:
+        rest = j.where(F.col("__cut").isNull() | (F.col("__b") != F.col("__cut")))
+        out = rest.withColumn("__in", inside).unionByName(edge) \
+                  .withColumnRenamed("__in", flag_col)
+    return out.drop("__h", "__b", "__cut", "__need")
+
+
+def first_n_per_class(df: DataFrame, label_col: str, key_col: str, quota: DataFrame,
+                      seed: int = DEFAULT_SEED, bucket_bits: int = 14) -> DataFrame:
+    """Only the rows within their class's quota (see ``rank_within_quota``)."""
+    return rank_within_quota(df, label_col, key_col, quota, seed, bucket_bits)
 
 
 def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path",
@@ -259,12 +277,10 @@ def stratified_hash_split(df: DataFrame, label_col: str, key_col: str, ratio: fl
     appears on both sides."""
     counts = class_distribution(df, label_col)
     quota = counts.select(label_col, F.round(F.col("n") * ratio).cast("long").alias("quota"))
-    first = first_n_per_class(df, label_col, key_col, quota, seed) \
-        .select(key_col).withColumn("__first", F.lit(True))
-    return (df.join(first, key_col, "left")
-              .withColumn(split_col, F.when(F.col("__first"), F.lit(names[0]))
-                          .otherwise(F.lit(names[1])))
-              .drop("__first"))
+    marked = rank_within_quota(df, label_col, key_col, quota, seed, flag_col="__first")
+    return (marked.withColumn(split_col, F.when(F.col("__first"), F.lit(names[0]))
+                              .otherwise(F.lit(names[1])))
+                  .drop("__first"))
 
 
 def random_split(df: DataFrame, ratio: float = 0.8, seed: int = DEFAULT_SEED,

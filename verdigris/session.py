@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder shared by the cluster")
+        # local runs only (tests, benchmark): a scratch folder on this machine
         configured = tempfile.mkdtemp(prefix="verdigris-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
