@@ -698,3 +698,16 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("label", F.col("n_true").cast("long"), F.col("n_pred").cast("long"),
                       F.col("hits").cast("long"),
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("stratified_split", f"""
+WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+r AS (SELECT doc_id, lang,
+             row_number() OVER (PARTITION BY lang ORDER BY {_md5_order('doc_id')}, doc_id) AS rn
+      FROM documents)
+SELECT r.doc_id, r.lang, CASE WHEN r.rn <= round(c.n * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM r JOIN c ON r.lang = c.lang
+""")
+def q_stratified_split(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return D.stratified_hash_split(docs, "lang", "doc_id", 0.8, SEED)

@@ -25,7 +25,15 @@ def write_json_map(df: DataFrame, path: str, key: str = "label_index",
     Built with ``map_from_entries`` in one aggregation; meant for tables bounded
     by the number of classes.
     """
-    obj = (df.select(F.struct(F.col(key).cast("int").cast("string"), F.col(value)).alias("e"))
+    entries = F.struct(F.col(key).cast("int").alias("k"), F.col(value).alias("v"))
+    obj = (df.select(entries.alias("e"))
              .agg(F.sort_array(F.collect_list("e")).alias("es"))
-             .select(F.to_json(F.map_from_entries("es")).alias("value")))
+             .select(F.to_json(F.map_from_entries(F.transform(
+                 "es", lambda e: F.struct(e["k"].cast("string"), e["v"])))).alias("value")))
     obj.coalesce(1).write.mode("overwrite").text(path)
+
+
+def export_results(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
+    """Append (or overwrite) a results table such as model metrics or a
+    partition sweep; one small file per call."""
+    df.coalesce(1).write.format(fmt).mode(mode).save(path)
