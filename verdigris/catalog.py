@@ -341,9 +341,15 @@ FROM m JOIN o ON m.model = o.model
 ORDER BY m.accuracy DESC, o.ord ASC LIMIT 1
 """)
 def q_best_model(spark, sf_dir):
-    preds = D.union_all([
-        _rule_predictions(spark, sf_dir, t).withColumn("model", F.lit(m)).withColumn("ord", F.lit(o))
-        for m, o, t in _RULE_MODELS])
+    # one join, then every rule "model" scores each row (one expand)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    joined = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    rules = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.lit(o).alias("ord"),
+                 (F.col("n_chars") > t).cast("int").alias("prediction"))
+        for m, o, t in _RULE_MODELS]))
+    preds = joined.select(F.col("quality").alias("label"), rules.alias("r")).select(
+        "label", "r.model", "r.ord", "r.prediction")
     metrics = EV.evaluate(preds, "label", "prediction", group_cols=("model", "ord"))
     return EV.best_model(metrics, "accuracy", "ord")
 

@@ -38,14 +38,25 @@ def confusion_pivot(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFra
 
 
 def per_class_metrics(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per truth class: ``n_true, n_pred, hits, precision, recall, f1``."""
+    """Per truth class: ``n_true, n_pred, hits, precision, recall, f1``.
+
+    Every cell counts once for its truth class (``n_true``, ``hits``) and
+    once for its predicted class (``n_pred``): one expand + aggregation over
+    the cells, no join.  Classes that are predicted but never true carry no
+    weight and are left out."""
     g = list(group_cols)
-    truth = cells.groupBy(*g, "label").agg(
-        F.sum("n").alias("n_true"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"))
-    predicted = cells.groupBy(*g, F.col("prediction").alias("label")).agg(F.sum("n").alias("n_pred"))
-    per = truth.join(predicted, [*g, "label"], "left").withColumn(
-        "n_pred", F.coalesce("n_pred", F.lit(0)))
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
+    zero = F.lit(0).cast("long")
+    sides = F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("t"), hit.alias("h"),
+                 zero.alias("p")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("t"), zero.alias("h"),
+                 F.col("n").alias("p"))))
+    per = (cells.select(*g, sides.alias("s"))
+                .groupBy(*g, F.col("s.cls").alias("label"))
+                .agg(F.sum("s.t").alias("n_true"), F.sum("s.p").alias("n_pred"),
+                     F.sum("s.h").alias("hits"))
+                .where(F.col("n_true") > 0))
     precision = F.when(F.col("n_pred") == 0, F.lit(0.0)).otherwise(F.col("hits") / F.col("n_pred"))
     recall = F.col("hits") / F.col("n_true")
     per = per.withColumn("precision", precision).withColumn("recall", recall)
