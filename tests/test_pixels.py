@@ -83,3 +83,24 @@ def test_grayscale_operator_keeps_schema(spark, image_dir):
     assert len(im["data"]) == 54
     small = PX.resize(image_files(spark, image_dir), (3, 5), "box")
     assert {x["image"]["width"] for x in small.collect()} == {5}
+
+
+def test_features_of_equals_kernel_chain():
+    rng = np.random.default_rng(11)
+    imgs = [rng.integers(0, 256, shape, dtype=np.uint8)
+            for shape in [(30, 41, 3)] * 5 + [(7, 9, 1)] * 3 + [(64, 64, 4), (1, 1, 3)]]
+    for f in ("bicubic", "box"):
+        batched = PX.features_of(imgs, (16, 12), f)
+        for img, got in zip(imgs, batched):
+            want = PX.normalise(PX.resize_gray(PX.luma(img), 16, 12, f))
+            assert np.array_equal(got, want)
+
+
+def test_fixed_point_bicubic_close_to_float_reference():
+    # two 8-bit passes in fixed point differ from one float resample by at most 1
+    rng = np.random.default_rng(5)
+    img = rng.integers(0, 256, (50, 70), dtype=np.uint8)
+    got = PX.resize_gray(img, 20, 24).astype(int)
+    wy, wx = PX.resample_weights(50, 20), PX.resample_weights(70, 24)
+    ref = np.clip(np.floor(wy @ img.astype(float) @ wx.T + 0.5), 0, 255)
+    assert np.abs(got - ref).max() <= 1
