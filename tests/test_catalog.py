@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from scripts.oracle_check import TABLES, rows_key
+from scripts.oracle_check import TABLES, rows_key, type_diff
 from tests.conftest import SF_SMALL
 
 QUERIES = E.queries()
@@ -34,6 +34,7 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
+    assert type_diff(df, con, ORACLES[name]) == {}
     assert rows_key(srows, cols) == rows_key(orows, ocols)
 
 

@@ -177,7 +177,7 @@ def q_join_on_basename(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     meta = pages.select("page_id", F.col("url").alias("path"))
     feats = pages.select(F.col("url").alias("path"), F.col("page_id").alias("match_page_id"),
-                         F.length("html").alias("html_len"))
+                         F.length("html").cast("long").alias("html_len"))
     return D.join_on_basename(meta, feats, "path", duplicates="first", decode=False) \
         .select("page_id", F.col("path").alias("url"), "match_page_id", "html_len")
 
