@@ -119,3 +119,13 @@ def test_scoring_unknown_index_falls_back(spark):
     out = {r["class_index"]: r["prediction_label"] for r in decode_prediction(pred, lm).collect()}
     assert out == {"0": "RS_LB", "7": "class_7"}
     assert os  # keep import
+
+
+def test_prepare_without_metadata_join(spark, two_class_dir):
+    from verdigris.plans.featurize import features_minmax_check
+    feats, _ = featurize(spark, two_class_dir, size=8, with_label=True)
+    prep = prepare(None, feats, ratio=0.75, stratify=True)
+    assert prep.data.count() == 40
+    assert {r["label"] for r in prep.label_map.collect()} == {"RS_Bright", "RS_Dark"}
+    chk = features_minmax_check(feats).first()
+    assert 0.0 <= chk["min_value"] <= chk["max_value"] <= 1.0 and chk["values"] == 41 * 64

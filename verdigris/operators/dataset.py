@@ -129,11 +129,15 @@ def join_on_key(left: DataFrame, right: DataFrame, key_col: str,
     ``duplicates='first'``: the right side keeps one row per key (smallest
     ``right_order_col``), so every left row matches at most once and output
     never exceeds the left side.  ``'error'``: raise ``DuplicateKeyError``
-    when either side repeats a key.  NULL keys never join.
+    when either side repeats a key.  ``'unique'``: the caller guarantees
+    unique keys (file paths), so no extra pass is spent.  NULL keys never join.
     """
-    if duplicates not in ("first", "error"):
-        raise ValueError("duplicates must be 'first' or 'error'")
-    if duplicates == "error":
+    if duplicates not in ("first", "error", "unique"):
+        raise ValueError("duplicates must be 'first', 'error' or 'unique'")
+    if duplicates == "unique":
+        # keys are unique by construction (e.g. paths of one file listing)
+        right_one = right
+    elif duplicates == "error":
         for side, name in ((left, "left"), (right, "right")):
             if not duplicate_keys(side, key_col).isEmpty():
                 raise DuplicateKeyError(f"{name} side repeats values of {key_col!r}")

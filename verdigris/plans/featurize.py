@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdigris.functions.labels import LABEL_PATTERN, label_from_name
 from verdigris.functions.paths import canonical_path
 from verdigris.operators import pixels as PX
 from verdigris.sources.files import image_files
@@ -25,11 +26,17 @@ def rejects_from_images(images: DataFrame, image_col: str = "image") -> DataFram
 
 
 def featurize(spark: SparkSession, path: str, size: int = PX.DEFAULT_SIZE,
-              filter: str = "bicubic", glob: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(features, rejects) for every file under ``path``; lazily planned."""
+              filter: str = "bicubic", glob: str | None = None, with_label: bool = False,
+              pattern: str = LABEL_PATTERN) -> tuple[DataFrame, DataFrame]:
+    """(features, rejects) for every file under ``path``; lazily planned.
+
+    ``with_label=True`` adds ``label`` from the file name in the same narrow
+    pass, so ``prepare(None, features)`` needs no metadata join."""
     images = image_files(spark, path, glob=glob, drop_invalid=False)
-    return (features_from_images(images, size, filter).select("path", "features"),
-            rejects_from_images(images))
+    feats = features_from_images(images, size, filter).select("path", "features")
+    if with_label:
+        feats = feats.withColumn("label", label_from_name("path", pattern))
+    return feats, rejects_from_images(images)
 
 
 def write_features(feats: DataFrame, out: str) -> DataFrame:
@@ -39,6 +46,6 @@ def write_features(feats: DataFrame, out: str) -> DataFrame:
 
 def features_minmax_check(feats: DataFrame) -> DataFrame:
     """Sanity: every feature value lies in [0, 1] (one aggregation)."""
-    return feats.select(F.explode("features").alias("v")).agg(
-        F.min("v").alias("min_value"), F.max("v").alias("max_value"),
-        F.count(F.lit(1)).alias("values"))
+    return feats.agg(F.min(F.array_min("features")).alias("min_value"),
+                     F.max(F.array_max("features")).alias("max_value"),
+                     F.sum(F.size("features")).alias("values"))

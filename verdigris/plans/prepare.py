@@ -24,25 +24,37 @@ class Prepared:
 
 
 def join_metadata_features(meta: DataFrame, feats: DataFrame, key: str = "path",
-                           duplicates: str = "first") -> DataFrame:
-    """Labelled metadata ⋈ features.  ``key='path'`` joins on the canonical
-    full path (unique); ``key='basename'`` on the file name only."""
+                           duplicates: str | None = None) -> DataFrame:
+    """Labelled metadata ⋈ features (for metadata kept in a separate store).
+
+    ``key='path'`` joins on the canonical full path, unique within a file
+    listing, so it is a single shuffle join; ``key='basename'`` joins on the
+    file name and keeps one feature row per name (``duplicates='first'``)."""
     labelled = D.labelled_only(meta.select("path", "label"))
     if key == "path":
         f = feats.withColumnRenamed("path", "__fpath").withColumn("path", F.col("__fpath"))
-        joined = D.join_on_key(labelled, f, "path", "__fpath", duplicates).drop("__fpath")
+        joined = D.join_on_key(labelled, f, "path", "__fpath",
+                               duplicates or "unique").drop("__fpath")
     elif key == "basename":
-        joined = D.join_on_basename(labelled, feats, "path", duplicates)
+        joined = D.join_on_basename(labelled, feats, "path", duplicates or "first")
     else:
         raise ValueError("key must be 'path' or 'basename'")
     return joined
 
 
-def prepare(meta: DataFrame, feats: DataFrame, key: str = "path", ratio: float = 0.8,
+def prepare(meta: DataFrame | None, feats: DataFrame, key: str = "path", ratio: float = 0.8,
             factor: int = 2, seed: int = D.DEFAULT_SEED, stratify: bool = False,
             balance: bool = True) -> Prepared:
-    joined = D.require_rows(join_metadata_features(meta, feats, key),
-                            "metadata and features share no key: featurize first")
+    """Balance, index and split labelled features.
+
+    With ``meta=None`` the features already carry ``label`` (see
+    ``featurize(..., with_label=True)``) and no join is needed; otherwise the
+    metadata table is joined in first."""
+    if meta is None:
+        joined = D.labelled_only(feats)
+    else:
+        joined = join_metadata_features(meta, feats, key)
+    joined = D.require_rows(joined, "no labelled feature rows: featurize and label first")
     rows = D.balance_exact(joined, "label", "path", factor, seed) if balance else joined
     rows = materialize(rows, "balanced")
     indexer = D.fit_label_indexer(rows, "label", "label_index")
