@@ -11,3 +11,15 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+try:
+    # Ship this package's functions (e.g. the pixel batch functions given to
+    # mapInPandas) to Python workers by value, so executors need no install
+    # of the package and no extra files.
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass

@@ -10,7 +10,6 @@ fused ``image_features``.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,13 +75,21 @@ def _box(x: np.ndarray) -> np.ndarray:
 _FILTERS = {"bicubic": (_cubic, CUBIC_SUPPORT), "box": (_box, BOX_SUPPORT)}
 
 
-@functools.lru_cache(maxsize=256)
+# per-process caches of weight matrices, keyed by (in, out, filter); plain
+# dicts so the functions travel to executors by value
+_WEIGHTS: dict = {}
+_FIXED: dict = {}
+
+
 def resample_weights(in_size: int, out_size: int, filter: str = "bicubic") -> np.ndarray:
     """(out_size, in_size) normalised weights of a separable resampling filter.
 
     Output sample ``o`` is centred at ``(o + 0.5) * in/out`` in input
     coordinates; on down-scaling the kernel is widened by the scale factor so
     every input pixel contributes (antialiasing)."""
+    cached = _WEIGHTS.get((in_size, out_size, filter))
+    if cached is not None:
+        return cached
     kernel, support = _FILTERS[filter]
     scale = in_size / out_size
     fscale = max(scale, 1.0)
@@ -98,15 +105,23 @@ def resample_weights(in_size: int, out_size: int, filter: str = "bicubic") -> np
         if total != 0.0:
             k = k / total
         w[o, lo:hi] = k
+    if len(_WEIGHTS) > 512:
+        _WEIGHTS.clear()
+    _WEIGHTS[(in_size, out_size, filter)] = w
     return w
 
 
-@functools.lru_cache(maxsize=256)
 def _fixed_weights(in_size: int, out_size: int, filter: str) -> np.ndarray:
     """Weights in fixed point (rounded half away from zero), kept as float64:
     every product and partial sum stays an exact integer below 2**53."""
-    scaled = resample_weights(in_size, out_size, filter) * (1 << RESAMPLE_PRECISION_BITS)
-    return np.where(scaled < 0, np.ceil(scaled - 0.5), np.floor(scaled + 0.5))
+    cached = _FIXED.get((in_size, out_size, filter))
+    if cached is None:
+        scaled = resample_weights(in_size, out_size, filter) * (1 << RESAMPLE_PRECISION_BITS)
+        cached = np.where(scaled < 0, np.ceil(scaled - 0.5), np.floor(scaled + 0.5))
+        if len(_FIXED) > 512:
+            _FIXED.clear()
+        _FIXED[(in_size, out_size, filter)] = cached
+    return cached
 
 
 def _pass(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
