@@ -14,7 +14,7 @@ from verdigris.plans.registry import ModelRegistry
 from verdigris.plans.score import score_images
 from verdigris.plans.training import as_training_rows, train_and_compare
 from verdigris.sources.files import image_files
-from verdigris.streaming import ingest_stream, score_stream
+from verdigris.streaming import ingest_stream, score_stream, stream_throughput
 
 
 @pytest.fixture(scope="module")
@@ -92,6 +92,8 @@ def test_batch_and_stream_scoring_agree(spark, two_class_dir, trained, tmp_path)
     q = score_stream(spark, two_class_dir, model, lm, "Naive_Bayes", str(tmp_path / "scored"),
                      str(tmp_path / "ckpt"), size=8, max_files_per_trigger=15)
     q.awaitTermination()
+    progress = stream_throughput(spark, q).collect()
+    assert sum(r["input_rows"] for r in progress) == 41 and len(progress) >= 3
     streamed = spark.read.parquet(str(tmp_path / "scored"))
     assert {(r["path"], r["prediction_label"]) for r in streamed.collect()} == \
         {(p, r["prediction_label"]) for p, r in rows.items()}

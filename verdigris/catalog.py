@@ -10,11 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verdigris.functions import labels as L
+from verdigris.functions.vectors import to_array, to_vector
 from verdigris.operators import dataset as D
+from verdigris.operators import decode as DEC
+from verdigris.operators import evaluate as EV
+from verdigris.operators import features as FE
+from verdigris.operators import partitions as PT
+from verdigris.operators import pixels as PX
+from verdigris.operators import train as TR
+from verdigris.operators.features import UnitClip
+from verdigris.plans import score as SC
+from verdigris.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,14 +241,6 @@ def q_label_map(spark, sf_dir):
 
 # ---------------------------------------------------------------- scaling ----
 
-from pyspark.ml import Pipeline  # noqa: E402
-from pyspark.ml.classification import NaiveBayes  # noqa: E402
-
-from verdigris.functions.vectors import to_vector  # noqa: E402
-from verdigris.operators import decode as DEC  # noqa: E402
-from verdigris.operators import evaluate as EV  # noqa: E402
-from verdigris.operators import features as FE  # noqa: E402
-from verdigris.operators import train as TR  # noqa: E402
 
 _SCALE_COLS = ("l_quantity", "l_extendedprice", "l_discount")
 
@@ -420,7 +424,6 @@ SELECT e.vec_id, CAST(e.label AS VARCHAR) AS class_index,
 FROM embeddings e LEFT JOIN m2 ON e.label = m2.idx
 """)
 def q_decode_label(spark, sf_dir):
-    from pyspark.sql import Window
     emb = table(spark, sf_dir, "embeddings")
     full = D.label_map(emb.withColumn("label", F.col("label").cast("string")), "label")
     # a map that lacks the two least frequent classes
@@ -441,7 +444,6 @@ FROM embeddings
 
 def model_invariants(pred: DataFrame, key_col: str) -> DataFrame:
     """Per key: occurs once, probabilities sum to 1, prediction = arg-max."""
-    from verdigris.functions.vectors import to_array
     arr = to_array("probability")
     checks = pred.select(
         key_col,
@@ -469,7 +471,6 @@ for _q, _name in (("train_lr", TR.LOGISTIC_REGRESSION), ("train_dt", TR.DECISION
 
 # ------------------------------------------------------------------ pixels ----
 
-from verdigris.operators import pixels as PX  # noqa: E402
 
 EMB_SIDE = 8  # 64 embedding values -> an 8 x 8 image
 
@@ -563,9 +564,6 @@ def q_image_rejects(spark, sf_dir):
 
 # ------------------------------------------------------------ scoring ----
 
-from verdigris.operators import partitions as PT  # noqa: E402
-from verdigris.plans import score as SC  # noqa: E402
-from verdigris.session import materialize  # noqa: E402
 
 
 @register("score_batch", """
@@ -605,8 +603,6 @@ def q_partition_profile(spark, sf_dir):
 
 @register("partition_sweep")
 def q_partition_sweep(spark, sf_dir):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
     feats = _embedding_features(spark, sf_dir)
     split = D.hash_split(feats, "vec_id", 0.8, SEED)
     train = split.where(F.col("split") == "train")
@@ -638,7 +634,6 @@ def q_sweep_guard(spark, sf_dir):
 
 # --------------------------------------------------------------- flagship ----
 
-from verdigris.operators.features import UnitClip  # noqa: E402
 
 _FLAGSHIP_SQL = f"""
 WITH c0 AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),

@@ -1,3 +1,3 @@
 """Structured Streaming forms of ingest (P2) and scoring (P1)."""
 
-from verdigris.streaming.streams import ingest_stream, score_stream  # noqa: F401
+from verdigris.streaming.streams import ingest_stream, score_stream, stream_throughput  # noqa: F401

@@ -62,3 +62,17 @@ def ingest_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     writer = (meta.writeStream.format("parquet").outputMode("append")
                   .option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now, interval).start(out_dir)
+
+
+def stream_throughput(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Per micro-batch progress of a stream: ``batch_id, input_rows,
+    input_rows_per_sec, processed_rows_per_sec, duration_ms`` (from the
+    query's progress reports, i.e. measured execution, not planning time)."""
+    rows = []
+    for p in query.recentProgress:
+        rows.append((int(p["batchId"]), int(p.get("numInputRows") or 0),
+                     float(p.get("inputRowsPerSecond") or 0.0),
+                     float(p.get("processedRowsPerSecond") or 0.0),
+                     int((p.get("durationMs") or {}).get("triggerExecution") or 0)))
+    return spark.createDataFrame(rows, "batch_id long, input_rows long, input_rows_per_sec double, "
+                                       "processed_rows_per_sec double, duration_ms long")
