@@ -131,3 +131,14 @@ def test_prepare_without_metadata_join(spark, two_class_dir):
     assert {r["label"] for r in prep.label_map.collect()} == {"RS_Bright", "RS_Dark"}
     chk = features_minmax_check(feats).first()
     assert 0.0 <= chk["min_value"] <= chk["max_value"] <= 1.0 and chk["values"] == 41 * 64
+
+
+def test_parallel_training_gives_the_same_metrics(spark, trained, two_class_dir):
+    from verdigris.plans.prepare import read_split
+    out = trained["out"]
+    train = as_training_rows(read_split(spark, f"{out}/prepared", "train"))
+    test = as_training_rows(read_split(spark, f"{out}/prepared", "test"))
+    m, _ = train_and_compare(train, test, (TR.NAIVE_BAYES, TR.DECISION_TREE), parallel=2)
+    seq, _ = train_and_compare(train, test, (TR.NAIVE_BAYES, TR.DECISION_TREE))
+    pick = lambda df: sorted((r["model"], r["accuracy"], r["weighted_f1"]) for r in df.collect())
+    assert pick(m) == pick(seq)

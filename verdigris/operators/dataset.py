@@ -234,10 +234,12 @@ def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path"
     Which rows survive is decided by ``order_hash(key, seed)``; NULL labels are
     excluded.  Classes at or under the cap keep every row."""
     labelled = labelled_only(df, label_col)
-    # one row per class; the cap is a window over that small table
+    # one row per class; the cap is a single number (one small aggregation)
     counts = class_distribution(labelled, label_col)
-    quota = counts.select(label_col,
-                          (F.min("n").over(Window.partitionBy()) * factor).alias("quota"))
+    smallest = counts.agg(F.min("n")).first()[0]
+    if smallest is None:
+        return labelled
+    quota = counts.select(label_col, F.lit(int(smallest) * factor).cast("long").alias("quota"))
     return first_n_per_class(labelled, label_col, key_col, quota, seed)
 
 

@@ -24,24 +24,32 @@ def as_training_rows(df: DataFrame, features_col: str = "features") -> DataFrame
 def train_and_compare(train: DataFrame, test: DataFrame,
                       presets: Sequence[str] = TR.PRESET_ORDER,
                       registry: ModelRegistry | None = None,
-                      label_col: str = "label_index") -> tuple[DataFrame, dict]:
-    """Fit every preset on ``train`` (sequentially), predict ``test``, and
-    evaluate all models in one aggregation grouped by model.
+                      label_col: str = "label_index", parallel: int = 1) -> tuple[DataFrame, dict]:
+    """Fit every preset on ``train``, predict ``test``, and evaluate all models
+    in one aggregation grouped by model.
 
-    Returns (metrics table ordered by accuracy, {name: FitResult}).  With a
-    registry, each model is saved and its metrics row appended."""
+    Presets are fit one after another by default; ``parallel > 1`` submits
+    that many fits at once from driver threads (their jobs share the
+    cluster, so per-model times then overlap).  Returns (metrics table ordered
+    by accuracy, {name: FitResult}).  With a registry, each model is saved
+    and its metrics row appended."""
     train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         D.require_rows(train, "no training rows")
         train.count()
         test.count()
-        fits, preds = {}, []
-        for ord_, name in enumerate(presets):
-            fit = TR.fit_preset(name, train, label_col=label_col)
-            fits[name] = fit
-            preds.append(fit.model.transform(test).select(
-                F.lit(name).alias("model"), F.lit(ord_).alias("ord"), label_col, "prediction"))
+        if parallel > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                futures = {n: pool.submit(TR.fit_preset, n, train, label_col=label_col)
+                           for n in presets}
+                fits = {n: f.result() for n, f in futures.items()}
+        else:
+            fits = {n: TR.fit_preset(n, train, label_col=label_col) for n in presets}
+        preds = [fits[name].model.transform(test).select(
+                     F.lit(name).alias("model"), F.lit(ord_).alias("ord"), label_col, "prediction")
+                 for ord_, name in enumerate(presets)]
         metrics = EV.evaluate(D.union_all(preds), label_col, "prediction",
                               group_cols=("model", "ord"), digits=4)
         times = train.sparkSession.createDataFrame(
