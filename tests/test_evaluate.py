@@ -49,3 +49,10 @@ def test_grouped_evaluation_is_one_pass_per_model(spark):
     df = spark.createDataFrame(rows, "model string, prediction double, label_index double")
     out = {r["model"]: r["accuracy"] for r in EV.evaluate(df, group_cols=("model",)).collect()}
     assert out == {"a": 0.5, "b": 1.0}
+
+
+def test_confusion_lists_reference_layout(pred):
+    # truth classes 0, 1, 3; the prediction of class 5 falls outside the axes
+    r = EV.confusion_lists(EV.confusion_cells(pred)).first()
+    assert r["classes"] == [0.0, 1.0, 3.0]
+    assert r["confusion_matrix"] == [[1, 0, 0], [1, 1, 0], [0, 0, 0]]

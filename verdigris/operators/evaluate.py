@@ -37,6 +37,27 @@ def confusion_pivot(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFra
                  .na.fill(0).orderBy(*group_cols, "label"))
 
 
+def confusion_lists(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per group, the dense matrix as ``array<array<bigint>>`` over the truth
+    classes in ascending order (rows = truth, columns = prediction; other
+    predictions dropped) plus ``classes`` — the layout of the reference's
+    results export.  Built with array functions over the K classes of each
+    group; nothing larger than K x K is formed."""
+    g = list(group_cols)
+    if not g:
+        cells, g = cells.withColumn("__all", F.lit(0)), ["__all"]
+    truth = cells.groupBy(*g).agg(F.array_sort(F.collect_set("label")).alias("classes"))
+    rows = (cells.groupBy(*g, "label")
+                 .agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("m"))
+                 .join(truth, g))
+    rows = rows.select(*g, "label", "classes", F.transform(
+        "classes", lambda c: F.coalesce(F.element_at("m", c), F.lit(0).cast("long"))).alias("row"))
+    out = (rows.groupBy(*g, "classes")
+               .agg(F.array_sort(F.collect_list(F.struct("label", "row"))).alias("rs"))
+               .select(*g, "classes", F.transform("rs", lambda r: r["row"]).alias("confusion_matrix")))
+    return out.drop("__all")
+
+
 def per_class_metrics(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Per truth class: ``n_true, n_pred, hits, precision, recall, f1``.
 

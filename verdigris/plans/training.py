@@ -50,8 +50,10 @@ def train_and_compare(train: DataFrame, test: DataFrame,
         preds = [fits[name].model.transform(test).select(
                      F.lit(name).alias("model"), F.lit(ord_).alias("ord"), label_col, "prediction")
                  for ord_, name in enumerate(presets)]
-        metrics = EV.evaluate(D.union_all(preds), label_col, "prediction",
-                              group_cols=("model", "ord"), digits=4)
+        all_preds = D.union_all(preds)
+        cells = EV.confusion_cells(all_preds, label_col, "prediction", ("model", "ord"))
+        metrics = EV.metrics_from_cells(cells, ("model", "ord"), digits=4).join(
+            EV.confusion_lists(cells, ("model", "ord")), ["model", "ord"])
         times = train.sparkSession.createDataFrame(
             [(n, f.train_time_sec) for n, f in fits.items()], "model string, train_time_sec double")
         table = metrics.join(times, "model").orderBy(F.col("accuracy").desc(), "ord")
