@@ -177,7 +177,9 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
     aggregation, at most classes x 2^bits rows, checkpointed) tells for each
     class which bucket holds the cut.  Buckets below it are in, buckets above
     it are out, and only rows of the one cut bucket per class are ranked (a
-    window over about n_class / 2^bits rows).
+    window over about n_class / 2^bits rows).  Cost: the input is read three
+    times (histogram, rows below the cut, rows of the cut bucket) and only the
+    cut-bucket rows are shuffled.
     """
     from verdigris.session import ensure_checkpoint_dir
 
@@ -279,8 +281,8 @@ def stratified_hash_split(df: DataFrame, label_col: str, key_col: str, ratio: fl
                           seed: int = DEFAULT_SEED, split_col: str = "split",
                           names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Per class, exactly ``round(ratio × n_class)`` rows (first by
-    ``order_hash``) go to ``names[0]``; every class with two or more rows
-    appears on both sides."""
+    ``order_hash``) go to ``names[0]`` (with 0.8, every class of three or more
+    rows appears on both sides).  Rows with a NULL class go to ``names[0]``."""
     counts = class_distribution(df, label_col)
     quota = counts.select(label_col, F.round(F.col("n") * ratio).cast("long").alias("quota"))
     marked = rank_within_quota(df, label_col, key_col, quota, seed, flag_col="__first")
