@@ -109,3 +109,24 @@ def test_require_rows_and_union(spark):
         D.require_rows(empty)
     one = spark.createDataFrame([(1,)], "a int")
     assert D.union_all([one, one, one]).count() == 3
+
+
+def test_first_n_per_class_fallback_without_broadcast(spark, monkeypatch):
+    df = _skewed(spark)
+    quota = {"hot": 74, "c0": 400, "c1": 5, "c2": 0}
+    qdf = spark.createDataFrame(list(quota.items()), "label string, quota long")
+    monkeypatch.setattr(D, "BROADCAST_MAX_ROWS", 0)
+    got = {r[0] for r in D.first_n_per_class(df, "label", "key", qdf, 42, 8)
+           .select("key").collect()}
+    assert got == _brute_first_n(df, quota)
+
+
+def test_first_n_per_class_with_repeated_keys_meets_quota(spark):
+    rows = [(i % 50, "a") for i in range(300)] + [(i, "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "key long, label string")
+    q = spark.createDataFrame([("a", 77), ("b", 10)], "label string, quota long")
+    out = D.first_n_per_class(df, "label", "key", q, 42, 4)
+    counts = {r["label"]: r["n"] for r in D.class_distribution(out).collect()}
+    assert counts == {"a": 77, "b": 10}
+    flagged = D.rank_within_quota(df, "label", "key", q, 42, 4, flag_col="keep")
+    assert flagged.count() == 340 and flagged.where("keep").count() == 87

@@ -177,9 +177,11 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
     aggregation, at most classes x 2^bits rows, checkpointed) tells for each
     class which bucket holds the cut.  Buckets below it are in, buckets above
     it are out, and only rows of the one cut bucket per class are ranked (a
-    window over about n_class / 2^bits rows).  Cost: the input is read three
-    times (histogram, rows below the cut, rows of the cut bucket) and only the
-    cut-bucket rows are shuffled.
+    window over about n_class / 2^bits rows).  Cost: two narrow passes
+    (histogram; ranking the cut-bucket rows on class, key and hash) and one
+    wide pass that keeps rows through a broadcast join of the ranked set;
+    when that set fails the size check or has repeated keys, a second wide
+    pass ranks the cut-bucket rows instead.  Only cut-bucket rows are shuffled.
     """
     from verdigris.session import ensure_checkpoint_dir
 
@@ -209,11 +211,28 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
 
     j = h.join(cuts, label_col, "left")
     inside = F.col("__cut").isNull() | (F.col("__b") < F.col("__cut"))
+    order = Window.partitionBy(label_col, "__b").orderBy("__h", key_col)
+
+    # Rank the cut-bucket rows on a narrow projection (class, key, hash).
+    # If the ranked set passes the broadcast size check and its keys are
+    # unique, one wide pass with a broadcast join finishes the job.
+    ranked = (h.select(label_col, key_col, "__h", "__b").join(cuts, label_col)
+               .where(F.col("__b") == F.col("__cut"))
+               .select(key_col, (F.row_number().over(order) <= F.col("__need")).alias("__edge_in"))
+               .checkpoint())
+    stats = ranked.agg(F.count(F.lit(1)).alias("n"),
+                       F.count_distinct(key_col).alias("k")).first()
+    if stats["n"] <= BROADCAST_MAX_ROWS and stats["n"] == stats["k"]:
+        marked = (j.join(F.broadcast(ranked), key_col, "left")
+                   .withColumn("__in", inside | F.coalesce(F.col("__edge_in"), F.lit(False)))
+                   .drop("__edge_in"))
+        out = (marked.where("__in").drop("__in") if flag_col is None
+               else marked.withColumnRenamed("__in", flag_col))
+        return out.drop("__h", "__b", "__cut", "__need")
+
+    # otherwise: a second wide pass over the cut-bucket rows only
     edge = (j.where(F.col("__b") == F.col("__cut"))
-              .withColumn("__r", F.row_number().over(
-                  Window.partitionBy(label_col, "__b").orderBy("__h", key_col)))
-              .withColumn("__in", F.col("__r") <= F.col("__need"))
-              .drop("__r"))
+              .withColumn("__in", F.row_number().over(order) <= F.col("__need")))
     if flag_col is None:
         out = j.where(inside).unionByName(edge.where("__in").drop("__in"))
     else:

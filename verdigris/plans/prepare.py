@@ -1,8 +1,8 @@
 """Prepare: metadata ⋈ features -> balanced -> indexed -> split.
 
 Returns one table with a ``split`` column (write it partitioned by split) and
-the label map.  The balanced rows are written once before the indexer is fit,
-so no later action re-runs the join or the balancing.
+the label map.  The labelled rows are written once before balancing, so no
+later action re-runs the pixel pass or the join.
 """
 
 from __future__ import annotations
@@ -55,8 +55,11 @@ def prepare(meta: DataFrame | None, feats: DataFrame, key: str = "path", ratio:
     else:
         joined = join_metadata_features(meta, feats, key)
     joined = D.require_rows(joined, "no labelled feature rows: featurize and label first")
+    # write the labelled rows once: balancing reads its input more than once
+    # and must not recompute pixels or the join; the balanced result is then a
+    # cheap deterministic query over the written table
+    joined = materialize(joined, "labelled")
     rows = D.balance_exact(joined, "label", "path", factor, seed) if balance else joined
-    rows = materialize(rows, "balanced")
     indexer = D.fit_label_indexer(rows, "label", "label_index")
     indexed = indexer.transform(rows)
     if stratify:
