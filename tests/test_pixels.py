@@ -104,3 +104,13 @@ def test_fixed_point_bicubic_close_to_float_reference():
     wy, wx = PX.resample_weights(50, 20), PX.resample_weights(70, 24)
     ref = np.clip(np.floor(wy @ img.astype(float) @ wx.T + 0.5), 0, 255)
     assert np.abs(got - ref).max() <= 1
+
+
+def test_featurize_to_decodes_once_and_keeps_rejects(spark, image_dir, tmp_path):
+    from verdigris.plans.featurize import featurize_to
+    feats, rejects = featurize_to(spark, image_dir, str(tmp_path / "f"), size=16, with_label=True)
+    assert feats.count() == 6 and feats.where("features is null").count() == 0
+    assert [r["reason"] for r in rejects.collect()] == ["undecodable"]
+    labels = {r["label"] for r in feats.collect()}
+    assert labels == {"RS_HL", "JR_B", "RS_LB", None}
+    assert {len(r["features"]) for r in feats.collect()} == {256}

@@ -295,31 +295,43 @@ def flatten_normalise(df: DataFrame, image_col: str = "image",
 
 def image_features(df: DataFrame, size: int | tuple[int, int] | None = DEFAULT_SIZE,
                    filter: str = "bicubic", image_col: str = "image",
-                   out_col: str = "features", keep_origin: str | None = None) -> DataFrame:
+                   out_col: str = "features", keep_origin: str | None = None,
+                   with_rejects: bool = False) -> DataFrame:
     """Fused J1-J4: decode -> luma -> resize -> flatten -> /255, one Arrow pass.
 
     Output: every other input column plus ``features array<float>``
     (``size`` x ``size`` values in [0, 1]); ``keep_origin`` names a column
     for ``image.origin``.  Invalid images are left out (see
-    ``image_rejects``)."""
+    ``image_rejects``), unless ``with_rejects=True``: then every image is
+    kept, with a ``reason`` column (NULL when valid) and NULL features for the
+    invalid ones, so one decode serves both the features and the rejects."""
     if size is None:
         target = None
     else:
         target = (size, size) if isinstance(size, int) else tuple(size)
-    flat, rest = _flatten(valid_images(df, image_col), image_col)
+    src = (df.withColumn("reason", reject_reason(image_col)) if with_rejects
+           else valid_images(df, image_col))
+    flat, rest = _flatten(src, image_col)
     names = [f.name for f in rest]
     out_fields = list(rest)
     if keep_origin:
         out_fields.append(T.StructField(keep_origin, T.StringType()))
-    out_fields.append(T.StructField(out_col, T.ArrayType(T.FloatType(), False), False))
+    out_fields.append(T.StructField(out_col, T.ArrayType(T.FloatType(), False), with_rejects))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            feats = features_of(list(_images(pdf)), target, filter)
             res = pdf[names].copy()
             if keep_origin:
                 res[keep_origin] = pdf["__origin"]
-            res[out_col] = feats
+            if with_rejects:
+                ok = pdf["reason"].isna().to_numpy()
+                feats = [None] * len(pdf)
+                good = features_of(list(_images(pdf[ok])), target, filter)
+                for i, f in zip(np.flatnonzero(ok), good):
+                    feats[i] = f
+                res[out_col] = feats
+            else:
+                res[out_col] = features_of(list(_images(pdf)), target, filter)
             yield res
 
     return flat.mapInPandas(run, T.StructType(out_fields))

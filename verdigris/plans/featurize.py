@@ -25,6 +25,24 @@ def rejects_from_images(images: DataFrame, image_col: str = "image") -> DataFram
               .select(canonical_path("origin").alias("path"), "reason"))
 
 
+def featurize_to(spark: SparkSession, path: str, out: str, size: int = PX.DEFAULT_SIZE,
+                 filter: str = "bicubic", glob: str | None = None, with_label: bool = False,
+                 pattern: str = LABEL_PATTERN) -> tuple[DataFrame, DataFrame]:
+    """Decode every image once and write ``path, reason, features[, label]``
+    to ``out``; returns (features, rejects) as filters over the written table."""
+    images = image_files(spark, path, glob=glob, drop_invalid=False)
+    rows = PX.image_features(images, size=size, filter=filter, keep_origin="__origin",
+                             with_rejects=True)
+    rows = rows.select(canonical_path("__origin").alias("path"), "reason", "features")
+    if with_label:
+        rows = rows.withColumn("label", label_from_name("path", pattern))
+    write_table(rows, out)
+    table = spark.read.parquet(out)
+    feats = table.where(F.col("reason").isNull()).drop("reason")
+    rejects = table.where(F.col("reason").isNotNull()).select("path", "reason")
+    return feats, rejects
+
+
 def featurize(spark: SparkSession, path: str, size: int = PX.DEFAULT_SIZE,
               filter: str = "bicubic", glob: str | None = None, with_label: bool = False,
               pattern: str = LABEL_PATTERN) -> tuple[DataFrame, DataFrame]:
