@@ -130,3 +130,20 @@ def test_first_n_per_class_with_repeated_keys_meets_quota(spark):
     assert counts == {"a": 77, "b": 10}
     flagged = D.rank_within_quota(df, "label", "key", q, 42, 4, flag_col="keep")
     assert flagged.count() == 340 and flagged.where("keep").count() == 87
+
+
+def test_hot_class_is_never_ranked_whole(spark):
+    # one class holds a third of 150k rows; only its cut bucket is windowed
+    n = 150_000
+    df = spark.range(n).select(F.col("id").alias("key"),
+                               F.when(F.col("id") % 3 == 0, "hot")
+                                .otherwise(F.concat(F.lit("c"), (F.col("id") % 97).cast("string")))
+                                .alias("label"))
+    stats = {}
+    out = D.rank_within_quota(df, "label", "key",
+                              D.class_distribution(df, "label").select(
+                                  "label", F.lit(700).cast("long").alias("quota")),
+                              stats=stats)
+    counts = {r["label"]: r["n"] for r in D.class_distribution(out).collect()}
+    assert counts["hot"] == 700 and all(v <= 700 for v in counts.values())
+    assert stats["ranked_rows"] < 200  # vs 50,000 rows in the hot class

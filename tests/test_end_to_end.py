@@ -142,3 +142,16 @@ def test_parallel_training_gives_the_same_metrics(spark, trained, two_class_dir)
     seq, _ = train_and_compare(train, test, (TR.NAIVE_BAYES, TR.DECISION_TREE))
     pick = lambda df: sorted((r["model"], r["accuracy"], r["weighted_f1"]) for r in df.collect())
     assert pick(m) == pick(seq)
+
+
+def test_build_and_train_flow(spark, two_class_dir, tmp_path):
+    from verdigris.plans.flow import build_and_train
+    res = build_and_train(spark, two_class_dir, str(tmp_path / "flow"), size=8,
+                          presets=(TR.NAIVE_BAYES, TR.RANDOM_FOREST), stratify=True)
+    m = {r["model"]: r for r in res.metrics.collect()}
+    assert set(m) == {TR.NAIVE_BAYES, TR.RANDOM_FOREST}
+    assert len(m[TR.NAIVE_BAYES]["confusion_matrix"]) == 2
+    assert res.rejects.count() == 0
+    assert res.registry.best().first()["accuracy"] >= 0.9
+    saved = spark.read.json(str(tmp_path / "flow" / "results"))
+    assert saved.count() == 2

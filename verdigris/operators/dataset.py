@@ -165,7 +165,7 @@ def join_on_basename(meta: DataFrame, feats: DataFrame, path_col: str = "path",
 
 def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFrame,
                       seed: int = DEFAULT_SEED, bucket_bits: int = 14,
-                      flag_col: str | None = None) -> DataFrame:
+                      flag_col: str | None = None, stats: dict | None = None) -> DataFrame:
     """Rows whose rank inside their class, by ``order_hash(key)`` then key, is
     at most the class's ``quota`` (``quota``: columns ``label_col, quota``).
 
@@ -220,9 +220,12 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
                .where(F.col("__b") == F.col("__cut"))
                .select(key_col, (F.row_number().over(order) <= F.col("__need")).alias("__edge_in"))
                .checkpoint())
-    stats = ranked.agg(F.count(F.lit(1)).alias("n"),
+    sizes = ranked.agg(F.count(F.lit(1)).alias("n"),
                        F.count_distinct(key_col).alias("k")).first()
-    if stats["n"] <= BROADCAST_MAX_ROWS and stats["n"] == stats["k"]:
+    if stats is not None:
+        # rows that went through the window (all classes together)
+        stats["ranked_rows"] = int(sizes["n"])
+    if sizes["n"] <= BROADCAST_MAX_ROWS and sizes["n"] == sizes["k"]:
         marked = (j.join(F.broadcast(ranked), key_col, "left")
                    .withColumn("__in", inside | F.coalesce(F.col("__edge_in"), F.lit(False)))
                    .drop("__edge_in"))
