@@ -155,3 +155,18 @@ def test_build_and_train_flow(spark, two_class_dir, tmp_path):
     assert res.registry.best().first()["accuracy"] >= 0.9
     saved = spark.read.json(str(tmp_path / "flow" / "results"))
     assert saved.count() == 2
+
+
+def test_scoring_reports_unreadable_images(spark, trained, tmp_path):
+    d = tmp_path / "mixed"
+    write_png(str(d / "ok___RS_Dark 1.png"), np.full((8, 8), 40, np.uint8))
+    with open(d / "broken___RS_Dark 2.png", "wb") as f:
+        f.write(b"not a png")
+    reg = trained["reg"]
+    out = score_images(image_files(spark, str(d)), reg.load(TR.NAIVE_BAYES), reg.label_map(),
+                       "Naive_Bayes", size=8, include_rejects=True)
+    rows = {os.path.basename(r["path"]): r for r in out.collect()}
+    assert rows["broken___RS_Dark 2.png"]["reason"] == "undecodable"
+    assert rows["broken___RS_Dark 2.png"]["prediction_label"] is None
+    assert rows["ok___RS_Dark 1.png"]["reason"] is None
+    assert rows["ok___RS_Dark 1.png"]["prediction_label"] in {"RS_Bright", "RS_Dark"}

@@ -24,12 +24,25 @@ def score_features(feats: DataFrame, model: PipelineModel, label_map: DataFrame,
 
 def score_images(images: DataFrame, model: PipelineModel, label_map: DataFrame,
                  model_name: str, size: int = PX.DEFAULT_SIZE, filter: str = "bicubic",
-                 image_col: str = "image", keep: tuple[str, ...] = ()) -> DataFrame:
+                 image_col: str = "image", keep: tuple[str, ...] = (),
+                 include_rejects: bool = False) -> DataFrame:
     """Image structs -> ``path, prediction_label, class_index, confidence,
-    model_used`` (plus ``keep`` columns).  Same plan for batch and streaming."""
+    model_used`` (plus ``keep`` columns).  Same plan for batch and streaming.
+
+    Unreadable images are left out, or with ``include_rejects=True`` returned
+    with NULL predictions and a ``reason`` (that side is JVM-only)."""
     feats = PX.image_features(images.select(*keep, image_col), size=size, filter=filter,
                               image_col=image_col, keep_origin="__origin")
     feats = feats.withColumn("path", canonical_path("__origin")).drop("__origin")
     scored = score_features(feats, model, label_map, model_name)
-    return scored.select(*keep, "path", "prediction_label", "class_index", "confidence",
-                         "model_used")
+    cols = [*keep, "path", "prediction_label", "class_index", "confidence", "model_used"]
+    scored = scored.select(*cols)
+    if not include_rejects:
+        return scored
+    rejects = (PX.image_rejects(images, image_col, keep=list(keep))
+                 .select(*keep, canonical_path("origin").alias("path"),
+                         F.lit(None).cast("string").alias("prediction_label"),
+                         F.lit(None).cast("string").alias("class_index"),
+                         F.lit(None).cast("double").alias("confidence"),
+                         F.lit(model_name).alias("model_used"), "reason"))
+    return scored.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects)
