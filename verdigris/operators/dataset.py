@@ -163,11 +163,13 @@ def join_on_basename(meta: DataFrame, feats: DataFrame, path_col: str = "path",
 # balancing and splitting
 # --------------------------------------------------------------------------
 
-def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFrame,
+def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota,
                       seed: int = DEFAULT_SEED, bucket_bits: int = 14,
                       flag_col: str | None = None, stats: dict | None = None) -> DataFrame:
     """Rows whose rank inside their class, by ``order_hash(key)`` then key, is
-    at most the class's ``quota`` (``quota``: columns ``label_col, quota``).
+    at most the class's ``quota`` (``quota``: columns ``label_col, quota``, or
+    a function from the per-class counts ``label_col, n`` to such a table;
+    the counts then come from the histogram, without another pass).
 
     With ``flag_col`` every row is kept and the flag tells whether it is
     within the quota; otherwise only those rows are returned.
@@ -178,7 +180,8 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
     class which bucket holds the cut.  Buckets below it are in, buckets above
     it are out, and only rows of the one cut bucket per class are ranked (a
     window over about n_class / 2^bits rows).  Cost: two narrow passes
-    (histogram; ranking the cut-bucket rows on class, key and hash) and one
+    (histogram, which also yields the class counts; ranking the cut-bucket
+    rows on class, key and hash) and one
     wide pass that keeps rows through a broadcast join of the ranked set;
     when that set fails the size check or has repeated keys, a second wide
     pass ranks the cut-bucket rows instead.  Only cut-bucket rows are shuffled.
@@ -194,7 +197,10 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
            .withColumn("__b", F.shiftright(
                F.conv(F.substring("__h", 1, hex_digits), 16, 10).cast("int"), shift)))
 
-    hist = (h.groupBy(label_col, "__b").agg(F.count(F.lit(1)).alias("__cnt")))
+    # per (class, bucket) counts: partial aggregation, at most classes x 2^bits rows
+    hist = h.groupBy(label_col, "__b").agg(F.count(F.lit(1)).alias("__cnt")).checkpoint()
+    if callable(quota):
+        quota = quota(hist.groupBy(label_col).agg(F.sum("__cnt").alias("n")))
     w = (Window.partitionBy(label_col).orderBy("__b")
                .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.withColumn("__before", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
@@ -245,7 +251,7 @@ def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota: DataFr
     return out.drop("__h", "__b", "__cut", "__need")
 
 
-def first_n_per_class(df: DataFrame, label_col: str, key_col: str, quota: DataFrame,
+def first_n_per_class(df: DataFrame, label_col: str, key_col: str, quota,
                       seed: int = DEFAULT_SEED, bucket_bits: int = 14) -> DataFrame:
     """Only the rows within their class's quota (see ``rank_within_quota``)."""
     return rank_within_quota(df, label_col, key_col, quota, seed, bucket_bits)
@@ -258,12 +264,12 @@ def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path"
     Which rows survive is decided by ``order_hash(key, seed)``; NULL labels are
     excluded.  Classes at or under the cap keep every row."""
     labelled = labelled_only(df, label_col)
-    # one row per class; the cap is a single number (one small aggregation)
-    counts = class_distribution(labelled, label_col)
-    smallest = counts.agg(F.min("n")).first()[0]
-    if smallest is None:
-        return labelled
-    quota = counts.select(label_col, F.lit(int(smallest) * factor).cast("long").alias("quota"))
+
+    def quota(counts: DataFrame) -> DataFrame:
+        # one row per class; the cap is a single number
+        smallest = counts.agg(F.min("n")).first()[0] or 0
+        return counts.select(label_col, F.lit(int(smallest) * factor).cast("long").alias("quota"))
+
     return first_n_per_class(labelled, label_col, key_col, quota, seed)
 
 
@@ -305,8 +311,9 @@ def stratified_hash_split(df: DataFrame, label_col: str, key_col: str, ratio: fl
     """Per class, exactly ``round(ratio × n_class)`` rows (first by
     ``order_hash``) go to ``names[0]`` (with 0.8, every class of three or more
     rows appears on both sides).  Rows with a NULL class go to ``names[0]``."""
-    counts = class_distribution(df, label_col)
-    quota = counts.select(label_col, F.round(F.col("n") * ratio).cast("long").alias("quota"))
+    def quota(counts: DataFrame) -> DataFrame:
+        return counts.select(label_col, F.round(F.col("n") * ratio).cast("long").alias("quota"))
+
     marked = rank_within_quota(df, label_col, key_col, quota, seed, flag_col="__first")
     return (marked.withColumn(split_col, F.when(F.col("__first"), F.lit(names[0]))
                               .otherwise(F.lit(names[1])))

@@ -16,7 +16,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "verdigris") -> SparkSession:
+                  app_name: str = "verdigris", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured like a small cluster profile (tests, bench)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -33,6 +33,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.driver.memory", os.environ.get("VERDIGRIS_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
