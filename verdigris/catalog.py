@@ -385,11 +385,12 @@ s AS (SELECT x.vec_id, x.label, x.j,
 sc AS (SELECT label, j, sum(s) AS t FROM s GROUP BY label, j),
 tot AS (SELECT label, sum(t) AS tt FROM sc GROUP BY label),
 nf AS (SELECT count(*) AS f FROM mm),
-th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + nf.f * 1.0) AS theta
-       FROM sc JOIN tot ON sc.label = tot.label CROSS JOIN nf),
+th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + (SELECT f FROM nf) * 1.0) AS theta
+       FROM sc JOIN tot ON sc.label = tot.label),
 cn AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
 k AS (SELECT count(*) AS k, sum(n) AS n FROM cn),
-pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln(k.n + k.k * 1.0) AS pi FROM cn CROSS JOIN k),
+pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln((SELECT n FROM k) + (SELECT k FROM k) * 1.0) AS pi
+       FROM cn),
 dot AS (SELECT s.vec_id, th.label AS c, sum(s.s * th.theta) AS d
         FROM s JOIN th ON s.j = th.j GROUP BY s.vec_id, th.label),
 raw AS (SELECT dot.vec_id, dot.c, dot.d + pr.pi AS raw FROM dot JOIN pr ON dot.c = pr.label),
@@ -651,11 +652,12 @@ s AS (SELECT x.vec_id, x.label, x.is_train, x.j,
 sc AS (SELECT label, j, sum(s) AS t FROM s WHERE is_train GROUP BY label, j),
 tot AS (SELECT label, sum(t) AS tt FROM sc GROUP BY label),
 nf AS (SELECT count(*) AS f FROM mm),
-th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + nf.f * 1.0) AS theta
-       FROM sc JOIN tot ON sc.label = tot.label CROSS JOIN nf),
+th AS (SELECT sc.label, sc.j, ln(sc.t + 1.0) - ln(tot.tt + (SELECT f FROM nf) * 1.0) AS theta
+       FROM sc JOIN tot ON sc.label = tot.label),
 cn AS (SELECT label, count(*) AS n FROM sp WHERE is_train GROUP BY label),
 k AS (SELECT count(*) AS k, sum(n) AS n FROM cn),
-pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln(k.n + k.k * 1.0) AS pi FROM cn CROSS JOIN k),
+pr AS (SELECT cn.label, ln(cn.n + 1.0) - ln((SELECT n FROM k) + (SELECT k FROM k) * 1.0) AS pi
+       FROM cn),
 dot AS (SELECT s.vec_id, s.label AS truth, th.label AS c, sum(s.s * th.theta) AS d
         FROM s JOIN th ON s.j = th.j WHERE NOT s.is_train GROUP BY s.vec_id, s.label, th.label),
 raw AS (SELECT dot.vec_id, dot.truth, dot.c, dot.d + pr.pi AS raw FROM dot JOIN pr ON dot.c = pr.label),
