@@ -170,3 +170,14 @@ def test_scoring_reports_unreadable_images(spark, trained, tmp_path):
     assert rows["broken___RS_Dark 2.png"]["prediction_label"] is None
     assert rows["ok___RS_Dark 1.png"]["reason"] is None
     assert rows["ok___RS_Dark 1.png"]["prediction_label"] in {"RS_Bright", "RS_Dark"}
+
+
+def test_metadata_and_features_join_for_odd_file_names(spark, tmp_path):
+    from verdigris.plans.prepare import join_metadata_features
+    d = tmp_path / "odd"
+    for name in ("a b___RS_LB 1.png", "p%20q___RS_LB 2.png", "plus+sign___RS_LB 3.png"):
+        write_png(str(d / name), np.full((4, 4), 9, np.uint8))
+    meta = image_metadata(spark, str(d))
+    feats, _ = featurize(spark, str(d), size=4)
+    joined = join_metadata_features(meta, feats)
+    assert joined.count() == 3

@@ -41,8 +41,12 @@ def test_basename_and_empty_key(spark):
 
 def test_canonical_path_equates_binaryfile_and_image_forms(spark):
     a = _one(spark, canonical_path("p"), "file:///tmp/a%20b.png")
-    b = _one(spark, canonical_path("p"), "file:/tmp/a b.png")
+    b = _one(spark, canonical_path("p", encoded=False), "file:/tmp/a b.png")
     assert a == b == "file:/tmp/a b.png"
+    # a name that literally contains "%20" (raw in binaryFile, "%2520" in image.origin)
+    c = _one(spark, canonical_path("p"), "file:///tmp/x%2520y.png")
+    d = _one(spark, canonical_path("p", encoded=False), "file:/tmp/x%20y.png")
+    assert c == d == "file:/tmp/x%20y.png"
 
 
 def test_healthy_flag_and_name_normalisation(spark):

@@ -22,7 +22,7 @@ def metadata_from_files(files: DataFrame, label: str = "name", pattern: str = LA
         lab = label_from_parent_dir("path")
     else:
         raise ValueError("label must be 'name' or 'parent'")
-    return files.select(canonical_path("path").alias("path"), lab.alias("label"),
+    return files.select(canonical_path("path", encoded=False).alias("path"), lab.alias("label"),
                         "length", "modificationTime")
 
 
