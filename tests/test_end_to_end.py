@@ -181,3 +181,4 @@ def test_metadata_and_features_join_for_odd_file_names(spark, tmp_path):
     feats, _ = featurize(spark, str(d), size=4)
     joined = join_metadata_features(meta, feats)
     assert joined.count() == 3
+    assert join_metadata_features(meta, feats, key="basename").count() == 3

@@ -36,7 +36,8 @@ def join_metadata_features(meta: DataFrame, feats: DataFrame, key: str = "path",
         joined = D.join_on_key(labelled, f, "path", "__fpath",
                                duplicates or "unique").drop("__fpath")
     elif key == "basename":
-        joined = D.join_on_basename(labelled, feats, "path", duplicates or "first")
+        # both sides hold canonical (already decoded) paths
+        joined = D.join_on_basename(labelled, feats, "path", duplicates or "first", decode=False)
     else:
         raise ValueError("key must be 'path' or 'basename'")
     return joined
