@@ -56,3 +56,11 @@ def test_confusion_lists_reference_layout(pred):
     r = EV.confusion_lists(EV.confusion_cells(pred)).first()
     assert r["classes"] == [0.0, 1.0, 3.0]
     assert r["confusion_matrix"] == [[1, 0, 0], [1, 1, 0], [0, 0, 0]]
+
+
+def test_mixed_label_and_prediction_types(spark):
+    df = spark.createDataFrame([(1, 1.0), (0, 1.0), (0, 0.0)], "label_index int, prediction double")
+    m = EV.evaluate(df).first()
+    assert m["accuracy"] == pytest.approx(2 / 3, abs=1e-6)
+    per = {r["label"]: r["recall"] for r in EV.per_class_metrics(EV.confusion_cells(df)).collect()}
+    assert per == {0.0: 0.5, 1.0: 1.0}

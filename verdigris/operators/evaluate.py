@@ -68,11 +68,13 @@ def per_class_metrics(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataF
     g = list(group_cols)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("long")
+    # truth and prediction may come with different numeric types (int label,
+    # double prediction): the class is compared as double
     sides = F.explode(F.array(
-        F.struct(F.col("label").alias("cls"), F.col("n").alias("t"), hit.alias("h"),
-                 zero.alias("p")),
-        F.struct(F.col("prediction").alias("cls"), zero.alias("t"), zero.alias("h"),
-                 F.col("n").alias("p"))))
+        F.struct(F.col("label").cast("double").alias("cls"), F.col("n").alias("t"),
+                 hit.alias("h"), zero.alias("p")),
+        F.struct(F.col("prediction").cast("double").alias("cls"), zero.alias("t"),
+                 zero.alias("h"), F.col("n").alias("p"))))
     per = (cells.select(*g, sides.alias("s"))
                 .groupBy(*g, F.col("s.cls").alias("label"))
                 .agg(F.sum("s.t").alias("n_true"), F.sum("s.p").alias("n_pred"),
