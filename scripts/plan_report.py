@@ -73,9 +73,11 @@ NOTES = """
 - The shuffle in `train_*` and pixel queries is `spread()`: the input is a
   single small file with fewer partitions than cores; a large input is not
   reshuffled.
-- `balance_exact` / `stratified_split`: the two broadcasts are the
-  checkpointed per-class cut table (size-checked); the single window ranks
-  only rows of each class's cut bucket.
+- `balance_exact` / `stratified_split`: the final plan reads the wide
+  table once, with no shuffle. Its two broadcasts are the checkpointed
+  per-class cut table and the ranked cut-bucket keys, both size-checked.
+  The window that ranks only the cut-bucket rows runs earlier, on a narrow
+  projection, and is checkpointed, so it does not appear here.
 - `weighted_metrics` / `best_model`: cells -> per-class (expand + aggregate)
   -> per-model; no join of the cell table with itself, one scan per input.
 - Windows without partitioning (`label_map`, `best_model`, `decode_label`)
