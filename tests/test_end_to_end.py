@@ -155,6 +155,10 @@ def test_build_and_train_flow(spark, two_class_dir, tmp_path):
     assert res.registry.best().first()["accuracy"] >= 0.9
     saved = spark.read.json(str(tmp_path / "flow" / "results"))
     assert saved.count() == 2
+    obj = json.loads(spark.read.text(str(tmp_path / "flow" / "results.json")).first()[0])
+    assert set(obj) == {TR.NAIVE_BAYES, TR.RANDOM_FOREST}
+    assert {"accuracy", "weighted_precision", "weighted_recall", "weighted_f1",
+            "confusion_matrix", "train_time_sec"} <= set(obj[TR.NAIVE_BAYES])
 
 
 def test_scoring_reports_unreadable_images(spark, trained, tmp_path):

@@ -14,7 +14,7 @@ from verdigris.plans.featurize import featurize_to
 from verdigris.plans.prepare import prepare, read_split, write_prepared
 from verdigris.plans.registry import ModelRegistry
 from verdigris.plans.training import as_training_rows, train_and_compare
-from verdigris.sources.sinks import export_results
+from verdigris.sources.sinks import export_results, write_json_object
 
 
 @dataclass
@@ -30,7 +30,8 @@ def build_and_train(spark: SparkSession, images_dir: str, out_dir: str,
                     stratify: bool = False, parallel: int = 1) -> FlowResult:
     """Run every step; outputs under ``out_dir``: ``features/``, ``prepared/``
     (data partitioned by split, label map), ``registry/`` (models + table),
-    ``results/`` (metrics, JSON)."""
+    ``results/`` (metrics as JSON lines), ``results.json`` (one object keyed
+    by model name)."""
     out = out_dir.rstrip("/")
     feats, rejects = featurize_to(spark, images_dir, f"{out}/features", size=size,
                                   with_label=True)
@@ -42,4 +43,6 @@ def build_and_train(spark: SparkSession, images_dir: str, out_dir: str,
     test = as_training_rows(read_split(spark, f"{out}/prepared", "test"))
     metrics, _ = train_and_compare(train, test, presets, registry, parallel=parallel)
     export_results(metrics, f"{out}/results", mode="overwrite", fmt="json")
+    # one JSON object keyed by model name (the reference's results layout)
+    write_json_object(metrics.drop("ord"), "model", f"{out}/results.json")
     return FlowResult(metrics, rejects, registry)

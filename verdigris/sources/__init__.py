@@ -2,4 +2,9 @@
 
 from verdigris.sources.files import binary_files, image_files  # noqa: F401
 from verdigris.sources.tables import json_table, read_table, rows_table  # noqa: F401
-from verdigris.sources.sinks import export_results, write_json_map, write_table  # noqa: F401
+from verdigris.sources.sinks import (  # noqa: F401
+    export_results,
+    write_json_map,
+    write_json_object,
+    write_table,
+)

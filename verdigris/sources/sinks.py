@@ -37,3 +37,14 @@ def export_results(df: DataFrame, path: str, mode: str = "append", fmt: str = "p
     """Append (or overwrite) a results table such as model metrics or a
     partition sweep; one small file per call."""
     df.coalesce(1).write.format(fmt).mode(mode).save(path)
+
+
+def write_json_object(df: DataFrame, key_col: str, path: str) -> None:
+    """Write a small table (one row per model or class) as one JSON object
+    ``{key: {other columns...}, ...}``; built with ``map_from_entries`` in one
+    aggregation."""
+    values = [c for c in df.columns if c != key_col]
+    entry = F.struct(F.col(key_col).cast("string").alias("k"), F.struct(*values).alias("v"))
+    obj = (df.select(entry.alias("e")).agg(F.collect_list("e").alias("es"))
+             .select(F.to_json(F.map_from_entries("es")).alias("value")))
+    obj.coalesce(1).write.mode("overwrite").text(path)
