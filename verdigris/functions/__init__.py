@@ -9,4 +9,5 @@ from verdigris.functions.labels import (  # noqa: F401
     normalise_name,
     uri_path,
 )
+from verdigris.functions.paths import canonical_path  # noqa: F401
 from verdigris.functions.vectors import confidence_pct, to_array, to_vector  # noqa: F401
