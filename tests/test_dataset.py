@@ -147,3 +147,11 @@ def test_hot_class_is_never_ranked_whole(spark):
     counts = {r["label"]: r["n"] for r in D.class_distribution(out).collect()}
     assert counts["hot"] == 700 and all(v <= 700 for v in counts.values())
     assert stats["ranked_rows"] < 200  # vs 50,000 rows in the hot class
+
+
+def test_balance_exact_same_rows_for_any_bucket_resolution(spark):
+    df = _skewed(spark)
+    a = {r[0] for r in D.balance_exact(df, "label", "key").select("key").collect()}
+    b = {r[0] for r in D.balance_exact(df, "label", "key", bucket_bits=24).select("key").collect()}
+    c = {r[0] for r in D.balance_exact(df, "label", "key", bucket_bits=4).select("key").collect()}
+    assert a == b == c

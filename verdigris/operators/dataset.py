@@ -258,11 +258,14 @@ def first_n_per_class(df: DataFrame, label_col: str, key_col: str, quota,
 
 
 def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path",
-                  factor: int = 2, seed: int = DEFAULT_SEED) -> DataFrame:
+                  factor: int = 2, seed: int = DEFAULT_SEED, bucket_bits: int = 14) -> DataFrame:
     """Cap every class at ``factor`` × the smallest class, exactly.
 
     Which rows survive is decided by ``order_hash(key, seed)``; NULL labels are
-    excluded.  Classes at or under the cap keep every row."""
+    excluded.  Classes at or under the cap keep every row.  At most about
+    n_class / 2^bucket_bits rows of a class are ranked in one task (a class of
+    3e10 rows: ~1.8M rows at 14 bits, ~1.8k at 24); raise ``bucket_bits``
+    for very large classes."""
     labelled = labelled_only(df, label_col)
 
     def quota(counts: DataFrame) -> DataFrame:
@@ -270,7 +273,7 @@ def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path"
         smallest = counts.agg(F.min("n")).first()[0] or 0
         return counts.select(label_col, F.lit(int(smallest) * factor).cast("long").alias("quota"))
 
-    return first_n_per_class(labelled, label_col, key_col, quota, seed)
+    return first_n_per_class(labelled, label_col, key_col, quota, seed, bucket_bits)
 
 
 def balance_bernoulli(df: DataFrame, label_col: str = "label", factor: int = 2,
@@ -307,14 +310,16 @@ def hash_split(df: DataFrame, key_col: str, ratio: float = 0.8, seed: int = DEFA
 
 def stratified_hash_split(df: DataFrame, label_col: str, key_col: str, ratio: float = 0.8,
                           seed: int = DEFAULT_SEED, split_col: str = "split",
-                          names: tuple[str, str] = ("train", "test")) -> DataFrame:
+                          names: tuple[str, str] = ("train", "test"),
+                          bucket_bits: int = 14) -> DataFrame:
     """Per class, exactly ``round(ratio × n_class)`` rows (first by
     ``order_hash``) go to ``names[0]`` (with 0.8, every class of three or more
     rows appears on both sides).  Rows with a NULL class go to ``names[0]``."""
     def quota(counts: DataFrame) -> DataFrame:
         return counts.select(label_col, F.round(F.col("n") * ratio).cast("long").alias("quota"))
 
-    marked = rank_within_quota(df, label_col, key_col, quota, seed, flag_col="__first")
+    marked = rank_within_quota(df, label_col, key_col, quota, seed, bucket_bits,
+                               flag_col="__first")
     return (marked.withColumn(split_col, F.when(F.col("__first"), F.lit(names[0]))
                               .otherwise(F.lit(names[1])))
                   .drop("__first"))
