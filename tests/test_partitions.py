@@ -40,3 +40,12 @@ def test_guard_rows_per_group(spark):
     out = {r["g"]: r for r in PT.guard_rows(df, "split", ("g",)).collect()}
     assert not out["a"]["skipped"] and out["b"]["skipped"]
     assert out["b"]["reason"] == "Only 3 training rows – too few" and out["b"]["test_rows"] == 1
+
+
+def test_spread_only_widens_narrow_inputs(spark):
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert PT.spread(wide, 8) is wide                         # large inputs are untouched
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert PT.spread(narrow, 8).rdd.getNumPartitions() == 8
+    p = PT.partition_profile(narrow, 4).first()
+    assert p["total_rows"] == 1000 and p["skew"] >= 1.0
