@@ -73,3 +73,16 @@ def test_registry_keeps_latest_row_per_model(spark, tmp_path):
     loaded = reg.load("Naive Bayes")
     assert loaded.transform(train).count() == 20
     assert L  # keep import
+
+
+def test_write_metadata_overwrites_with_declared_file_count(spark, tmp_path):
+    from verdigris.plans.ingest import write_metadata
+    for i in range(3):
+        write_png(str(tmp_path / "img" / f"f{i}___RS_LB {i}.png"), np.zeros((2, 2), np.uint8))
+    meta = image_metadata(spark, str(tmp_path / "img"))
+    out = str(tmp_path / "meta")
+    write_metadata(meta, out, num_files=2)
+    write_metadata(meta, out, num_files=2)          # overwrite, not append
+    back = read_table(spark, out)
+    assert back.count() == 3 and len(back.inputFiles()) == 2
+    assert set(back.columns) == {"path", "label", "length", "modificationTime"}
