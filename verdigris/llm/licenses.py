@@ -1,7 +1,7 @@
 """License scans by diagonal voting (DataFrame functions only).
 
-All rolling three-word grams of all documents are joined by hash to the grams
-of the license templates. A hit votes for the diagonal (document position less
+All rolling three-word grams of all documents are joined by 64-bit hash to the
+grams of the license templates. A hit votes for the diagonal (document position less
 template position). Full diagonals are exact occurrences; neighbouring
 diagonals of a template, shifted by inserted or dropped words, are merged and
 kept as a span if they cover enough of the template within a bounded length.
@@ -51,39 +51,39 @@ def license_words(text: Column) -> Column:
 
 
 def _grams(words: Column) -> Column:
+    """64-bit hashes of the rolling word grams."""
     return F.when(F.size(words) >= K, F.transform(
-        F.sequence(F.lit(0), F.size(words) - K),
-        lambda i: F.concat_ws(" ", *[words[i + j] for j in range(K)]))).otherwise(F.array().cast("array<string>"))
+        F.sequence(F.lit(0), F.size(words) - K), lambda i: F.xxhash64(*[words[i + j] for j in range(K)]))
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def template_grams(spark: SparkSession, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
-    """Rows (hash, gram, template, label, is_base, tpos, n_grams); a few words per template, so broadcast."""
+    """Rows (hash, template, label, is_base, tpos, n_grams); a few words per template, so broadcast."""
     rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"),
                               F.lit(i < len(base)).alias("is_base"), F.split(F.lit(text), " ").alias("words"))
                      for i, (label, text) in enumerate([*base, *templates])])
     t = spark.range(1).select(F.explode(rows).alias("t")).select("t.*")
-    return (t.select("template", "label", "is_base", (F.size("words") - (K - 1)).alias("n_grams"),
-                     F.posexplode(_grams(F.col("words"))).alias("tpos", "gram"))
-            .withColumn("hash", F.xxhash64("gram")))
+    return t.select(F.posexplode(_grams(F.col("words"))).alias("tpos", "hash"), "template", "label", "is_base",
+                    (F.size("words") - (K - 1)).alias("n_grams"))
 
 
 def gram_hits(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
     """One row per document and distinct vote, and one without template per document: keys and ``n_words``.
 
-    Partial aggregation folds the grams without a hit into one row a document before anything is shuffled.
+    A gram that marks the document itself goes before its grams, so documents
+    without a hit come out of the same join, and only hits and marks are aggregated.
     """
-    spark = docs.sparkSession
+    marks = template_grams(docs.sparkSession, base, templates).withColumn("from", F.lit(1))
+    known = marks.unionByName(docs.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("hash"), F.lit(0).alias("from")), allowMissingColumns=True)
+    mark = F.array(F.lit(0).cast("long"))
     grams = docs.select(
         "doc_id", F.xxhash64("text").alias("__text"),
-        let(license_words(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), _grams(w).alias("grams"))).alias("w"))
-    every = grams.select("doc_id", "__text", F.col("w.n").alias("n_words"),
-                         F.posexplode_outer("w.grams").alias("pos", "gram")).withColumn("hash", F.xxhash64("gram"))
-    known = template_grams(spark, base, templates).withColumnRenamed("gram", "__gram")
-    hits = every.join(F.broadcast(known), "hash", "left")
-    same = F.col("gram") == F.col("__gram")
-    return (hits.select("doc_id", "__text", "n_words", *[F.when(same, F.col(c)).alias(c) for c in
-                                                         ("template", "label", "is_base", "n_grams", "tpos")],
-                        F.when(same, F.col("pos") - F.col("tpos")).alias("diagonal"))
+        let(license_words(F.col("text")),
+            lambda w: F.struct(F.size(w).alias("n"), F.concat(mark, _grams(w)).alias("grams"))).alias("w"))
+    every = grams.select("doc_id", "__text", F.col("w.n").alias("n_words"), F.posexplode("w.grams").alias("pos", "hash"))
+    return (every.join(F.broadcast(known), "hash").where(F.least("pos", F.lit(1)) == F.col("from"))
+            .withColumn("diagonal", F.col("pos") - 1 - F.col("tpos"))
             .groupBy("doc_id", "__text", "n_words", "template", "label", "is_base", "n_grams", "diagonal", "tpos")
             .agg(F.lit(1).alias("vote")))
 
