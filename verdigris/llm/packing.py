@@ -11,6 +11,8 @@ on, at a fixed offset; every piece finds its row by its rank in its length.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -24,7 +26,11 @@ from verdigris.llm.common import number_within
 from verdigris.session import materialize
 
 CAPACITY, END_ID = 4096, 1
-CACHE_WORDS = 300_000
+CACHE_PARTS = 1_000_000
+#: ASCII and letters that lower one to one
+PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*").fullmatch
+# Fixed value: how the tokenizer splits words, for such texts in lower case
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -34,28 +40,48 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Ids(dict):
+    """Ids of what was asked before; computes what is missing and forgets all when full."""
+
+    def __init__(self, compute, most: int):
+        super().__init__()
+        self.compute, self.most = compute, most
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = ids = self.compute(key)
+        return ids
+
+
 class WordEncoder:
-    """Token ids of a text, word by word with a bounded cache.
+    """Token ids of a text, part by part with a bounded cache.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in turn.
+    The tokenizer lowers case, drops white space and never joins across it, so
+    a text's ids are its words' ids in turn. Texts of plain Latin letters and
+    ASCII are split like the tokenizer splits words, so that fewer different
+    parts are to be encoded; all others are split at white space only.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        encode = Tokenizer.from_file(path).encode
+
+        def ids(part: str) -> bytes:
+            found = encode(part, add_special_tokens=False).ids
+            return struct.pack(f"<{len(found)}I", *found)
+
+        self.parts = _Ids(ids, CACHE_PARTS)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = list(set().union(*words) - self.cache.keys())
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.cache.__getitem__, w)) for w in words]
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
+        if "<|" not in text and PLAIN(text):
+            parts = PARTS(text.lower())
+        else:
+            parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.parts.__getitem__, parts))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -72,13 +98,12 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         encoder = _ENCODERS[where]
         step = 4 * capacity
         for batch in batches:
-            for i in range(0, len(batch), 200):
-                b, out = batch.iloc[i:i + 200], []
-                for doc, ids in zip(b["doc_id"], encoder.encode([t or "" for t in b["text"]])):
-                    ids = memoryview(ids + end)
-                    out += [(doc, j // step, j // 4, min(step, len(ids) - j) // 4, zlib.crc32(ids[j:j + step]))
-                            for j in range(0, len(ids), step)]
-                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            out = []
+            for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
+                ids = memoryview(encoder.encode(text or "") + end)
+                out += [(doc, j // step, j // 4, min(step, len(ids) - j) // 4, zlib.crc32(ids[j:j + step]))
+                        for j in range(0, len(ids), step)]
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
 
