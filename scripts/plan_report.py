@@ -70,7 +70,7 @@ NOTES = """
   each) and scoring; no row-at-a-time UDF appears anywhere.
 - Scans read only the columns used (`read schema`), filters reach Parquet
   (`pushed filters`).
-- The shuffle in `train_*` and pixel queries is `spread()`: the input is a
+- The shuffle in `train_*` and pixel queries is `keyed_partitions()`: the input is a
   single small file with fewer partitions than cores; a large input is not
   reshuffled.
 - `balance_exact` / `stratified_split`: the final plan reads the wide

@@ -3,12 +3,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from verdigris import catalog
 from scripts.oracle_check import TABLES, rows_key, type_diff
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -155,3 +155,19 @@ def test_balance_exact_same_rows_for_any_bucket_resolution(spark):
     b = {r[0] for r in D.balance_exact(df, "label", "key", bucket_bits=24).select("key").collect()}
     c = {r[0] for r in D.balance_exact(df, "label", "key", bucket_bits=4).select("key").collect()}
     assert a == b == c
+
+
+def test_exact_balance_keeps_null_keys_within_the_cap(spark):
+    df = spark.createDataFrame([("a", None if i % 5 == 0 else f"k{i}") for i in range(200)]
+                               + [("b", f"b{i}") for i in range(30)], "label string, key string")
+    kept = {r["label"]: r["n"] for r in D.balance_exact(df, "label", "key", factor=2).groupBy("label")
+            .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kept == {"a": 60, "b": 30}
+
+
+def test_first_join_never_fans_out(spark):
+    right = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("b", 2, 12), ("b", 3, 13), ("c", 1, 14), ("c", 1, 15)],
+                                  "key string, ord int, v int")
+    left = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "key string")
+    got = sorted((r["key"], r["ord"]) for r in D.join_on_key(left, right, "key", "ord").collect())
+    assert got == [("a", 1), ("b", 2), ("c", 1)]

@@ -53,7 +53,9 @@ def test_grouped_evaluation_is_one_pass_per_model(spark):
 
 def test_confusion_lists_reference_layout(pred):
     # truth classes 0, 1, 3; the prediction of class 5 falls outside the axes
-    r = EV.confusion_lists(EV.confusion_cells(pred)).first()
+    full = EV.confusion_lists(EV.confusion_cells(pred)).first()
+    assert sum(map(sum, full["confusion_matrix"])) == pred.count()
+    r = EV.confusion_lists(EV.confusion_cells(pred), truth_only=True).first()
     assert r["classes"] == [0.0, 1.0, 3.0]
     assert r["confusion_matrix"] == [[1, 0, 0], [1, 1, 0], [0, 0, 0]]
 

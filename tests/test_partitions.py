@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+from pyspark.ml.functions import array_to_vector
+from verdigris.operators import train as TR
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -42,10 +45,28 @@ def test_guard_rows_per_group(spark):
     assert out["b"]["reason"] == "Only 3 training rows – too few" and out["b"]["test_rows"] == 1
 
 
-def test_spread_only_widens_narrow_inputs(spark):
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert PT.spread(wide, 8) is wide                         # large inputs are untouched
+def test_profile_counts_empty_partitions(spark):
     narrow = spark.range(0, 1000, numPartitions=1)
-    assert PT.spread(narrow, 8).rdd.getNumPartitions() == 8
     p = PT.partition_profile(narrow, 4).first()
-    assert p["total_rows"] == 1000 and p["skew"] >= 1.0
+    assert p["n_partitions"] == 4 and p["total_rows"] == 1000 and p["skew"] >= 1.0
+    one = narrow.repartition(8, F.lit(1))  # every row in one of eight partitions
+    p = PT.partition_profile(one).first()
+    assert (p["n_partitions"], p["min_partition_rows"], p["max_partition_rows"]) == (8, 0, 1000)
+    assert p["skew"] == 8.0
+
+
+def test_fit_depends_on_rows_and_parameters_only(spark):
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("path"), (F.col("id") % 3).cast("double").alias("label_index"),
+        array_to_vector(F.array(*[(F.xxhash64("id", F.lit(i)) % 100 / 100.0) for i in range(8)])).alias("features"))
+    base = rows.persist()
+
+    def predictions(train):
+        model = TR.fit_preset(TR.RANDOM_FOREST, train, num_partitions=4).model
+        return [r[0] for r in model.transform(rows).orderBy("path").select("prediction").collect()]
+
+    want = predictions(rows)
+    assert predictions(base) == want
+    assert predictions(rows.repartition(3)) == want
+    assert predictions(rows.repartition(11)) == want
+    base.unpersist()

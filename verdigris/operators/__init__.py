@@ -7,5 +7,5 @@ features    scaler stages for vectors, ``UnitClip``, ``scale_columns`` for table
 train       classifier presets and the [min-max, (clip), standard, classifier] pipeline
 evaluate    confusion cells -> per-class and weighted metrics, best model
 decode      class index -> name (size-checked broadcast), confidence
-partitions  ``spread``, partition profile, small-data guard, partition sweep
+partitions  ``keyed_partitions``, partition profile, small-data guard, partition sweep
 """

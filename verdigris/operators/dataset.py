@@ -33,9 +33,10 @@ class DuplicateKeyError(RuntimeError):
 
 def order_hash(key: str | Column, seed: int = DEFAULT_SEED) -> Column:
     """Lower-case hex md5 of ``"<seed>|<key>"``: a partition-independent
-    pseudo-random order for sampling and splitting."""
+    pseudo-random order for sampling and splitting.  NULL keys hash as one
+    key of their own, ``"<seed>|"`` followed by a NUL, so no row drops out."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}|"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(k.cast("string"), F.lit("\0"))))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -112,14 +113,13 @@ def duplicate_keys(df: DataFrame, key_col: str, count_col: str = "n") -> DataFra
 # --------------------------------------------------------------------------
 
 def _one_row_per_key(df: DataFrame, key_col: str, order_col: str) -> DataFrame:
-    """Keep, for every key, the row with the smallest ``order_col``.
-
-    Two partial (map-side combined) steps instead of a window: the smallest
-    ``order_col`` per key is found by aggregation, then rows are matched back
-    on ``order_col`` itself, which is unique and therefore never skewed."""
-    firsts = (df.where(F.col(key_col).isNotNull())
-                .groupBy(key_col).agg(F.min(order_col).alias("__first")))
-    return df.join(firsts.select(F.col("__first").alias(order_col)), order_col, "left_semi")
+    """Exactly one row for every key: one with the smallest ``order_col``.
+
+    One aggregation by key, so repeated keys, repeated order values and
+    repeated rows can never fan out; the join on the key reuses its shuffle."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return (df.where(F.col(key_col).isNotNull()).groupBy(key_col)
+              .agg(F.min_by(row, F.col(order_col)).alias("__row")).select("__row.*"))
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key_col: str,

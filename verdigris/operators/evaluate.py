@@ -37,19 +37,22 @@ def confusion_pivot(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFra
                  .na.fill(0).orderBy(*group_cols, "label"))
 
 
-def confusion_lists(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per group, the dense matrix as ``array<array<bigint>>`` over the truth
-    classes in ascending order (rows = truth, columns = prediction; other
-    predictions dropped) plus ``classes`` — the layout of the reference's
-    results export.  Built with array functions over the K classes of each
+def confusion_lists(cells: DataFrame, group_cols: Sequence[str] = (),
+                    truth_only: bool = False) -> DataFrame:
+    """Per group, the dense matrix as ``array<array<bigint>>`` over all classes
+    that occur as truth or prediction, in ascending order (rows = truth,
+    columns = prediction; it sums to the number of rows), plus ``classes``.
+    ``truth_only=True`` keeps the truth classes only and drops other
+    predictions — the layout of the reference's results export.  Built with array functions over the K classes of each
     group; nothing larger than K x K is formed."""
     g = list(group_cols)
     if not g:
         cells, g = cells.withColumn("__all", F.lit(0)), ["__all"]
-    truth = cells.groupBy(*g).agg(F.array_sort(F.collect_set("label")).alias("classes"))
-    rows = (cells.groupBy(*g, "label")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("m"))
-                 .join(truth, g))
+    axes = F.collect_set("label") if truth_only else F.array_union(F.collect_set("label"), F.collect_set("prediction"))
+    truth = cells.groupBy(*g).agg(F.array_sort(axes).alias("classes"))
+    known = (cells.groupBy(*g, "label")
+                  .agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("m")))
+    rows = truth.withColumn("label", F.explode("classes")).join(known, [*g, "label"], "left")
     rows = rows.select(*g, "label", "classes", F.transform(
         "classes", lambda c: F.coalesce(F.element_at("m", c), F.lit(0).cast("long"))).alias("row"))
     out = (rows.groupBy(*g, "classes")

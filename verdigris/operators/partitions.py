@@ -5,7 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,27 +33,36 @@ SWEEP_SCHEMA = T.StructType([
 ])
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Ensure CPU-heavy work (pixels, model fitting) has at least
-    ``min_partitions`` (default: the cluster's parallelism) partitions.
+def keyed_partitions(df: DataFrame, features_col: str = "features",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Rows in ``num_partitions`` partitions (default: the session's
+    ``spark.sql.shuffle.partitions``) by their own values, and in their order.
 
-    A round-robin repartition happens only when the input has fewer
-    partitions than that, i.e. for small inputs; large scans already have
-    more and are left untouched (no shuffle of image bytes)."""
-    if df.isStreaming:
-        return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    A fit that samples by partition then depends on the rows, the seed and this
+    number only: not on cores, caching or how the caller's rows were dealt."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vector = dict(df.dtypes)[features_col] == "vector"
+    features = vector_to_array(features_col) if vector else F.col(features_col)
+    plain = [c for c, t in df.dtypes if t != "vector" and not t.startswith(("array", "map", "struct"))]
+    keyed = df.withColumn("__key", F.xxhash64(features, *plain))
+    return keyed.repartition(n, "__key").sortWithinPartitions("__key", *plain).drop("__key")
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows per physical partition (``spark_partition_id``), one aggregation."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    """``partition, rows`` of every physical partition, empty ones included."""
+    def count(batches):
+        from pyspark import TaskContext
+        rows = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"partition": [TaskContext.get().partitionId()], "rows": [rows]},
+                                         pa.schema([("partition", pa.int32()), ("rows", pa.int64())]))
+
+    return df.mapInArrow(count, "partition int, rows long")
 
 
 def partition_profile(df: DataFrame, n: int | None = None) -> DataFrame:
-    """One row: ``n_partitions`` (non-empty), ``total_rows``, smallest and
-    largest partition and skew (largest / mean).  ``n`` repartitions first."""
+    """One row: ``n_partitions`` (empty ones count), ``total_rows``, smallest
+    and largest partition and skew (largest / mean; NULL without rows).
+    ``n`` repartitions first."""
     if n is not None:
         df = df.repartition(n)
     sizes = partition_sizes(df)
@@ -60,7 +71,7 @@ def partition_profile(df: DataFrame, n: int | None = None) -> DataFrame:
         F.sum("rows").cast("long").alias("total_rows"),
         F.min("rows").alias("min_partition_rows"),
         F.max("rows").alias("max_partition_rows"),
-        (F.max("rows") / F.avg("rows")).alias("skew"))
+        F.try_divide(F.max("rows"), F.avg("rows")).alias("skew"))
 
 
 def guard_rows(df: DataFrame, split_col: str = "split", group_cols: Sequence[str] = (),

@@ -202,25 +202,7 @@ def valid_images(df: DataFrame, image_col: str = "image") -> DataFrame:
 # mapInPandas plumbing
 # --------------------------------------------------------------------------
 
-_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def _bound_arrow_batches(spark) -> None:
-    """Cap Arrow batches by bytes as well as rows, unless the session already
-    sets a smaller cap (rows here are whole decoded images)."""
-    current = spark.conf.get(_BYTES_KEY, None)
-    try:
-        too_big = current is None or int(str(current).rstrip("bB")) > ARROW_BATCH_BYTES
-    except ValueError:
-        too_big = False
-    if too_big:
-        spark.conf.set(_BYTES_KEY, str(ARROW_BATCH_BYTES))
-
-
 def _flatten(df: DataFrame, image_col: str) -> tuple[DataFrame, list[T.StructField]]:
-    from verdigris.operators.partitions import spread
-    _bound_arrow_batches(df.sparkSession)
-    df = spread(df)
     rest = [f for f in df.schema.fields if f.name != image_col]
     im = F.col(image_col)
     flat = df.select(*[F.col(f.name) for f in rest],

@@ -83,17 +83,17 @@ def fit_timed(pipeline: Pipeline, train: DataFrame, name: str = "model") -> FitR
 
 
 def fit_preset(name: str, train: DataFrame, input_col: str = "features",
-               label_col: str = "label_index", scale: bool = True, **overrides) -> FitResult:
-    """Fit a preset pipeline.  The scalers and the classifier each pass over
-    the training rows, so unless the caller already cached them they are
-    persisted for the duration of the fit and released afterwards."""
+               label_col: str = "label_index", scale: bool = True,
+               num_partitions: int | None = None, **overrides) -> FitResult:
+    """Fit a preset pipeline.  The rows are dealt into ``num_partitions`` by
+    their values (see ``keyed_partitions``), so a model depends on the rows and
+    the parameters only; they are persisted for the passes of the fit and
+    released afterwards."""
     from pyspark import StorageLevel
 
-    from verdigris.operators.partitions import spread
+    from verdigris.operators.partitions import keyed_partitions
     clf = classifier(name, label_col=label_col, **overrides)
-    if train.storageLevel != StorageLevel.NONE:
-        return fit_timed(make_pipeline(clf, input_col, scale), train, name)
-    rows = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = keyed_partitions(train, input_col, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return fit_timed(make_pipeline(clf, input_col, scale), rows, name)
     finally:

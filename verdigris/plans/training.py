@@ -12,8 +12,9 @@ from verdigris.functions.vectors import to_vector
 from verdigris.operators import dataset as D
 from verdigris.operators import evaluate as EV
 from verdigris.operators import train as TR
-from verdigris.operators.partitions import spread
+from verdigris.operators.partitions import keyed_partitions
 from verdigris.plans.registry import ModelRegistry
+from verdigris.session import materialize
 
 
 def as_training_rows(df: DataFrame, features_col: str = "features") -> DataFrame:
@@ -24,7 +25,8 @@ def as_training_rows(df: DataFrame, features_col: str = "features") -> DataFrame
 def train_and_compare(train: DataFrame, test: DataFrame,
                       presets: Sequence[str] = TR.PRESET_ORDER,
                       registry: ModelRegistry | None = None,
-                      label_col: str = "label_index", parallel: int = 1) -> tuple[DataFrame, dict]:
+                      label_col: str = "label_index", parallel: int = 1,
+                      num_partitions: int | None = None) -> tuple[DataFrame, dict]:
     """Fit every preset on ``train``, predict ``test``, and evaluate all models
     in one aggregation grouped by model.
 
@@ -33,8 +35,13 @@ def train_and_compare(train: DataFrame, test: DataFrame,
     cluster, so per-model times then overlap).  Returns (metrics table ordered
     by accuracy, {name: FitResult}).  With a registry, each model is saved
     and its metrics row appended."""
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = keyed_partitions(train, num_partitions=num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(name: str) -> TR.FitResult:
+        # the rows already are in keyed partitions, as fit_preset would deal them
+        return TR.fit_timed(TR.make_pipeline(TR.classifier(name, label_col=label_col)), train, name)
+
     try:
         D.require_rows(train, "no training rows")
         train.count()
@@ -42,16 +49,17 @@ def train_and_compare(train: DataFrame, test: DataFrame,
         if parallel > 1:
             from concurrent.futures import ThreadPoolExecutor
             with ThreadPoolExecutor(max_workers=parallel) as pool:
-                futures = {n: pool.submit(TR.fit_preset, n, train, label_col=label_col)
+                futures = {n: pool.submit(fit, n)
                            for n in presets}
                 fits = {n: f.result() for n, f in futures.items()}
         else:
-            fits = {n: TR.fit_preset(n, train, label_col=label_col) for n in presets}
+            fits = {n: fit(n) for n in presets}
         preds = [fits[name].model.transform(test).select(
                      F.lit(name).alias("model"), F.lit(ord_).alias("ord"), label_col, "prediction")
                  for ord_, name in enumerate(presets)]
         all_preds = D.union_all(preds)
-        cells = EV.confusion_cells(all_preds, label_col, "prediction", ("model", "ord"))
+        # at most K x K rows a model; written, as two results are made of them
+        cells = materialize(EV.confusion_cells(all_preds, label_col, "prediction", ("model", "ord")), "cells")
         metrics = EV.metrics_from_cells(cells, ("model", "ord"), digits=4).join(
             EV.confusion_lists(cells, ("model", "ord")), ["model", "ord"])
         times = train.sparkSession.createDataFrame(

@@ -40,10 +40,13 @@ def image_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
 def score_stream(spark: SparkSession, in_dir: str, model: PipelineModel,
                  label_map: DataFrame, model_name: str, out_dir: str, checkpoint: str,
                  size: int = PX.DEFAULT_SIZE, max_files_per_trigger: int | None = None,
-                 available_now: bool = True, interval: str | None = None) -> StreamingQuery:
-    """Score images as they arrive in ``in_dir``; append to Parquet ``out_dir``."""
+                 available_now: bool = True, interval: str | None = None,
+                 include_rejects: bool = False) -> StreamingQuery:
+    """Score images as they arrive in ``in_dir``; append to Parquet ``out_dir``.
+    With ``include_rejects`` unreadable images are rows with their reason; the
+    source is then read a second time for them."""
     scored = score_images(image_stream(spark, in_dir, max_files_per_trigger), model,
-                          label_map, model_name, size=size)
+                          label_map, model_name, size=size, include_rejects=include_rejects)
     writer = (scored.writeStream.format("parquet").outputMode("append")
                     .option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now, interval).start(out_dir)
