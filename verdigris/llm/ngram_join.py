@@ -7,10 +7,12 @@ fall into one class, classes of equal size and prefix into one group. Groups
 that share a prefix n-gram are candidates; their members are expanded and
 verified on whole sets.
 
-Components need no more links than connect them. So each round links a group
-only to one hub among the groups it shares n-grams with; afterwards only
-members of still different components are compared, all of them in the last
-step. No link that could join two components is left out.
+Candidates are compared by parity sketches first: the number of differing bits
+is a lower bound of the symmetric difference, so no link is lost. Components
+need no more links than connect them: in the first rounds every member is
+verified only against the nearest member of another component that it shares an
+n-gram with; in the last step all pairs are that pass and are still apart. No
+link that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -29,7 +31,10 @@ WORDS, PERCENT = 4, 85
 HEAVY = 1 << 18  # most frequent n-grams whose order is by count; the others are ordered by hash, before them
 MIN_IN_BATCH = 3
 CHUNK = 64
-STAR_ROUNDS = 2
+BLOCK = 1024
+FEW = 8
+ROUNDS, EARLY = 2, 4  # first rounds, and the postings of a group that they look at
+BROADCAST_IDS = 4_000_000  # more ids than these are joined by a shuffle
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -47,8 +52,23 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     n = min(words, len(w))
     out = np.full(len(w) - n + 1, n, dtype=np.uint64)
     for i in range(n):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(w) - n + 1 + i])
-    return np.unique(out)
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(w) - n + 1 + i]
+    return np.unique(_mix(out))
+
+
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, one to two a member: how many members hash to a bit, modulo 2."""
+    bits = max(512, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def _fold(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) brought to ``width`` words; bounds stay bounds."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -78,7 +98,7 @@ def heavy_shingles(docs: DataFrame, words: int = WORDS, most: int = HEAVY) -> np
 
 
 def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n (set size), f1 and f2 (fingerprint of the set), g (of the prefix) and the prefix."""
+    """Per row: doc_id, n (set size), f1 and f2 (fingerprint of the set), g (of the prefix), prefix and sketch."""
     at = np.argsort(heavy, kind="stable")
     known, place = heavy[at], (at + 1).astype(np.int64)
 
@@ -88,7 +108,7 @@ def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, per
             for doc, text in zip(b["doc_id"], b["text"]):
                 s = shingle_set(text, words)
                 if len(s) == 0:
-                    out.append((doc, 0, 0, 0, 0, []))
+                    out.append((doc, 0, 0, 0, 0, [], b""))
                     continue
                 order = np.zeros(len(s), dtype=np.int64)
                 if len(known):
@@ -96,11 +116,11 @@ def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, per
                     order = np.where(known[i] == s, place[i], 0)
                 p = s[np.argsort(order, kind="stable")[:prefix_length(len(s), percent)]]
                 f = [int(_as_long(x.sum(keepdims=True))[0]) for x in (_mix(s), _mix(s ^ np.uint64(0xA5A5A5A5)), _mix(p))]
-                out.append((doc, len(s), *f, _as_long(p)))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "f1", "f2", "g", "prefix"])
+                out.append((doc, len(s), *f, _as_long(p), parity_sketch(s).tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", "n", "f1", "f2", "g", "prefix", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        measure, "doc_id long, n long, f1 long, f2 long, g long, prefix array<long>")
+        measure, "doc_id long, n long, f1 long, f2 long, g long, prefix array<long>, sketch binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -159,11 +179,120 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: in
             .mapInPandas(check, "a long, b long"))
 
 
-def _labelled(groups: DataFrame, label: DataFrame | None) -> DataFrame:
+def _apart(ids: np.ndarray, gids: np.ndarray, n: np.ndarray, labels: np.ndarray, sketches: list, first: np.ndarray,
+           own_token: bool, percent: int, every: bool) -> list[tuple[int, int, int]]:
+    """(a, b, distance) of pairs of one block pair that are in different components and may be similar.
+
+    ``first`` marks the rows of the first block; a pair of two blocks has one row of each. Members of one
+    group are compared at their group's own token alone. Only each row's nearest partner unless ``every``.
+    """
+    out, best = [], {}
+    two = not first.all()
+    widths = np.array([len(x) // 8 for x in sketches])
+    for w in np.unique(widths):  # sizes that can be similar differ by one width at most
+        rows = np.flatnonzero(widths == w)
+        cols = np.flatnonzero((widths == w) | (widths == 2 * w))
+        left = np.frombuffer(b"".join(sketches[i] for i in rows), dtype=np.uint64).reshape(len(rows), w)
+        right = np.concatenate([_fold(np.frombuffer(sketches[i], dtype=np.uint64)[None, :], w) for i in cols])
+        for i, sketch in zip(rows, left):
+            ok = (labels[cols] != labels[i]) & (np.minimum(n[cols], n[i]) * 100 >= np.maximum(n[cols], n[i]) * percent)
+            ok &= (widths[cols] > w) | (ids[cols] > ids[i])
+            if two:
+                ok &= first[cols] != first[i]
+            if not own_token:
+                ok &= gids[cols] != gids[i]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            away = np.bitwise_count(right[at] ^ sketch).sum(axis=1, dtype=np.int64)
+            near = away * (100 + percent) <= (n[cols[at]] + n[i]) * (100 - percent)
+            for j, d in zip(cols[at[near]].tolist(), away[near].tolist()):
+                if every:
+                    out.append((int(ids[i]), int(ids[j]), d))
+                else:
+                    for x, y in ((i, j), (j, i)):
+                        if x not in best or (d, ids[y]) < best[x]:
+                            best[x] = (d, ids[y])
+    return out if every else [(int(ids[x]), int(y), int(d)) for x, (d, y) in best.items()]
+
+
+def _apart_few(ids, gids, n, labels, sketches, first, own_token: bool, percent: int, every: bool) -> list:
+    """``_apart`` for a handful of rows, where plain integers are faster than arrays."""
+    ids, gids, n, labels = ids.tolist(), gids.tolist(), n.tolist(), labels.tolist()
+    two, out, best = not first.all(), [], {}
+    for i in range(len(ids)):
+        for j in range(i + 1, len(ids)):
+            if (labels[i] == labels[j] or (two and first[i] == first[j]) or (gids[i] == gids[j] and not own_token)
+                    or min(n[i], n[j]) * 100 < max(n[i], n[j]) * percent):
+                continue
+            width = min(len(sketches[i]), len(sketches[j]))
+            x, y = (_folded_int(sketches[k], width) for k in (i, j))
+            d = (x ^ y).bit_count()
+            if d * (100 + percent) > (n[i] + n[j]) * (100 - percent):
+                continue
+            if every:
+                out.append((ids[i], ids[j], d))
+            else:
+                for x, y in ((i, j), (j, i)):
+                    if x not in best or (d, ids[y]) < best[x]:
+                        best[x] = (d, ids[y])
+    return out if every else [(ids[x], y, d) for x, (d, y) in best.items()]
+
+
+def _folded_int(sketch: bytes, width: int) -> int:
+    """A sketch as one integer, brought to ``width`` bytes."""
+    x, size = int.from_bytes(sketch, "little"), len(sketch)
+    while size > width:
+        size //= 2
+        x = (x >> (8 * size)) ^ (x & ((1 << (8 * size)) - 1))
+    return x
+
+
+def candidates(postings: DataFrame, members: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs (a, b, distance) of members that share a token, pass the sketch and are still apart.
+
+    A token's members are dealt into blocks of about ``BLOCK`` and pairs of blocks are compared, each by one
+    task, so a token that very many members share is split. ``postings`` has token, gid, id and label,
+    ``members`` id, n and sketch; sketches travel only with tokens that still span several components.
+    """
+    sized = postings.groupBy("token").agg(F.count(F.lit(1)).alias("__n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    sized = sized.where("lo <> hi").select("token", F.ceil(F.col("__n") / BLOCK).cast("int").alias("blocks"))
+    open_ = materialize(postings.join(sized, "token"), "open_postings")
+    dealt = (open_.join(members.select("id", "n", "sketch"), "id")
+             .withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"),
+                     (F.col("i") <= F.col("j")).alias("first"), "gid", "id", "n", "label", "sketch"))
+
+    def compare(rows: pd.DataFrame, last: bool) -> tuple[list, int]:
+        """Pairs of all groups but, unless ``last``, the final one, which may go on; and its first row."""
+        key = rows[["token", "lo", "hi"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), *([len(rows)] if last else [])]
+        columns = [rows[c].to_numpy() for c in ("id", "gid", "n", "label")]
+        first, sketches, own, out = rows["first"].to_numpy(), rows["sketch"].tolist(), key[:, 0] == columns[1], []
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            out += (_apart_few if e - s <= FEW else _apart)(
+                *[c[s:e] for c in columns], sketches[s:e], first[s:e], bool(own[s:e].all()), percent, every)
+        return out, cuts[-1]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if len(rows):
+                out, at = compare(rows, False)
+                held = rows.iloc[at:]
+                yield pd.DataFrame(out, columns=["a", "b", "d"])
+        if held is not None:
+            yield pd.DataFrame(compare(held, True)[0], columns=["a", "b", "d"])
+
+    return (dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+            .mapInPandas(scan, "a long, b long, d long"))
+
+
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
     """Members with the label of their component so far."""
-    if label is None:
-        return groups.withColumn("label", F.col("id"))
-    return (groups.join(label.withColumnRenamed("node", "id"), "id", "left")
+    return (members.join(label.withColumnRenamed("node", "id"), "id", "left")
             .withColumn("label", F.coalesce("label", "id")))
 
 
@@ -180,58 +309,41 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # rows that repeat an id with another text join the classes of that id
     twice = (full.select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).groupBy("doc_id")
              .agg(F.min("id").alias("b"), F.max("id").alias("a")).where("a <> b").select("a", "b"))
-    groups = classes.select("id", "n", F.min("id").over(Window.partitionBy("n", "g")).alias("gid"))
-    groups = materialize(groups.dropDuplicates(["id"]), "groups")
+    grouped = Window.partitionBy("n", "g")
+    groups = materialize(classes.dropDuplicates(["id"]).select("id", "n", F.min("id").over(grouped).alias("gid"),
+                                                               F.count(F.lit(1)).over(grouped).alias("size")), "groups")
     leads = groups.where("id = gid").select(F.col("gid").alias("doc_id"), F.col("n").alias("__n"))
     posted = (full.select("doc_id", "n", "prefix").join(leads, "doc_id").where("n = __n").dropDuplicates(["doc_id"])
-              .select(F.col("doc_id").alias("gid"), "n", F.explode("prefix").alias("token")))
+              .select(F.col("doc_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token")))
+    # n-grams that two groups share, and one token of their own for groups of several members. At the first
+    # n-gram that a similar pair shares, neither can have lost too many before it for the other's size
     by_token = Window.partitionBy("token")
-    # postings of n-grams that two groups share; a hub outside the size bound is no candidate
-    shared = materialize(posted.withColumn("__df", F.count(F.lit(1)).over(by_token)).where("__df > 1").drop("__df"), "postings")
-    members = groups.join(shared.select("gid").distinct()
-                          .union(groups.where("id <> gid").select("gid").distinct()).distinct(), "gid", "left_semi")
-    wanted = members.select(F.col("id").alias("doc_id"))
+    partner = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
+    posted = posted.withColumn("__least", F.min("n").over(by_token)).where(partner >= F.col("__least"))
+    df = F.count(F.lit(1)).over(by_token)
+    own = groups.where("id = gid AND size > 1").select("gid", F.lit(-1).alias("pos"), F.col("gid").alias("token"))
+    shared = posted.withColumn("__df", df).where("__df > 1").select("gid", "pos", "token").union(own)
+    early = F.row_number().over(Window.partitionBy("gid").orderBy("pos")) <= EARLY
+    shared = materialize(shared.select("gid", "token", early.alias("early")), "postings")
+    members = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
+    wanted = materialize(members.select(F.col("id").alias("doc_id")), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    members = materialize(members.join(full.select(F.col("doc_id").alias("id"), "n", "sketch"), ["id", "n"])
+                          .dropDuplicates(["id"]).select("id", "gid", "n", "sketch"), "members")
     texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
                         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text"), "texts")
-    links, label = materialize(twice, "links"), None
-    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    for r in range(STAR_ROUNDS):
-        if r:
-            label = components(links)
-        now = _labelled(groups, label)
-        state = now.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        open_ = shared.join(state, "gid") if r else shared.withColumn("low", F.col("gid")).withColumn("high", F.col("gid"))
-        pick = F.struct((F.xxhash64(F.lit(r), "low") if r else F.col("low")).alias("turn"), "gid", "n", "low", "high")
-        hub = F.min(pick).over(by_token)
-        star = (open_.withColumn("hub", hub).withColumn("hub_n", F.col("hub.n"))
-                .where((F.col("gid") != F.col("hub.gid")) & fits
-                       & ~((F.col("low") == F.col("high")) & (F.col("low") == F.col("hub.low")) & (F.col("low") == F.col("hub.high"))))
-                .groupBy("gid", F.col("hub.gid").alias("hub")).agg(F.count(F.lit(1)).alias("common"))
-                .groupBy("gid").agg(F.max_by("hub", F.struct("common", "hub")).alias("hub")))
-        pairs = now.join(star, "gid").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        if not r:
-            pairs = pairs.union(groups.where("id <> gid").select(F.col("id").alias("a"), F.col("gid").alias("b")))
-        links = materialize(links.union(verified(pairs.where("a <> b").distinct(), texts, words, percent)), "links")
-    # whatever is still apart: all group pairs of a shared n-gram, expanded to their members
-    label = components(links)
-    now = materialize(_labelled(groups, label), "members")
-    state = now.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = materialize(shared.join(state, "gid"), "open")
-    spread = open_.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
-    open_ = open_.join(spread, "token", "left_semi")
-    left, right = open_.alias("l"), open_.alias("r")
-    apart = ~((F.col("l.low") == F.col("l.high")) & (F.col("r.low") == F.col("r.high")) & (F.col("l.low") == F.col("r.low")))
-    near = F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent
-    group_pairs = (left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.gid") < F.col("r.gid")) & near & apart)
-                   .select(F.col("l.gid").alias("ga"), F.col("r.gid").alias("gb")).distinct())
-    within = now.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    group_pairs = group_pairs.union(within.select("gid", "gid"))
-    side = lambda s: now.select(F.col("gid").alias(f"g{s}"), F.col("id").alias(s), F.col("label").alias(f"l{s}"))
-    pairs = (group_pairs.join(side("a"), "ga").join(side("b"), "gb")
-             .where("la <> lb AND (ga <> gb OR a < b)").select("a", "b"))
-    links = materialize(links.union(verified(pairs, texts, words, percent)), "links")
-    label = components(links)
-    named = materialize(_labelled(classes.select("n", "f1", "f2", "id"), label), "labelled_classes")
+    links = materialize(twice, "links")
+    for r in range(ROUNDS + 1):
+        every = r == ROUNDS
+        now = materialize(_labelled(members, components(links)), "labelled")
+        postings = shared if every else shared.where("early")
+        found = candidates(postings.select("token", "gid").join(now.select("gid", "id", "label"), "gid"), now, percent, every)
+        if not every:
+            found = found.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
+        pairs = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        links = materialize(links.union(verified(pairs, texts, words, percent)), "links")
+    named = materialize(_labelled(classes.select("n", "f1", "f2", "id"), components(links)), "labelled_classes")
     return (rows.select("doc_id", F.col("n").alias("n_shingles"), "n", "f1", "f2")
             .join(named.select("n", "f1", "f2", "label"), ["n", "f1", "f2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
