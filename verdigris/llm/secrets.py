@@ -65,10 +65,23 @@ def random_strings(seed: int = 5, each: int = 300) -> list[str]:
 
 
 def _outside(text: str, spans: list, pattern: re.Pattern) -> list[re.Match]:
-    """Matches of ``pattern`` that touch no span."""
-    if not spans:
-        return list(pattern.finditer(text))
-    return [m for m in pattern.finditer(text) if all(m.end() <= s or m.start() >= e for s, _, e in spans)]
+    """Matches of ``pattern`` that touch no span; ``spans`` are sorted by start, so one pass over both is enough."""
+    out, at, covered = [], 0, 0  # covered: where the spans that start before a match's end are all over
+    for m in pattern.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            covered = max(covered, spans[at][2])
+            at += 1
+        if covered <= m.start():
+            out.append(m)
+    return out
+
+
+def _pairs(tokens: list[str]) -> np.ndarray:
+    """How often each character follows each other within the tokens, which use the alphabet only."""
+    c = _codes("\n".join(tokens))  # a line end has the last state, which no token uses
+    n = np.bincount(c[:-1] * N_STATES + c[1:], minlength=N_STATES ** 2).reshape(N_STATES, N_STATES)
+    n[-1, :] = n[:, -1] = 0
+    return n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +89,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, N_STATES, N_STATES), dtype=np.int64)
         for text in batch["text"].to_pylist():
             spans = base_spans(text or "")
-            words = [(0, m[0]) for m in _outside(text or "", spans, SAMPLE_TOKEN)]
-            for label, token in words + [(1, text[s:e]) for s, k, e in spans if k]:
-                c = _codes(token)
-                np.add.at(counts[label], (c[:-1], c[1:]), 1)
+            counts[0] += _pairs([m[0] for m in _outside(text or "", spans, SAMPLE_TOKEN)])
+            counts[1] += _pairs([text[s:e] for s, k, e in spans if k])
         at = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*at, counts[at])], ["label", "a", "b", "n"])
 
@@ -98,9 +109,7 @@ def train(docs: DataFrame, sample_docs: int = TRAIN_DOCS) -> np.ndarray:
     counts = np.ones((2, N_STATES, N_STATES))
     for r in rows:
         counts[r["label"], r["a"], r["b"]] += r["n"]
-    for token in random_strings():
-        c = _codes(token)
-        np.add.at(counts[1], (c[:-1], c[1:]), 1)
+    counts[1] += _pairs(random_strings())
     chance = counts / counts.sum(axis=2, keepdims=True)
     return np.log(chance[1]) - np.log(chance[0])
 
