@@ -26,7 +26,7 @@ from verdigris.llm.common import number_within
 from verdigris.session import materialize
 
 CAPACITY, END_ID = 4096, 1
-CACHE_PARTS = 1_000_000
+CACHE_PARTS, CACHE_WORDS = 1_000_000, 200_000
 #: ASCII and letters that lower one to one
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*").fullmatch
 # Fixed value: how the tokenizer splits words, for such texts in lower case
@@ -60,28 +60,35 @@ class WordEncoder:
     The tokenizer lowers case, drops white space and never joins across it, so
     a text's ids are its words' ids in turn. Texts of plain Latin letters and
     ASCII are split like the tokenizer splits words, so that fewer different
-    parts are to be encoded; all others are split at white space only.
+    parts are to be encoded, and go to its merges at once; all others are split
+    at white space only and encoded in full.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        encode, merge = tokenizer.encode, tokenizer.model.tokenize
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        table = {c: as_bytes(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
-        def ids(part: str) -> bytes:
-            found = encode(part, add_special_tokens=False).ids
+        def part_ids(part: str) -> bytes:
+            found = [t.id for t in merge(part.translate(table))]
             return struct.pack(f"<{len(found)}I", *found)
 
-        self.parts = _Ids(ids, CACHE_PARTS)
+        def word_ids(word: str) -> bytes:
+            found = encode(word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(found)}I", *found)
+
+        self.parts, self.words = _Ids(part_ids, CACHE_PARTS), _Ids(word_ids, CACHE_WORDS)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
         if "<|" not in text and PLAIN(text):
-            parts = PARTS(text.lower())
-        else:
-            parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.parts.__getitem__, parts))
+            return b"".join(map(self.parts.__getitem__, PARTS(text.lower())))
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.words.__getitem__, words))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
