@@ -316,10 +316,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     posted = (full.select("doc_id", "n", "prefix").join(leads, "doc_id").where("n = __n").dropDuplicates(["doc_id"])
               .select(F.col("doc_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token")))
     # n-grams that two groups share, and one token of their own for groups of several members. At the first
-    # n-gram that a similar pair shares, neither can have lost too many before it for the other's size
+    # n-gram that a similar pair shares, neither can have lost too many before it for the other's size; and
+    # of the groups that hold the n-gram, the next smaller or the next larger must be near enough in size
     by_token = Window.partitionBy("token")
-    partner = (F.col("n") - F.col("pos")) * (100 + percent) / percent - F.col("n")
-    posted = posted.withColumn("__least", F.min("n").over(by_token)).where(partner >= F.col("__least"))
+    by_size = by_token.orderBy("n")
+    fits = lambda m: (F.col("n") - F.col("pos")) * (100 + percent) >= (F.col("n") + F.col(m)) * percent
+    posted = (posted.select("*", F.min("n").over(by_size).alias("__least"), F.lag("n").over(by_size).alias("__less"),
+                            F.lead("n").over(by_size).alias("__more"))
+              .where(((F.col("__less") * 100 >= F.col("n") * percent) & fits("__least"))
+                     | ((F.col("__more") * percent <= F.col("n") * 100) & fits("__more"))))
     df = F.count(F.lit(1)).over(by_token)
     own = groups.where("id = gid AND size > 1").select("gid", F.lit(-1).alias("pos"), F.col("gid").alias("token"))
     shared = posted.withColumn("__df", df).where("__df > 1").select("gid", "pos", "token").union(own)
