@@ -300,7 +300,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """doc_id, n_shingles and component_id of every row.
 
     Rows without words are linked with nothing. Equal texts are linked; a doc_id is one node, so rows that
-    repeat it share a component. An empty table gives no rows.
+    repeat it share a component; of an id's different texts, one stands for it where similar texts are
+    searched. Rows without doc_id have the component of an equal text, else none. An empty table gives no rows.
     """
     heavy = heavy_shingles(docs, words)
     rows = materialize(shingle_features(docs, heavy, words, percent), "shingles")
@@ -312,8 +313,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     grouped = Window.partitionBy("n", "g")
     groups = materialize(classes.dropDuplicates(["id"]).select("id", "n", F.min("id").over(grouped).alias("gid"),
                                                                F.count(F.lit(1)).over(grouped).alias("size")), "groups")
-    leads = groups.where("id = gid").select(F.col("gid").alias("doc_id"), F.col("n").alias("__n"))
-    posted = (full.select("doc_id", "n", "prefix").join(leads, "doc_id").where("n = __n").dropDuplicates(["doc_id"])
+    leads = groups.where("id = gid").select(F.col("gid").alias("doc_id"), "n")
+    posted = (full.select("doc_id", "n", "prefix").join(leads, ["doc_id", "n"]).dropDuplicates(["doc_id", "n"])
               .select(F.col("doc_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token")))
     # n-grams that two groups share, and one token of their own for groups of several members. At the first
     # n-gram that a similar pair shares, neither can have lost too many before it for the other's size; and
@@ -331,13 +332,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     early = F.row_number().over(Window.partitionBy("gid").orderBy("pos")) <= EARLY
     shared = materialize(shared.select("gid", "token", early.alias("early")), "postings")
     members = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
-    wanted = materialize(members.select(F.col("id").alias("doc_id")), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    once = rows.groupBy("doc_id").agg((F.count(F.lit(1)) == 1).alias("once"))
+    wanted = materialize(members.select(F.col("id").alias("doc_id")).join(once, "doc_id"), "wanted")
+    hint = F.broadcast if wanted.count() <= BROADCAST_IDS else lambda ids: ids
     members = materialize(members.join(full.select(F.col("doc_id").alias("id"), "n", "sketch"), ["id", "n"])
-                          .dropDuplicates(["id"]).select("id", "gid", "n", "sketch"), "members")
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-                        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text"), "texts")
+                          .dropDuplicates(["id", "n"]).select("id", "gid", "n", "sketch"), "members")
+    # only texts of repeated ids are shuffled to leave one of each
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    single = whole.join(hint(wanted.where("once")), "doc_id", "left_semi")
+    several = whole.join(hint(wanted.where("NOT once")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = materialize(single.unionByName(several).select(F.col("doc_id").alias("id"), "text"), "texts")
     links = materialize(twice, "links")
     for r in range(ROUNDS + 1):
         every = r == ROUNDS
