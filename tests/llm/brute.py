@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -123,3 +124,96 @@ def top_k(rows, queries, k=5):
             best = sorted((-int((v * u).sum()), i) for i, u in ok if i != q)[:k]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     return sorted(out)
+
+
+def more_measures(text):
+    """``measures`` and what the certified rules need besides."""
+    text = text or ""
+    w = words(text)
+    return measures(text) | {"n_capitals": sum("A" <= c <= "Z" for c in text),
+                             "n_lines": sum(bool(SPACE.search(x)) for x in text.split("\n"))}
+
+
+def cutoffs(rows, labels, rules, risk, delta):
+    """stratum -> rule -> cutoff, from (doc_id, stratum, text) rows and (doc_id, quality) labels."""
+    truth = {}
+    for doc, q in labels:
+        if q is not None:
+            truth[doc] = min(q, truth.get(doc, q))
+    known, strata = collections.defaultdict(list), {s for d, s, _ in rows if d in truth}
+    for doc, stratum, text in rows:
+        if truth.get(doc) in (0, 1):
+            known[stratum].append((zlib.crc32(str(doc).encode()) % 2 == 0, truth[doc], more_measures(text)))
+    tests = max(1, len(strata)) * sum(len(cs) for _, _, cs in rules.values())
+    p, out = risk / len(rules), {}
+    for stratum, found in known.items():
+        n = sum(held and q == 1 for held, q, _ in found)
+        out[stratum] = {}
+        for name, (above, below, grid) in rules.items():
+            tried = []
+            for c in grid:
+                hit = [(held, q) for held, q, m in found if 1000 * m[above] > c * m[below]]
+                x, caught = hit.count((True, 1)), hit.count((False, 0))
+                bound = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(x + 1)) if x < n * p else 1
+                if bound <= delta / tests and caught:
+                    tried.append((caught, c))
+            if tried:
+                out[stratum][name] = max(tried)[1]
+    return out
+
+
+def kept(text, cuts, rules):
+    m = more_measures(text)
+    return not m["base_failed"] and not any(1000 * m[rules[r][0]] > c * m[rules[r][1]] for r, c in cuts.items())
+
+
+def redacted(text, spans):
+    """The text with each run of overlapping spans (kind:start:end, comma-joined) replaced by a mark."""
+    hidden = set()
+    starts = []
+    for _, s, e in sorted((x.split(":") for x in spans.split(",") if x), key=lambda x: int(x[1])):
+        if int(s) not in hidden:
+            starts.append(int(s))
+        hidden.update(range(int(s), int(e)))
+    return "".join("[secret]" if i in starts else "" if i in hidden else c for i, c in enumerate(text))
+
+
+def url_templates(rows, depth=6, wide=20, rare=0.2, prior=10.0, z=2.0):
+    """(host, path) -> (template, blocked share), from (host, path, labelled, blocked) rows, one tree a host."""
+    def smoothed(found, share):
+        return (sum(b for *_, b in found) + prior * share) / (sum(n for *_, n, _ in found) + prior)
+
+    labelled = sum(r[2] for r in rows)
+    overall = sum(r[3] for r in rows) / labelled if labelled else 0.0
+    out = {}
+
+    def grow(level, prefix, share, found):
+        ended = [r for r in found if len(r[4]) <= level]
+        out.update({(r[0], r[1]): (prefix, share) for r in ended})
+        branches = collections.defaultdict(list)
+        for r in found:
+            if len(r[4]) > level:
+                branches[r[4][level]].append(r)
+        going = [r for x in branches.values() for r in x]
+        total_n, total_b = sum(r[2] for r in going), sum(r[3] for r in going)
+        single = sum(len(x) == 1 for x in branches.values())
+        merged = collections.defaultdict(list)
+        for segment, x in branches.items():
+            n, b = sum(r[2] for r in x), sum(r[3] for r in x)
+            step = segment
+            number = bool(re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", segment))
+            if number or (len(branches) >= wide and len(x) < rare * len(going) and 2 * single >= len(branches)):
+                step = "{var}"
+            elif len(branches) > 1 and 0 < n < total_n:
+                s = total_b / total_n
+                error = math.sqrt(s * (1 - s) * (1 / n + 1 / (total_n - n)))
+                if abs(b / n - (total_b - b) / (total_n - n)) <= z * error:
+                    step = "{any}"
+            merged[step] += x
+        for step, x in merged.items():
+            grow(level + 1, f"{prefix}/{step}", smoothed([r[:4] for r in x], share), x)
+
+    for host in {r[0] for r in rows}:
+        found = [(*r, r[1].removeprefix("/").split("/", depth - 1)) for r in rows if r[0] == host]
+        grow(0, "", smoothed([r[:4] for r in found], overall), found)
+    return out

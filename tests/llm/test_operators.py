@@ -140,6 +140,31 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.where("false")).count() == 0
 
 
+def test_url_tree(spark):
+    import random
+
+    rng = random.Random(9)
+    hosts = ["a.com", "b.com", "example.org", "q.net", ""]
+    names = ["fr", "de", "es", "shop", "en"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(names)}/{rng.choice(['p', 'q', str(rng.randrange(50))])}"
+            f"/{rng.choice(['x', 'y/z', f'id{rng.randrange(400)}', '7.html', 'a/b/c/d/e/f/g'])}" for _ in range(600)]
+    urls += [f"http://wide.net/{x}/{i}" for i, x in enumerate("abc" * 20)] + [f"http://w.com/de{i}x/k" for i in range(40)]
+    urls += [f"http://w.com/{d}/n{i}" for i in range(60) for d in ("de", "fr", "it")] + [None, "nothing", "http://q.net"]
+    urls += [f"http://bad.com/{'de' if i % 12 else 'it'}/{i}" for i in range(60)]  # what lies beside blocked paths only
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+    got = url_filter.judge_urls(pages).collect()
+    rows = [(h, p, int(bool(r)), int(bool(r) and r[3] == "block")) for u in urls
+            for h, p in [B.split_url(u)] for r in [B.rule(h, p, url_filter.RULES)]]
+    want = B.url_templates(rows)
+    assert len(got) == len(urls) and len({t for t, _ in want.values()}) > 20
+    for r in got:
+        template, share = want[r["host"], r["path"]]
+        assert (r["template"], r["blocked_share"]) == (template, pytest.approx(share, abs=1e-6)), r
+        if r["rule"] is None:
+            assert r["verdict"] == ("block" if share > 0.5 else "allow")
+    assert any(r["rule"] is None and r["verdict"] == "block" for r in got)
+
+
 def test_top_k(spark):
     import random
 
