@@ -6,7 +6,7 @@ and read again, and all but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdigris.llm import mixing, ngram_join, packing, quality, secrets
@@ -16,33 +16,53 @@ from verdigris.session import materialize
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _row(*columns: str) -> Column:
+    """The row hash by which ``quality_rules`` and ``mix`` let rows be joined back."""
+    return F.xxhash64(*[c for name in columns for c in (F.col(name), F.lit("|"))][:-1])
+
+
+def _same_row() -> Column:
+    """A row and its decision (``__of_id``, ``__of_row``); rows without doc_id have theirs too."""
+    return F.col("doc_id").eqNullSafe(F.col("__of_id")) & (F.col("__row") == F.col("__of_row"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs."""
+    """Documents that pass the base rules and the certified cutoffs.
+
+    Null and empty texts go; repeated rows and rows without doc_id are judged like all others.
+    """
+    docs = docs.select(*COLUMNS)
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
-    kept = judged.where("kept").select("doc_id", "__row").distinct()
-    row = F.xxhash64("doc_id", F.lit("|"), "lang", F.lit("|"), "text")
-    return docs.withColumn("__row", row).join(kept, ["doc_id", "__row"], "left_semi").select(*COLUMNS)
+    kept = judged.where("kept").select(F.col("doc_id").alias("__of_id"), F.col("__row").alias("__of_row")).distinct()
+    return docs.withColumn("__row", _row("doc_id", "lang", "text")).join(kept, _same_row(), "left_semi").select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one of smallest id."""
-    found = ngram_join.jaccard_components(docs)
+    """One document of each component: the one of smallest id.
+
+    One row of each id stays; rows without doc_id cannot be the smallest of a component and all stay.
+    """
+    docs = docs.select(*COLUMNS)
+    named = docs.where("doc_id IS NOT NULL")
+    found = ngram_join.jaccard_components(named)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark."""
+    """All documents, their secrets replaced by a mark; a null text stays null."""
     model = secrets.train(docs)
     found = secrets.find_secrets(docs, model, ["doc_id", "lang", "source"], clean="text")
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
-    mixed = materialize(mixing.mix(docs).select("doc_id", "__row", "copies").distinct(), "copies")
-    row = F.xxhash64("doc_id", F.lit("|"), "source", F.lit("|"), "text")
-    return (docs.withColumn("__row", row).join(mixed.where("copies > 0"), ["doc_id", "__row"])
+    """Every document as many times as the mix takes it; repeated rows are taken alike, each by itself."""
+    docs = docs.select(*COLUMNS)
+    mixed = mixing.mix(docs).select(F.col("doc_id").alias("__of_id"), F.col("__row").alias("__of_row"), "copies")
+    mixed = materialize(mixed.distinct(), "copies")
+    return (docs.withColumn("__row", _row("doc_id", "source", "text")).join(mixed.where("copies > 0"), _same_row())
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS))
 
 
