@@ -81,6 +81,26 @@ def test_licenses(docs, none, rows):
     assert licenses.license_documents(none).count() == 0
 
 
+def _license_rows(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    return sorted(licenses.license_documents(docs).collect(), key=lambda r: r["doc_id"])
+
+
+def test_license_templates_are_found(spark):
+    """Every template as it stands, and the longest of each label with a word dropped in."""
+    longest = {}
+    for label, text in licenses.TEMPLATES:
+        longest[label] = max(longest.get(label, ""), text, key=lambda t: len(t.split()))
+    texts = [(label, f"some words before {t}. some words after it") for label, t in licenses.TEMPLATES]
+    for label, t in longest.items():
+        w = t.split()
+        texts.append((label, " ".join(["before", *w[:2], "indeed", *w[2:], "and after"])))
+    texts += [("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
+              ("all-rights-reserved", "All rights reserved. All rights reserved. All rights reserved.")]
+    for (label, text), r in zip(texts, _license_rows(spark, texts), strict=True):
+        assert label in r["labels"].split(",") and r["score"] >= licenses.COVER, (label, text, r["labels"])
+
+
 def test_secrets(docs, none):
     for r in secrets.secret_documents(docs).collect():
         want = B.secret_digest(TEXTS[r["doc_id"]])

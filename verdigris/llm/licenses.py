@@ -9,6 +9,8 @@ kept as a span if they cover enough of the template within a bounded length.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from verdigris.llm.common import let
 K = 3
 SHIFT = 3
 COVER, STRETCH = 0.6, 1.5
+TEMPLATE = "array<struct<template: int, label: string, is_base: boolean, words: array<string>>>"
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -24,7 +27,7 @@ TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
 
 # Opening or characteristic sentences of widespread licenses (public texts).
-TEMPLATES = (
+OPENINGS = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
             "associated documentation files"),
     ("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance "
@@ -33,15 +36,55 @@ TEMPLATES = (
             "provided that the following conditions are met"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
             "general public license as published by the free software foundation"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+             "lesser general public license as published by the free software foundation"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+             "affero general public license as published by the free software foundation"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee "
             "is hereby granted"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
-    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("all-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
 )
 
+# Versions that follow an opening, and names by which short notices tell a license.
+VERSIONS = (("gpl", "2"), ("gpl", "3"), ("lgpl", "2.1"), ("lgpl", "3"), ("agpl", "3"))
+GNU = (("gpl", "gnu general public license"), ("lgpl", "gnu lesser general public license"),
+       ("agpl", "gnu affero general public license"))
+NAMES = (
+    ("mit", "the mit license"), ("isc", "the isc license"),
+    ("apache-2", "apache license version 2 0"), ("apache-2", "apache license 2 0"), ("apache-2", "apache 2 0 license"),
+    ("bsd", "the bsd license"), ("bsd-2", "2 clause bsd license"), ("bsd-2", "bsd 2 clause license"),
+    ("bsd-2", "simplified bsd license"), ("bsd-3", "3 clause bsd license"), ("bsd-3", "bsd 3 clause license"),
+    ("bsd-3", "new bsd license"),
+    ("mpl", "mozilla public license"), ("mpl-1.1", "mozilla public license version 1 1"),
+    ("mpl-2", "mozilla public license version 2 0"), ("mpl-2", "mozilla public license 2 0"),
+    *GNU, *((f"{label}-{v}", f"{name} {how}{v.replace('.', ' ')}") for label, v in VERSIONS
+            for name in (dict(GNU)[label], f"gnu {label}") for how in ("version ", "v")),
+    ("cc0", "creative commons zero"), ("cc0", "cc0 1 0 universal"), ("all-rights-reserved", "all rights reserved"),
+)
+CC = (("cc-by", "", ""), ("cc-by-sa", "sharealike ", " sa"), ("cc-by-nc", "noncommercial ", " nc"),
+      ("cc-by-nd", "noderivatives ", " nd"), ("cc-by-nc-sa", "noncommercial sharealike ", " nc sa"),
+      ("cc-by-nc-nd", "noncommercial noderivatives ", " nc nd"))
+
+
+def _templates() -> tuple:
+    """Openings, openings with a version, names alone and in a notice, names of the Creative Commons variants."""
+    notice = "this work is licensed under "
+    opening = dict(OPENINGS)
+    cc = []
+    for label, long, short in CC:
+        for kind in ("4 0 international license", "3 0 unported license", "license"):
+            cc += [(label, f"{lead}creative commons attribution {long}{kind}") for lead in (notice + "a ", "")]
+        cc += [(label, f"{lead}cc by{short} {v} 0") for lead in (notice, "") for v in (4, 3)]
+        cc += [(label, f"cc by{short}")] if short else []
+    return (*OPENINGS, *((f"{label}-{v}", f"{opening[label]} either version {v.replace('.', ' ')} of the license")
+                         for label, v in VERSIONS),
+            *NAMES, *((label, notice + ("" if name.startswith("the ") else "the ") + name) for label, name in NAMES
+                      if not name.startswith(("all ", "cc0 "))), *cc)
+
+
+TEMPLATES = _templates()
+
 
 def license_words(text: Column) -> Column:
     """Words of a lower-cased text. Only ASCII capitals can matter to the ASCII templates; the Kelvin
@@ -59,10 +102,9 @@ def _grams(words: Column) -> Column:
 
 def template_grams(spark: SparkSession, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
     """Rows (hash, template, label, is_base, tpos, n_grams); a few words per template, so broadcast."""
-    rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"),
-                              F.lit(i < len(base)).alias("is_base"), F.split(F.lit(text), " ").alias("words"))
-                     for i, (label, text) in enumerate([*base, *templates])])
-    t = spark.range(1).select(F.explode(rows).alias("t")).select("t.*")
+    rows = [{"template": i, "label": label, "is_base": i < len(base), "words": text.split(" ")}
+            for i, (label, text) in enumerate([*base, *templates])]
+    t = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), TEMPLATE)))
     return t.select(F.posexplode(_grams(F.col("words"))).alias("tpos", "hash"), "template", "label", "is_base",
                     (F.size("words") - (K - 1)).alias("n_grams"))
 
@@ -100,7 +142,9 @@ def license_scan(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLAT
     votes = gram_hits(docs, base, templates)
     # merge neighbouring diagonals of one template
     along = Window.partitionBy(*of, "template").orderBy("diagonal", "tpos")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > SHIFT, F.lit(True))
+    # a short template is shifted by fewer words, so that copies of it side by side stay apart
+    shift = F.least(F.lit(SHIFT), F.floor((F.col("n_grams") + (K - 1)) / 3))
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > shift, F.lit(True))
     merged = (votes.withColumn("__new", apart.cast("int"))
               .withColumn("__span", F.sum("__new").over(along))
               .groupBy(*of, "template", "label", "is_base", "n_grams", "__span")
