@@ -101,6 +101,24 @@ def test_license_templates_are_found(spark):
         assert label in r["labels"].split(",") and r["score"] >= licenses.COVER, (label, text, r["labels"])
 
 
+def test_license_spans_tell_templates_apart(spark):
+    """A notice gets its own label, not those of templates that share most of its words."""
+    texts = [(label, f"some words before {t}. some words after it") for label, t in licenses.TEMPLATES]
+    cc = "This work is licensed under a Creative Commons Attribution"
+    gnu = "This work is licensed under the GNU"
+    texts += [
+        ("cc-by", f"{cc} 4.0 International License."), ("cc-by-sa", f"{cc}-ShareAlike 4.0 International License."),
+        ("cc-by-nc", f"{cc}-NonCommercial 4.0 International License."),
+        ("cc-by-nc-nd", f"{cc}-NonCommercial-NoDerivatives 4.0 International License."),
+        ("cc-by-sa", f"{cc}-ShareAlike 4.0 (International) Public License."),
+        ("gpl-3", f"{gnu} General Public License, version 3."), ("gpl", f"{gnu} General Public License, version 1."),
+        ("lgpl-2.1", f"{gnu} Lesser General Public License, version 2.1"), ("", f"{gnu} Manifesto, the MIT report."),
+        ("cc-by,gpl-3", f"{cc} 4.0 International License. {gnu} General Public License, version 3.")]
+    for (label, text), r in zip(texts, _license_rows(spark, texts), strict=True):
+        more = set(r["labels"].split(",")) - (set(r["base_labels"].split(",")) - {label})
+        assert ",".join(sorted(more - {""})) == label, (label, text, r["labels"])
+
+
 def test_secrets(docs, none):
     for r in secrets.secret_documents(docs).collect():
         want = B.secret_digest(TEXTS[r["doc_id"]])

@@ -4,12 +4,15 @@ All rolling three-word grams of all documents are joined by 64-bit hash to the
 grams of the license templates. A hit votes for the diagonal (document position less
 template position). Full diagonals are exact occurrences; neighbouring
 diagonals of a template, shifted by inserted or dropped words, are merged and
-kept as a span if they cover enough of the template within a bounded length.
+kept as a span if they cover enough of the template within a bounded length,
+and if the words found tell the template from those of other labels. Of
+overlapping spans the one that covers most stays.
 """
 
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +22,8 @@ from verdigris.llm.common import let
 K = 3
 SHIFT = 3
 COVER, STRETCH = 0.6, 1.5
-TEMPLATE = "array<struct<template: int, label: string, is_base: boolean, words: array<string>>>"
+TEMPLATE = ("array<struct<template: int, label: string, is_base: boolean, words: array<string>, "
+            "rivals: array<array<int>>>>")
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -100,13 +104,26 @@ def _grams(words: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def _rivals(templates: list) -> list:
+    """Per template and gram: the templates of other labels that hold the gram, but not the whole template."""
+    grams = [[tuple(w[j:j + K]) for j in range(len(w) - K + 1)] for w in (text.split(" ") for _, text in templates)]
+    sets, holders = [set(g) for g in grams], defaultdict(list)
+    for i, g in enumerate(sets):
+        for x in g:
+            holders[x].append(i)
+    return [[[j for j in holders[x] if templates[j][0] != templates[i][0] and not sets[i] <= sets[j]] for x in g]
+            for i, g in enumerate(grams)]
+
+
 def template_grams(spark: SparkSession, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
-    """Rows (hash, template, label, is_base, tpos, n_grams); a few words per template, so broadcast."""
-    rows = [{"template": i, "label": label, "is_base": i < len(base), "words": text.split(" ")}
+    """Rows (hash, template, label, is_base, tpos, n_grams, rivals); a few words per template, so broadcast."""
+    rivals = [*([[]] * (len(t.split(" ")) - K + 1) for _, t in base), *_rivals(list(templates))]
+    rows = [{"template": i, "label": label, "is_base": i < len(base), "words": text.split(" "), "rivals": rivals[i]}
             for i, (label, text) in enumerate([*base, *templates])]
     t = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), TEMPLATE)))
-    return t.select(F.posexplode(_grams(F.col("words"))).alias("tpos", "hash"), "template", "label", "is_base",
-                    (F.size("words") - (K - 1)).alias("n_grams"))
+    return (t.select(F.posexplode(_grams(F.col("words"))).alias("tpos", "hash"), "template", "label", "is_base",
+                     (F.size("words") - (K - 1)).alias("n_grams"), "rivals")
+            .withColumn("rivals", F.get("rivals", F.col("tpos"))))
 
 
 def gram_hits(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
@@ -127,7 +144,17 @@ def gram_hits(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES)
     return (every.join(F.broadcast(known), "hash").where(F.least("pos", F.lit(1)) == F.col("from"))
             .withColumn("diagonal", F.col("pos") - 1 - F.col("tpos"))
             .groupBy("doc_id", "__text", "n_words", "template", "label", "is_base", "n_grams", "diagonal", "tpos")
-            .agg(F.lit(1).alias("vote")))
+            .agg(F.first("rivals").alias("rivals")))
+
+
+def _best(spans: str) -> Column:
+    """Of overlapping spans the one with most grams, then the higher coverage, the first, the earlier template."""
+    ranked = F.array_sort(F.transform(spans, lambda x: F.struct(
+        x["order"], (-x["coverage"]).alias("short"), x["first"], x["template"], x["end"], x["label"], x["coverage"])))
+    none = F.filter(ranked, lambda x: F.lit(False))
+    kept = F.aggregate(ranked, none, lambda held, x: F.when(
+        F.exists(held, lambda y: (y["first"] < x["end"]) & (x["first"] < y["end"])), held).otherwise(F.concat(held, F.array(x))))
+    return F.array_sort(F.transform(kept, lambda x: F.struct(x["first"], x["end"], x["label"], x["coverage"])))
 
 
 def license_scan(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
@@ -148,14 +175,18 @@ def license_scan(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLAT
     merged = (votes.withColumn("__new", apart.cast("int"))
               .withColumn("__span", F.sum("__new").over(along))
               .groupBy(*of, "template", "label", "is_base", "n_grams", "__span")
-              .agg(F.count_distinct("tpos").alias("covered"),
+              .agg(F.size(F.collect_set("tpos")).alias("covered"), F.collect_set("rivals").alias("rivals"),
                    F.min(F.col("diagonal") + F.col("tpos")).alias("first"),
                    (F.max(F.col("diagonal") + F.col("tpos")) + K).alias("end")))
     length = F.col("n_grams") + (K - 1)
+    # a template of another label that holds all grams found explains them as well: they tell nothing
+    told = F.size(F.aggregate("rivals", F.get("rivals", F.lit(0)), F.array_intersect)) == 0
     verified = (~F.col("is_base") & (F.col("covered") >= F.ceil(F.col("n_grams") * COVER))
-                & (F.col("end") - F.col("first") <= length * STRETCH))
-    spans = merged.groupBy(*of).agg(F.sort_array(F.collect_list(F.when(verified, F.struct(
-        "first", F.col("end").alias("end"), "label", (F.col("covered") / F.col("n_grams")).alias("coverage"))))).alias("spans"))
+                & (F.col("end") - F.col("first") <= length * STRETCH) & told)
+    spans = merged.groupBy(*of).agg(F.collect_list(F.when(verified, F.struct(
+        (-F.col("covered")).alias("order"), (F.col("covered") / F.col("n_grams")).alias("coverage"), "first", "end",
+        "label", "template"))).alias("spans"))
+    spans = spans.withColumn("spans", _best("spans"))
     # base places: diagonals on which every gram of the phrase has voted
     full = (votes.groupBy(*of, "template", "label", "is_base", "n_grams", "diagonal").agg(F.count(F.lit(1)).alias("n"))
             .groupBy(*of).agg(F.sort_array(F.collect_list(F.when(
