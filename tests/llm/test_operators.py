@@ -119,6 +119,18 @@ def test_license_spans_tell_templates_apart(spark):
         assert ",".join(sorted(more - {""})) == label, (label, text, r["labels"])
 
 
+def test_licenses_of_rows_without_doc_id(spark):
+    texts = ["under the MIT license", "under the MIT license", "CC BY NC, under the MIT license. CC BY NC", None, None, ""]
+    rows = [(d, t) for d in (None, None, 7) for t in texts]
+    got = licenses.license_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = []
+    for d, t in rows:
+        n, places = B.license_places(t, licenses.BASE)
+        at = (places[0][0], places[-1][0]) if places else (None, None)
+        want.append((d, n, len(places), *at, ",".join(sorted({x for _, x in places}))))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)[:6]) for r in got)
+
+
 def test_secrets(docs, none):
     for r in secrets.secret_documents(docs).collect():
         want = B.secret_digest(TEXTS[r["doc_id"]])

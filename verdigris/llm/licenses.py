@@ -127,7 +127,7 @@ def template_grams(spark: SparkSession, base: tuple = BASE, templates: tuple = T
 
 
 def gram_hits(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
-    """One row per document and distinct vote, and one without template per document: keys and ``n_words``.
+    """One row per document and distinct vote, and one without template per document: keys, ``n_words`` and ``copies``.
 
     A gram that marks the document itself goes before its grams, so documents
     without a hit come out of the same join, and only hits and marks are aggregated.
@@ -144,7 +144,7 @@ def gram_hits(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES)
     return (every.join(F.broadcast(known), "hash").where(F.least("pos", F.lit(1)) == F.col("from"))
             .withColumn("diagonal", F.col("pos") - 1 - F.col("tpos"))
             .groupBy("doc_id", "__text", "n_words", "template", "label", "is_base", "n_grams", "diagonal", "tpos")
-            .agg(F.first("rivals").alias("rivals")))
+            .agg(F.first("rivals").alias("rivals"), F.count(F.lit(1)).alias("copies")))
 
 
 def _best(spans: str) -> Column:
@@ -160,10 +160,11 @@ def _best(spans: str) -> Column:
 def license_scan(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
     """License spans of every document.
 
-    Returns per distinct (doc_id, text): n_words, ``base`` (array of full base
-    places: start, label) and ``spans`` (array of verified template spans:
-    label, first word, words, coverage). Null and empty texts have no words;
-    repeated rows give one result; an empty table gives no rows.
+    Returns per distinct (doc_id, text): n_words, ``copies`` (rows that repeat
+    it), ``base`` (array of full base places: start, label) and ``spans``
+    (array of verified template spans: first word, end, label, coverage). Null
+    and empty texts have no words; rows without doc_id are scanned like all
+    others; an empty table gives no rows.
     """
     of = ["doc_id", "__text", "n_words"]
     votes = gram_hits(docs, base, templates)
@@ -172,27 +173,28 @@ def license_scan(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLAT
     # a short template is shifted by fewer words, so that copies of it side by side stay apart
     shift = F.least(F.lit(SHIFT), F.floor((F.col("n_grams") + (K - 1)) / 3))
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > shift, F.lit(True))
-    merged = (votes.withColumn("__new", apart.cast("int"))
+    # base places: diagonals on which every gram of the phrase has voted
+    on = F.count(F.lit(1)).over(Window.partitionBy(*of, "template", "diagonal"))
+    merged = (votes.withColumn("__new", apart.cast("int")).withColumn("__on", on)
               .withColumn("__span", F.sum("__new").over(along))
               .groupBy(*of, "template", "label", "is_base", "n_grams", "__span")
               .agg(F.size(F.collect_set("tpos")).alias("covered"), F.collect_set("rivals").alias("rivals"),
+                   F.collect_set(F.when(F.col("is_base") & (F.col("__on") == F.col("n_grams")), F.col("diagonal"))).alias("starts"),
                    F.min(F.col("diagonal") + F.col("tpos")).alias("first"),
-                   (F.max(F.col("diagonal") + F.col("tpos")) + K).alias("end")))
+                   (F.max(F.col("diagonal") + F.col("tpos")) + K).alias("end"),
+                   F.max(F.when(F.col("template").isNull(), F.col("copies"))).alias("copies")))
     length = F.col("n_grams") + (K - 1)
     # a template of another label that holds all grams found explains them as well: they tell nothing
     told = F.size(F.aggregate("rivals", F.get("rivals", F.lit(0)), F.array_intersect)) == 0
     verified = (~F.col("is_base") & (F.col("covered") >= F.ceil(F.col("n_grams") * COVER))
                 & (F.col("end") - F.col("first") <= length * STRETCH) & told)
-    spans = merged.groupBy(*of).agg(F.collect_list(F.when(verified, F.struct(
-        (-F.col("covered")).alias("order"), (F.col("covered") / F.col("n_grams")).alias("coverage"), "first", "end",
-        "label", "template"))).alias("spans"))
-    spans = spans.withColumn("spans", _best("spans"))
-    # base places: diagonals on which every gram of the phrase has voted
-    full = (votes.groupBy(*of, "template", "label", "is_base", "n_grams", "diagonal").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy(*of).agg(F.sort_array(F.collect_list(F.when(
-                F.col("is_base") & (F.col("n") == F.col("n_grams")),
-                F.struct(F.col("diagonal").alias("start"), "label")))).alias("base")))
-    return full.join(spans, of)
+    places = F.transform("starts", lambda x: F.struct(x.alias("start"), F.col("label").alias("label")))
+    found = merged.groupBy(*of).agg(
+        F.max("copies").alias("copies"), F.sort_array(F.flatten(F.collect_list(places))).alias("base"),
+        F.collect_list(F.when(verified, F.struct(
+            (-F.col("covered")).alias("order"), (F.col("covered") / F.col("n_grams")).alias("coverage"), "first", "end",
+            "label", "template"))).alias("spans"))
+    return found.withColumn("spans", _best("spans"))
 
 
 def license_documents(docs: DataFrame, base: tuple = BASE, templates: tuple = TEMPLATES) -> DataFrame:
@@ -203,13 +205,9 @@ def license_documents(docs: DataFrame, base: tuple = BASE, templates: tuple = TE
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
     starts = F.transform("base", lambda x: x["start"].cast("long"))
     per = found.select(
-        "doc_id", "__text", F.col("n_words").cast("long").alias("n_words"), F.size("base").cast("long").alias("n_base"),
+        "doc_id", "copies", F.col("n_words").cast("long").alias("n_words"), F.size("base").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined(names).alias("base_labels"), joined(F.concat(names, more)).alias("labels"),
         F.greatest(F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)),
                    F.coalesce(F.array_max(F.transform("spans", lambda x: x["coverage"])), F.lit(0.0))).alias("score"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("__text"))
-    return (rows.groupBy("doc_id", "__text").agg(F.count(F.lit(1)).alias("__copies"))
-            .join(per, ["doc_id", "__text"])
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .drop("__text", "__copies", "__copy"))
+    return per.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "__copy")
