@@ -13,6 +13,7 @@ from verdigris.llm import mixing, ngram_join, packing, quality, secrets
 from verdigris.llm.common import table
 from verdigris.session import materialize
 
+WORDS, PERCENT = 5, 80  # of the near-duplicate stage; op7's own contract has other values
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -38,13 +39,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one of smallest id.
+    """One document of each component: the one of smallest id. Near are ``PERCENT`` of shingles of ``WORDS`` words.
 
     One row of each id stays; rows without doc_id cannot be the smallest of a component and all stay.
     """
     docs = docs.select(*COLUMNS)
     named = docs.where("doc_id IS NOT NULL")
-    found = ngram_join.jaccard_components(named)
+    found = ngram_join.jaccard_components(named, words=WORDS, percent=PERCENT)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)

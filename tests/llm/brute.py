@@ -56,8 +56,8 @@ def shingles(text, n=4):
     return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def jaccard_components(rows, percent=85):
-    sets = [(d, shingles(t)) for d, t in rows]
+def jaccard_components(rows, percent=85, words=4):
+    sets = [(d, shingles(t, words)) for d, t in rows]
     parent = {d: d for d, _ in rows}
 
     def find(x):

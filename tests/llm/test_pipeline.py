@@ -92,6 +92,23 @@ def test_one_document_of_each_component_stays(stages):
     assert sorted(stages[2], key=_key) == sorted([*want, *none], key=_key)
 
 
+def test_near_copies_of_five_words_and_80_percent_go(spark, sf):
+    """Copies with one to four changed words, on both sides of 80 % of 5-grams and of 85 % of 4-grams."""
+    rng, out = random.Random(5), []
+    for k in range(40):
+        n = rng.choice((30, 60, 100, 200))
+        words = _text(rng, n).split()
+        copy = list(words)
+        for i in range(1 + k % 4):
+            copy[(i + 1) * n // 6] = f"changed{k}x{i}"
+        out += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in out],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"] for r in P.near_duplicate_stage(spark, docs, sf).collect()}
+    firsts = [{d for d, _, c in B.jaccard_components(out, **how) if d == c} for how in (dict(percent=80, words=5), {})]
+    assert got == firsts[0] and firsts[0] < firsts[1] < {d for d, _ in out}
+
+
 def test_secrets_are_replaced(spark, stages):
     docs = spark.createDataFrame(stages[2], "doc_id long, text string, lang string, source string, n_chars long")
     spans = {r["doc_id"]: r["spans"] for r in secrets.secret_documents(docs).collect()}
