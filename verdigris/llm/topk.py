@@ -1,12 +1,13 @@
-"""Exact top-k inner products by MaxScore over integer components.
+"""Exact top-k inner products over integer components, with MaxScore's bounds but without its postings.
 
 A component is a term, its value the term's impact. Candidates are dealt into
 shards, queries into blocks; every (block, shard) pair is one small task group.
-In a shard a term's impact is at most its range over the shard, so a query's
-terms split by cumulative bound into non-essential ones, which together cannot
-reach the threshold, and essential ones. Essential terms are accumulated for
-all candidates, the others only for candidates that can still reach the k-th
-best score. Shards' results are merged by one aggregation.
+In a shard a term's impact is at most its range over the shard. All candidates
+are scored on the terms that move scores most; from then on only those whose
+score and bound of the remaining terms can reach the k-th best score are scored
+further, a few terms at a time. There are no postings and no split into
+essential and non-essential terms, and a shard starts without a threshold.
+Shards' results are merged by one aggregation.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def max_score(query: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.nda
     threshold = None
     for i in range(0, len(terms), STEP):
         if threshold is not None:
-            keep = score + rest[i] >= threshold  # non-essential terms alone cannot lift the others
+            keep = score + rest[i] >= threshold  # the remaining terms cannot lift the others
             alive, score = alive[keep], score[keep]
         t = terms[i:i + STEP]
         score = score + rows[np.ix_(alive, t)] @ query[t]
