@@ -111,13 +111,17 @@ def test_require_rows_and_union(spark):
     assert D.union_all([one, one, one]).count() == 3
 
 
-def test_first_n_per_class_fallback_without_broadcast(spark, monkeypatch):
+def test_first_n_per_class_without_broadcast(spark):
     df = _skewed(spark)
     quota = {"hot": 74, "c0": 400, "c1": 5, "c2": 0}
     qdf = spark.createDataFrame(list(quota.items()), "label string, quota long")
-    monkeypatch.setattr(D, "BROADCAST_MAX_ROWS", 0)
-    got = {r[0] for r in D.first_n_per_class(df, "label", "key", qdf, 42, 8)
-           .select("key").collect()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r[0] for r in D.first_n_per_class(df, "label", "key", qdf, 42, 8)
+               .select("key").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert got == _brute_first_n(df, quota)
 
 
@@ -171,3 +175,37 @@ def test_first_join_never_fans_out(spark):
     left = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "key string")
     got = sorted((r["key"], r["ord"]) for r in D.join_on_key(left, right, "key", "ord").collect())
     assert got == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_cut_among_repeated_keys_depends_on_rows_only(spark):
+    """The cut falls among rows of one key, and among equal rows: the same rows whatever the partitioning."""
+    rows = ([("a", None, i % 40) for i in range(400)] + [("a", "k", 1)] * 30 + [("b", "x", i) for i in range(45)]
+            + [("b", "x", 7)] * 15 + [("c", "z", 0)] * 20)
+    df = spark.createDataFrame(rows, "label string, key string, v int")
+    picked = [sorted(map(tuple, D.balance_exact(df.repartition(n), "label", "key", bucket_bits=bits).collect()), key=repr)
+              for n, bits in ((1, 14), (5, 4), (11, 8))]
+    assert picked[0] == picked[1] == picked[2]
+    assert [sum(r[0] == x for r in picked[0]) for x in "abc"] == [40, 40, 20]
+    flagged = D.rank_within_quota(df, "label", "key", spark.createDataFrame([("a", 33), ("c", 0)], "label string, quota long"), flag_col="keep")
+    assert sorted(map(tuple, flagged.drop("keep").collect()), key=repr) == sorted(rows, key=repr)
+    assert {r[0]: r[1] for r in flagged.where("keep").groupBy("label").count().collect()} == {"a": 33, "b": 60}
+
+
+def test_global_rank(spark):
+    from verdigris.operators.ranking import global_rank
+    df = spark.range(5000).select((F.col("id") % 700).alias("a"), F.when(F.col("id") % 9 > 0, F.col("id")).alias("b")).repartition(6)
+    got = global_rank(df, [F.col("a").desc(), F.col("b").asc_nulls_last()]).orderBy("rank").collect()
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: (-r[0], r[1] is None, r[1] or 0))
+    assert [r["rank"] for r in got] == list(range(5000)) and [(r["a"], r["b"]) for r in got] == want
+    assert global_rank(df.limit(0), [F.col("a")]).count() == 0
+
+
+def test_index_by_rank_equals_string_indexer(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("l"), F.col("id") % 1500))
+                                  .alias("label"))
+    want, _ = D.index_labels(df)
+    got = D.index_by_rank(df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().toString() + D.label_map(df)._jdf.queryExecution().toString()
+    assert "Window" not in plan
+    assert D.index_by_rank(df.where("label IS NULL")).count() == 0

@@ -714,3 +714,6 @@ FROM r JOIN c ON r.lang = c.lang
 def q_stratified_split(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     return D.stratified_hash_split(docs, "lang", "doc_id", 0.8, SEED)
+
+
+from verdigris import catalog_flows  # noqa: E402,F401  (registers its queries)

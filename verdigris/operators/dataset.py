@@ -9,14 +9,16 @@ import functools
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdigris.functions.labels import basename
+from verdigris.operators.ranking import class_cuts, global_rank, prefix_counts
+from verdigris.session import materialize
 
 DEFAULT_SEED = 42
-# Tables bounded by the number of classes are broadcast only below this many rows.
-BROADCAST_MAX_ROWS = 200_000
+HASH_DIGITS, ROW_DIGITS = 32, 16  # hex digits of the order hash and of the hash of a whole row
+HOT_SHARE = 1000  # a label with at least 1/HOT_SHARE of the rows is hot; there are at most so many
 
 
 class EmptyResultError(RuntimeError):
@@ -39,15 +41,6 @@ def order_hash(key: str | Column, seed: int = DEFAULT_SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(k.cast("string"), F.lit("\0"))))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
-
-    Meant for tables derived from class counts (one row per class); above the
-    bound the join stays a shuffle join and AQE decides at run time."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def require_rows(df: DataFrame, message: str = "result is empty") -> DataFrame:
     """Guard: raise ``EmptyResultError`` when ``df`` has no rows (one short job)."""
     if df.isEmpty():
@@ -112,14 +105,16 @@ def duplicate_keys(df: DataFrame, key_col: str, count_col: str = "n") -> DataFra
 # joins
 # --------------------------------------------------------------------------
 
-def _one_row_per_key(df: DataFrame, key_col: str, order_col: str) -> DataFrame:
+def first_row_per_key(df: DataFrame, key_col: str, order_col: str) -> DataFrame:
     """Exactly one row for every key: one with the smallest ``order_col``.
 
     One aggregation by key, so repeated keys, repeated order values and
     repeated rows can never fan out; the join on the key reuses its shuffle."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return (df.where(F.col(key_col).isNotNull()).groupBy(key_col)
-              .agg(F.min_by(row, F.col(order_col)).alias("__row")).select("__row.*"))
+    rest = [c for c in df.columns if c != key_col]
+    row = F.struct(*[F.col(c) for c in rest])
+    kept = df.where(F.col(key_col).isNotNull()).groupBy(key_col).agg(F.min_by(row, F.col(order_col)).alias("__row"))
+    # the key itself stays, and with it the partitioning
+    return kept.select(*[F.col(c) if c == key_col else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key_col: str,
@@ -143,7 +138,7 @@ def join_on_key(left: DataFrame, right: DataFrame, key_col: str,
                 raise DuplicateKeyError(f"{name} side repeats values of {key_col!r}")
         right_one = right
     else:
-        right_one = _one_row_per_key(right, key_col, right_order_col)
+        right_one = first_row_per_key(right, key_col, right_order_col)
     return left.where(F.col(key_col).isNotNull()).join(right_one, key_col, "inner")
 
 
@@ -166,89 +161,71 @@ def join_on_basename(meta: DataFrame, feats: DataFrame, path_col: str = "path",
 def rank_within_quota(df: DataFrame, label_col: str, key_col: str, quota,
                       seed: int = DEFAULT_SEED, bucket_bits: int = 14,
                       flag_col: str | None = None, stats: dict | None = None) -> DataFrame:
-    """Rows whose rank inside their class, by ``order_hash(key)`` then key, is
-    at most the class's ``quota`` (``quota``: columns ``label_col, quota``, or
-    a function from the per-class counts ``label_col, n`` to such a table;
-    the counts then come from the histogram, without another pass).
+    """Rows whose rank inside their class, by ``order_hash(key)`` and then by a
+    hash of the whole row, is at most the class's ``quota`` (``quota``: columns
+    ``label_col, quota``, or a function from the per-class counts ``label_col,
+    n`` to such a table; the counts then come from the histogram, without
+    another pass).
 
     With ``flag_col`` every row is kept and the flag tells whether it is
     within the quota; otherwise only those rows are returned.
 
-    Exact, and no single task ever sorts a whole class: rows are bucketed by
-    the first ``bucket_bits`` bits of their hash; a histogram (partial
-    aggregation, at most classes x 2^bits rows, checkpointed) tells for each
-    class which bucket holds the cut.  Buckets below it are in, buckets above
-    it are out, and only rows of the one cut bucket per class are ranked (a
-    window over about n_class / 2^bits rows).  Cost: two narrow passes
-    (histogram, which also yields the class counts; ranking the cut-bucket
-    rows on class, key and hash) and one
-    wide pass that keeps rows through a broadcast join of the ranked set;
-    when that set fails the size check or has repeated keys, a second wide
-    pass ranks the cut-bucket rows instead.  Only cut-bucket rows are shuffled.
+    Exact, and no rows are ranked: a class's cut, the hash up to which its quota
+    reaches, is found by radix descent.  Counts per (class, first
+    ``bucket_bits`` bits) name the bucket that holds the cut; counts of the
+    hashes in that bucket, refined digit by digit, give the cut itself.  Rows
+    that share their key share the hash (NULL keys, repeated keys): where the
+    cut falls among them it goes on over the hashes of their rows, and of rows
+    equal in every column any are as good as others.  Cost: two narrow passes
+    (class and hash) and one wide pass that compares each row with the cut of
+    its class; classes above their quota that end in one key's rows take one more.
+    The cuts have one row per such class; Spark broadcasts them if their written
+    size allows it.
     """
-    from verdigris.session import ensure_checkpoint_dir
-
     if not 4 <= bucket_bits <= 24:
         raise ValueError("bucket_bits must be in [4, 24]")
-    ensure_checkpoint_dir(df.sparkSession)
-    hex_digits = (bucket_bits + 3) // 4
-    shift = hex_digits * 4 - bucket_bits
-    h = (df.withColumn("__h", order_hash(key_col, seed))
-           .withColumn("__b", F.shiftright(
-               F.conv(F.substring("__h", 1, hex_digits), 16, 10).cast("int"), shift)))
-
-    # per (class, bucket) counts: partial aggregation, at most classes x 2^bits rows
-    hist = h.groupBy(label_col, "__b").agg(F.count(F.lit(1)).alias("__cnt")).checkpoint()
+    digits = (bucket_bits + 3) // 4
+    columns = df.columns
+    row_hash = F.lower(F.lpad(F.hex(F.xxhash64(*columns)), ROW_DIGITS, "0"))
+    h = df.withColumn("__h", order_hash(key_col, seed))
+    values = h.select(F.col(label_col).alias("__label"), F.col("__h").alias("__v"))
+    histogram = prefix_counts(values, digits)
     if callable(quota):
-        quota = quota(hist.groupBy(label_col).agg(F.sum("__cnt").alias("n")))
-    w = (Window.partitionBy(label_col).orderBy("__b")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    hist = hist.withColumn("__before", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-    # class -> (cut bucket, rows still needed from it); classes at or under
-    # their quota have no cut and are kept whole, a quota of 0 keeps nothing
-    cuts = (hist.join(quota, label_col)
-                .where((F.col("__before") < F.col("quota"))
-                       & (F.col("__before") + F.col("__cnt") >= F.col("quota")))
-                .select(label_col, F.col("__b").alias("__cut"),
-                        (F.col("quota") - F.col("__before")).alias("__need")))
-    empty = quota.where(F.col("quota") <= 0).select(label_col, F.lit(-1).alias("__cut"),
-                                                    F.lit(0).cast("long").alias("__need"))
-    cuts = broadcast_if_small(cuts.unionByName(empty).checkpoint())
-
-    j = h.join(cuts, label_col, "left")
-    inside = F.col("__cut").isNull() | (F.col("__b") < F.col("__cut"))
-    order = Window.partitionBy(label_col, "__b").orderBy("__h", key_col)
-
-    # Rank the cut-bucket rows on a narrow projection (class, key, hash).
-    # If the ranked set passes the broadcast size check and its keys are
-    # unique, one wide pass with a broadcast join finishes the job.
-    ranked = (h.select(label_col, key_col, "__h", "__b").join(cuts, label_col)
-               .where(F.col("__b") == F.col("__cut"))
-               .select(key_col, (F.row_number().over(order) <= F.col("__need")).alias("__edge_in"))
-               .checkpoint())
-    sizes = ranked.agg(F.count(F.lit(1)).alias("n"),
-                       F.count_distinct(key_col).alias("k")).first()
-    if stats is not None:
-        # rows that went through the window (all classes together)
-        stats["ranked_rows"] = int(sizes["n"])
-    if sizes["n"] <= BROADCAST_MAX_ROWS and sizes["n"] == sizes["k"]:
-        marked = (j.join(F.broadcast(ranked), key_col, "left")
-                   .withColumn("__in", inside | F.coalesce(F.col("__edge_in"), F.lit(False)))
-                   .drop("__edge_in"))
-        out = (marked.where("__in").drop("__in") if flag_col is None
-               else marked.withColumnRenamed("__in", flag_col))
-        return out.drop("__h", "__b", "__cut", "__need")
-
-    # otherwise: a second wide pass over the cut-bucket rows only
-    edge = (j.where(F.col("__b") == F.col("__cut"))
-              .withColumn("__in", F.row_number().over(order) <= F.col("__need")))
-    if flag_col is None:
-        out = j.where(inside).unionByName(edge.where("__in").drop("__in"))
-    else:
-        rest = j.where(F.col("__cut").isNull() | (F.col("__b") != F.col("__cut")))
-        out = rest.withColumn("__in", inside).unionByName(edge) \
-                  .withColumnRenamed("__in", flag_col)
-    return out.drop("__h", "__b", "__cut", "__need")
+        quota = quota(histogram.groupBy(F.col("__label").alias(label_col)).agg(F.sum("__n").alias("n")))
+    quota = quota.select(F.col(label_col).alias("__label"), F.col("quota").alias("__need"))
+    exact, tied = class_cuts(values, quota, digits, HASH_DIGITS, histogram, stats)
+
+    none = F.lit(None)
+    cuts = [exact.select("__label", "__cut", none.cast("string").alias("__row_cut"), none.cast("long").alias("__copies")),
+            # a quota of 0 keeps nothing: a blank comes before every digit
+            quota.where("__need <= 0").select("__label", F.lit(" ").alias("__cut"), none.cast("string"), none.cast("long"))]
+    repeated = None
+    if not tied.isEmpty():
+        of_key = (h.withColumn("__label", F.col(label_col)).join(tied.select("__label", "__cut"), "__label")
+                   .where(F.col("__h") == F.col("__cut")).select("__label", row_hash.alias("__v")))
+        rows, repeated = class_cuts(of_key, tied.select("__label", "__need"), digits, ROW_DIGITS)
+        both = tied.select("__label", "__cut")
+        of_rows = rows.select("__label", F.col("__cut").alias("__row_cut"), none.cast("long").alias("__copies"))
+        of_copies = repeated.select("__label", F.col("__cut").alias("__row_cut"), F.col("__need").alias("__copies"))
+        cuts.append(both.join(of_rows.unionByName(of_copies), "__label").select("__label", "__cut", "__row_cut", "__copies"))
+    cuts = materialize(functools.reduce(DataFrame.union, cuts), "class_cuts").withColumnRenamed("__label", label_col)
+
+    def upto(value: Column, cut: Column) -> Column:
+        return F.substr(value, F.lit(1), F.length(cut)) <= cut
+
+    at_cut, row_cut = F.col("__h") == F.col("__cut"), F.col("__row_cut")
+    inside = (F.when(F.col("__cut").isNull(), True)
+               .when(row_cut.isNull() | ~at_cut, upto(F.col("__h"), F.col("__cut")))
+               .when(F.col("__copies").isNull() | (row_hash != row_cut), upto(row_hash, row_cut)))  # NULL: some copies
+    name = flag_col or "__in"
+    marked = h.join(cuts, label_col, "left").withColumn(name, inside)
+    out = marked.select(*columns, name)
+    if repeated is not None and not repeated.isEmpty():
+        copies = (marked.where(F.col(name).isNull()).groupBy(*columns, "__copies").agg(F.count(F.lit(1)).alias("__n"))
+                        .withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+                        .select(*columns, (F.col("__i") <= F.col("__copies")).alias(name)))
+        out = out.where(F.col(name).isNotNull()).unionByName(copies)
+    return out if flag_col else out.where(name).drop(name)
 
 
 def first_n_per_class(df: DataFrame, label_col: str, key_col: str, quota,
@@ -262,10 +239,7 @@ def balance_exact(df: DataFrame, label_col: str = "label", key_col: str = "path"
     """Cap every class at ``factor`` × the smallest class, exactly.
 
     Which rows survive is decided by ``order_hash(key, seed)``; NULL labels are
-    excluded.  Classes at or under the cap keep every row.  At most about
-    n_class / 2^bucket_bits rows of a class are ranked in one task (a class of
-    3e10 rows: ~1.8M rows at 14 bits, ~1.8k at 24); raise ``bucket_bits``
-    for very large classes."""
+    excluded.  Classes at or under the cap keep every row."""
     labelled = labelled_only(df, label_col)
 
     def quota(counts: DataFrame) -> DataFrame:
@@ -290,6 +264,23 @@ def balance_bernoulli(df: DataFrame, label_col: str = "label", factor: int = 2,
     return labelled.sampleBy(label_col, fractions, seed)
 
 
+def balance_bernoulli_keyed(df: DataFrame, label_col: str = "label", key_col: str = "path", factor: int = 2,
+                            seed: int = DEFAULT_SEED) -> DataFrame:
+    """``balance_bernoulli`` by ``order_hash(key)``: a row is kept if its hash, as a share
+    of all hashes, is below cap / n.  The kept rows depend on seed and key alone.
+    One row per class is joined back; hot classes are broadcast with their rates."""
+    labelled = labelled_only(df, label_col)
+    counts = materialize(class_distribution(labelled, label_col, "__n"), "class_counts")
+    size = counts.agg(F.min("__n").alias("least"), F.sum("__n").alias("rows")).first()
+    cap, least = (size["least"] or 0) * factor, -(-(size["rows"] or 0) // HOT_SHARE)
+    rates = counts.withColumn("__rate", F.least(F.lit(1.0), F.lit(float(cap)) / F.col("__n")))
+    hot = F.broadcast(rates.where(F.col("__n") >= least).drop("__n"))  # at most HOT_SHARE classes
+    rest = rates.where(F.col("__n") < least).drop("__n")
+    rated = labelled.join(hot, label_col).unionByName(labelled.join(hot.select(label_col), label_col, "left_anti").join(rest, label_col))
+    place = F.conv(F.substring(order_hash(key_col, seed), 1, 8), 16, 10).cast("long")
+    return rated.where(place < F.col("__rate") * float(1 << 32)).select(*df.columns)
+
+
 def split_threshold_hex(ratio: float) -> str:
     """First 8 hex digits below which a row goes to the first split."""
     return f"{int(ratio * 2 ** 32):08x}"
@@ -339,16 +330,37 @@ def random_split(df: DataFrame, ratio: float = 0.8, seed: int = DEFAULT_SEED,
 # label indexing
 # --------------------------------------------------------------------------
 
+def _ranked_labels(df: DataFrame, label_col: str) -> DataFrame:
+    """``label, n, rank`` of every label: the most frequent first, ties by label."""
+    counts = class_distribution(labelled_only(df, label_col), label_col).withColumnRenamed(label_col, "label")
+    return global_rank(counts, [F.col("n").desc(), F.col("label").asc()])
+
+
 def label_map(df: DataFrame, label_col: str = "label",
               index_col: str = "label_index") -> DataFrame:
     """``label_index, label``: most frequent class first, ties by name
     (``StringIndexer``'s frequencyDesc order); NULL is not a class.  One row
-    per class, computed without leaving the JVM."""
-    counts = class_distribution(labelled_only(df, label_col), label_col)
-    order = Window.orderBy(F.col("n").desc(), F.col(label_col).asc())
-    return counts.select(
-        ((F.row_number().over(order) - 1).cast("double")).alias(index_col),
-        F.col(label_col).alias("label"))
+    per class, ranked without a task or a driver that holds all classes."""
+    return _ranked_labels(df, label_col).select(F.col("rank").cast("double").alias(index_col), "label")
+
+
+def index_by_rank(df: DataFrame, label_col: str = "label", index_col: str = "label_index",
+                  hot_share: int = HOT_SHARE) -> DataFrame:
+    """Add ``label_index`` as ``label_map`` gives it, for any number of labels
+    (rows with NULL labels are dropped).
+
+    Labels that hold at least 1/``hot_share`` of the rows, at most
+    ``hot_share`` of them, are broadcast; the rows of the others are joined by a
+    shuffle in which no label is hot."""
+    ranked = materialize(_ranked_labels(df, label_col).select(
+        F.col("label").alias(label_col), F.col("rank").cast("double").alias(index_col), "n"), "ranked_labels")
+    least = -(-(ranked.agg(F.sum("n")).first()[0] or 0) // hot_share)
+    hot = F.broadcast(ranked.where(F.col("n") >= least).drop("n"))
+    rest = ranked.where(F.col("n") < least).drop("n")
+    warm = df.join(hot, label_col)
+    cold = df.join(hot.select(label_col), label_col, "left_anti").join(rest, label_col)
+    columns = [*df.columns, index_col]
+    return warm.select(columns).unionByName(cold.select(columns))
 
 
 def fit_label_indexer(df: DataFrame, label_col: str = "label",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdigris.functions.vectors import confidence_pct
-from verdigris.operators.dataset import broadcast_if_small
 
 
 def decode_prediction(pred: DataFrame, label_map: DataFrame, pred_col: str = "prediction",
@@ -16,11 +15,11 @@ def decode_prediction(pred: DataFrame, label_map: DataFrame, pred_col: str = "pr
     """Add ``class_index`` (the integer index as text) and the class name; an
     index missing from ``label_map`` decodes to ``class_<index>``.
 
-    ``label_map`` has one row per class, so it is broadcast after a size check."""
+    ``label_map`` has one row per class; Spark broadcasts it if its size allows."""
     idx = F.col(pred_col).cast("int")
     m = label_map.select(F.col(index_col).cast("int").alias("__idx"),
                          F.col(name_col).alias("__name"))
-    out = pred.withColumn("__idx", idx).join(broadcast_if_small(m), "__idx", "left")
+    out = pred.withColumn("__idx", idx).join(m, "__idx", "left")
     return (out.withColumn(out_index, F.col("__idx").cast("string"))
                .withColumn(out_label, F.coalesce(F.col("__name"),
                                                  F.concat(F.lit("class_"), F.col(out_index))))

@@ -61,6 +61,25 @@ def confusion_lists(cells: DataFrame, group_cols: Sequence[str] = (),
     return out.drop("__all")
 
 
+def confusion_grid(cells: DataFrame, label_map: DataFrame, group_cols: Sequence[str] = (), index_col: str = "label_index",
+                   name_col: str = "label") -> DataFrame:
+    """Per group, the dense matrix over every class of ``label_map`` in index order, zeros included, and the names ``classes``.
+
+    Classes that no row has as truth or prediction keep their row and column; cells of classes that the map lacks are left
+    out.  The map has one row per class, and at most K x K cells of a group are put in order."""
+    g = list(group_cols)
+    if not g:
+        cells, g = cells.withColumn("__all", F.lit(0)), ["__all"]
+    axis = label_map.agg(F.array_sort(F.collect_list(F.struct(F.col(index_col).cast("double").alias("i"), F.col(name_col).alias("name")))).alias("axis"))
+    key = lambda truth, pred: F.concat_ws("|", truth.cast("double").cast("string"), pred.cast("double").cast("string"))
+    known = cells.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct(key(F.col("label"), F.col("prediction")), "n"))).alias("m"))
+    axes = axis.first()["axis"]  # one entry per class
+    order = F.array(*[F.lit(r["i"]) for r in axes]) if axes else F.array().cast("array<double>")
+    matrix = F.transform(order, lambda t: F.transform(order, lambda p: F.coalesce(F.element_at("m", key(t, p)), F.lit(0).cast("long"))))
+    names = F.array(*[F.lit(r["name"]) for r in axes]) if axes else F.array().cast("array<string>")
+    return known.select(*g, names.alias("classes"), matrix.alias("confusion_matrix")).drop("__all")
+
+
 def per_class_metrics(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Per truth class: ``n_true, n_pred, hits, precision, recall, f1``.
 
@@ -118,6 +137,15 @@ def evaluate(pred: DataFrame, label_col: str = "label_index", pred_col: str = "p
                               group_cols, digits)
 
 
+#: fixed values: the results record's names of the metrics
+RECORD_NAMES = {"weighted_precision": "precision", "weighted_recall": "recall", "weighted_f1": "f1"}
+
+
+def result_record(metrics: DataFrame) -> DataFrame:
+    """Metrics under the names that the results record gives them; other columns stay."""
+    return metrics.withColumnsRenamed({k: v for k, v in RECORD_NAMES.items() if k in metrics.columns})
+
+
 def accuracy(pred: DataFrame, label_col: str = "label_index", pred_col: str = "prediction",
              digits: int | None = 6) -> DataFrame:
     hit = (F.col(label_col) == F.col(pred_col)).cast("double")

@@ -49,14 +49,14 @@ def keyed_partitions(df: DataFrame, features_col: str = "features",
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
-    """``partition, rows`` of every physical partition, empty ones included."""
+    """``partition, rows`` of every physical partition, empty ones included; no column is read."""
     def count(batches):
         from pyspark import TaskContext
         rows = sum(b.num_rows for b in batches)
         yield pa.RecordBatch.from_pydict({"partition": [TaskContext.get().partitionId()], "rows": [rows]},
                                          pa.schema([("partition", pa.int32()), ("rows", pa.int64())]))
 
-    return df.mapInArrow(count, "partition int, rows long")
+    return df.select(F.lit(True).alias("row")).mapInArrow(count, "partition int, rows long")
 
 
 def partition_profile(df: DataFrame, n: int | None = None) -> DataFrame:

@@ -79,7 +79,12 @@ def fit_timed(pipeline: Pipeline, train: DataFrame, name: str = "model") -> FitR
     load time is not counted)."""
     t0 = time.perf_counter()
     model = pipeline.fit(train)
-    return FitResult(name, model, round(time.perf_counter() - t0, 2))
+    took = round(time.perf_counter() - t0, 2)
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            # a two-class summary holds the session, which cannot be sent to tasks once a write was observed
+            stage._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return FitResult(name, model, took)
 
 
 def fit_preset(name: str, train: DataFrame, input_col: str = "features",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.operators import pixels as PX
 from verdigris.operators import train as TR
+from verdigris.operators.evaluate import result_record
 from verdigris.plans.featurize import featurize_to
 from verdigris.plans.prepare import prepare, read_split, write_prepared
 from verdigris.plans.registry import ModelRegistry
@@ -43,6 +44,7 @@ def build_and_train(spark: SparkSession, images_dir: str, out_dir: str,
     test = as_training_rows(read_split(spark, f"{out}/prepared", "test"))
     metrics, _ = train_and_compare(train, test, presets, registry, parallel=parallel)
     export_results(metrics, f"{out}/results", mode="overwrite", fmt="json")
-    # one JSON object keyed by model name (the reference's results layout)
-    write_json_object(metrics.drop("ord"), "model", f"{out}/results.json")
+    # one JSON object keyed by model name, in the order of registration
+    record = result_record(metrics).select("model", "ord", "accuracy", "precision", "recall", "f1", "confusion_matrix", "train_time_sec")
+    write_json_object(record, "model", f"{out}/results.json", order_col="ord")
     return FlowResult(metrics, rejects, registry)

@@ -11,6 +11,8 @@ from verdigris.functions.vectors import to_vector
 from verdigris.operators import decode as DEC
 from verdigris.operators import pixels as PX
 
+PREDICTED = ("prediction_label", "class_index", "confidence")
+
 
 def score_features(feats: DataFrame, model: PipelineModel, label_map: DataFrame,
                    model_name: str, features_col: str = "features") -> DataFrame:
@@ -30,19 +32,19 @@ def score_images(images: DataFrame, model: PipelineModel, label_map: DataFrame,
     model_used`` (plus ``keep`` columns).  Same plan for batch and streaming.
 
     Unreadable images are left out, or with ``include_rejects=True`` returned
-    with NULL predictions and a ``reason`` (that side is JVM-only)."""
+    with NULL predictions and a ``reason``; either way every image is decoded
+    once (a reject passes the model as a black image, and its prediction is
+    dropped)."""
     feats = PX.image_features(images.select(*keep, image_col), size=size, filter=filter,
-                              image_col=image_col, keep_origin="__origin")
+                              image_col=image_col, keep_origin="__origin",
+                              with_rejects=include_rejects)
     feats = feats.withColumn("path", canonical_path("__origin")).drop("__origin")
+    if include_rejects:
+        black = F.array_repeat(F.lit(0.0).cast("float"), size * size)
+        feats = feats.withColumn("features", F.coalesce("features", black))
     scored = score_features(feats, model, label_map, model_name)
-    cols = [*keep, "path", "prediction_label", "class_index", "confidence", "model_used"]
-    scored = scored.select(*cols)
     if not include_rejects:
-        return scored
-    rejects = (PX.image_rejects(images, image_col, keep=list(keep))
-                 .select(*keep, canonical_path("origin").alias("path"),
-                         F.lit(None).cast("string").alias("prediction_label"),
-                         F.lit(None).cast("string").alias("class_index"),
-                         F.lit(None).cast("double").alias("confidence"),
-                         F.lit(model_name).alias("model_used"), "reason"))
-    return scored.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects)
+        return scored.select(*keep, "path", *PREDICTED, "model_used")
+    valid = F.col("reason").isNull()
+    return scored.select(*keep, "path", *[F.when(valid, F.col(c)).alias(c) for c in PREDICTED],
+                         "model_used", "reason")

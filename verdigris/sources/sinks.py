@@ -1,10 +1,10 @@
-"""Sinks: table writes (any format), JSON exports of small tables."""
+"""Sinks: table writes (any format, counted, by step), JSON exports of small tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.save(path)
 
 
+def write_counted(df: DataFrame, path: str, counts: dict[str, Column], fmt: str = "parquet",
+                  mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> dict:
+    """Write ``df`` and return ``counts`` (name -> aggregate) of its rows, observed
+    by the writing job itself: no further pass over the data."""
+    seen = Observation()
+    write_table(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), path, fmt, mode, partition_by)
+    return seen.get
+
+
+def write_step(df: DataFrame, path: str, step: str | int, column: str = "step",
+               partition_by: Sequence[str] = ()) -> None:
+    """Write one step's rows as their own part of a table, replacing what an
+    earlier attempt of the same step left and nothing else.
+
+    A step that failed or was lost can be run again: its rows are there once.
+    Steps are told apart by ``column``, a partition column of the table."""
+    (df.withColumn(column, F.lit(step)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(column, *partition_by).parquet(path))
+
+
 def write_json_map(df: DataFrame, path: str, key: str = "label_index",
                    value: str = "label") -> None:
     """Write a key -> value table as one JSON object ``{"0": "RS_LB", ...}``.
@@ -39,12 +59,15 @@ def export_results(df: DataFrame, path: str, mode: str = "append", fmt: str = "p
     df.coalesce(1).write.format(fmt).mode(mode).save(path)
 
 
-def write_json_object(df: DataFrame, key_col: str, path: str) -> None:
+def write_json_object(df: DataFrame, key_col: str, path: str, order_col: str | None = None) -> None:
     """Write a small table (one row per model or class) as one JSON object
     ``{key: {other columns...}, ...}``; built with ``map_from_entries`` in one
-    aggregation."""
-    values = [c for c in df.columns if c != key_col]
-    entry = F.struct(F.col(key_col).cast("string").alias("k"), F.struct(*values).alias("v"))
-    obj = (df.select(entry.alias("e")).agg(F.collect_list("e").alias("es"))
-             .select(F.to_json(F.map_from_entries("es")).alias("value")))
+    aggregation.  Entries come in the order of ``order_col`` (default: by key),
+    which is not written itself."""
+    order = order_col or key_col
+    values = [c for c in df.columns if c not in (key_col, order_col)]
+    entry = F.struct(F.col(order).alias("o"), F.col(key_col).cast("string").alias("k"), F.struct(*values).alias("v"))
+    obj = (df.select(entry.alias("e"))
+             .agg(F.array_sort(F.collect_list("e"), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)).alias("es"))
+             .select(F.to_json(F.map_from_entries(F.transform("es", lambda e: F.struct(e["k"], e["v"])))).alias("value")))
     obj.coalesce(1).write.mode("overwrite").text(path)
