@@ -2,16 +2,18 @@
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Under
 one global order, rare n-grams first, two sets of Jaccard similarity t or more
-share an n-gram of their prefixes, the first n - ceil(t * n) + 1. Equal sets
-fall into one class, classes of equal size and prefix into one group. Groups
+share an n-gram of their prefixes, the first n - ceil(t * n) + 1. Rows with equal
+sets fall into one class, classes of equal size and prefix into one group. Groups
 that share a prefix n-gram are candidates; their members are expanded and
 verified on whole sets.
 
 Candidates are compared by parity sketches first: the number of differing bits
 is a lower bound of the symmetric difference, so no link is lost. Components
-need no more links than connect them: in the first rounds every member is
-verified only against the nearest member of another component that it shares an
-n-gram with; in the last step all pairs are that pass and are still apart. No
+need no more links than connect them. In the first rounds the members of a
+token lie in blocks, and in each block every member is verified against its
+nearest member of another component. The last round looks at all pairs of a
+token's members that pass the sketch and are still apart: the members of
+its largest component against the others, and the others among themselves. No
 link that could join two components is left out.
 """
 
@@ -22,8 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from verdigris.session import materialize
 
@@ -33,8 +37,9 @@ MIN_IN_BATCH = 3
 CHUNK = 64
 BLOCK = 1024
 FEW = 8
-ROUNDS, EARLY = 2, 4  # first rounds, and the postings of a group that they look at
-BROADCAST_IDS = 4_000_000  # more ids than these are joined by a shuffle
+EARLY = 4  # postings of a group that the first round looks at
+SHARE = 1000  # a token with at least 1/SHARE of the rows is hot
+FEATURES = "t long, n long, f1 long, f2 long, g long, prefix array<long>, sketch binary"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -57,8 +62,8 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def parity_sketch(s: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, one to two a member: how many members hash to a bit, modulo 2."""
-    bits = max(512, 1 << (len(s) - 1).bit_length())
+    """Parity bits of a set, four to eight a member: how many members hash to a bit, modulo 2."""
+    bits = max(512, 1 << (4 * len(s) - 1).bit_length())
     odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -79,11 +84,11 @@ def _as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def heavy_shingles(docs: DataFrame, words: int = WORDS, most: int = HEAVY) -> np.ndarray:
-    """The ``most`` most frequent n-grams at most, rarest first, by counts over all documents.
+def heavy_shingles(docs: DataFrame, words: int = WORDS, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` most frequent n-grams at most, rarest first, and their counts over all documents.
 
     Each Arrow batch reports the n-grams that it holds several times; only the order of
-    comparison depends on them, never a result.
+    comparison and the way of hot n-grams depend on them, never a result.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -94,33 +99,47 @@ def heavy_shingles(docs: DataFrame, words: int = WORDS, most: int = HEAVY) -> np
 
     top = (docs.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "h").limit(most).toPandas())
-    return top["h"].to_numpy(dtype=np.int64)[::-1].view(np.uint64)
+    return top["h"].to_numpy(dtype=np.int64)[::-1].view(np.uint64), top["n"].to_numpy(dtype=np.int64)[::-1]
+
+
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n (set size), f1 and f2 (fingerprint of the set), g (of the prefix), prefix and sketch."""
+    """Per row: doc_id as it is, t (hash of the text), n (set size), f1 and f2 (fingerprint of the set), g (of
+    the prefix), prefix and sketch."""
     at = np.argsort(heavy, kind="stable")
     known, place = heavy[at], (at + 1).astype(np.int64)
+    source = docs.select("doc_id", text_hash(F.col("text")).alias("t"), "text")
+    schema = StructType([source.schema["doc_id"]])
+    for f in docs.sparkSession.createDataFrame([], FEATURES).schema:
+        schema = schema.add(f)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for doc, text in zip(b["doc_id"], b["text"]):
+            numbers, prefixes, sketches = [], [], []
+            for text in b["text"].to_pylist():
                 s = shingle_set(text, words)
                 if len(s) == 0:
-                    out.append((doc, 0, 0, 0, 0, [], b""))
+                    numbers.append((0, 0, 0, 0))
+                    prefixes.append(np.empty(0, np.int64))
+                    sketches.append(b"")
                     continue
                 order = np.zeros(len(s), dtype=np.int64)
                 if len(known):
                     i = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     order = np.where(known[i] == s, place[i], 0)
                 p = s[np.argsort(order, kind="stable")[:prefix_length(len(s), percent)]]
-                f = [int(_as_long(x.sum(keepdims=True))[0]) for x in (_mix(s), _mix(s ^ np.uint64(0xA5A5A5A5)), _mix(p))]
-                out.append((doc, len(s), *f, _as_long(p), parity_sketch(s).tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "f1", "f2", "g", "prefix", "sketch"])
+                numbers.append((len(s), *[int(_as_long(x.sum(keepdims=True))[0]) for x in (_mix(s), _mix(s ^ np.uint64(0xA5A5A5A5)), _mix(p))]))
+                prefixes.append(_as_long(p))
+                sketches.append(parity_sketch(s).tobytes())
+            numbers = np.array(numbers, dtype=np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["t"], *[pa.array(np.ascontiguousarray(numbers[:, i])) for i in range(4)],
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        measure, "doc_id long, n long, f1 long, f2 long, g long, prefix array<long>, sketch binary")
+    return source.mapInArrow(measure, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -188,6 +207,8 @@ def _apart(ids: np.ndarray, gids: np.ndarray, n: np.ndarray, labels: np.ndarray,
     """
     out, best = [], {}
     two = not first.all()
+    if two and not first.any():
+        return out
     widths = np.array([len(x) // 8 for x in sketches])
     for w in np.unique(widths):  # sizes that can be similar differ by one width at most
         rows = np.flatnonzero(widths == w)
@@ -248,25 +269,44 @@ def _folded_int(sketch: bytes, width: int) -> int:
     return x
 
 
-def candidates(postings: DataFrame, members: DataFrame, percent: int, every: bool) -> DataFrame:
+def candidates(postings: DataFrame, members: DataFrame, percent: int, every: bool, seed: int) -> DataFrame:
     """Pairs (a, b, distance) of members that share a token, pass the sketch and are still apart.
 
-    A token's members are dealt into blocks of about ``BLOCK`` and pairs of blocks are compared, each by one
-    task, so a token that very many members share is split. ``postings`` has token, gid, id and label,
-    ``members`` id, n and sketch; sketches travel only with tokens that still span several components.
+    ``postings``, a written table, has token, gid, id and label, ``members`` id, n and sketch; sketches travel
+    only with tokens that still span several components. A token's members are dealt into blocks of about
+    ``BLOCK`` by ``seed``. Only members of one block are compared, each with its nearest, unless ``every``: then
+    all blocks are compared with each other but those of the token's largest component, whose members are compared
+    with the others alone. Tokens are counted before they are joined, and hot ones, at most ``SHARE``, are broadcast.
     """
-    sized = postings.groupBy("token").agg(F.count(F.lit(1)).alias("__n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    sized = sized.where("lo <> hi").select("token", F.ceil(F.col("__n") / BLOCK).cast("int").alias("blocks"))
-    open_ = materialize(postings.join(sized, "token"), "open_postings")
-    dealt = (open_.join(members.select("id", "n", "sketch"), "id")
-             .withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("token", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"),
-                     (F.col("i") <= F.col("j")).alias("first"), "gid", "id", "n", "label", "sketch"))
+    per = postings.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    sized = materialize(per.groupBy("token").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("label", "n").alias("major"),
+                                                 (F.count(F.lit(1)) > 1).alias("open")), "tokens")
+    least = max(2, -(-(sized.agg(F.sum("size")).first()[0] or 0) // SHARE))
+    hot = F.broadcast(sized.where(F.col("size") >= least))
+    cold = sized.where((F.col("size") < least) & F.col("open"))
+    open_ = (postings.join(hot, "token").where("open").unionByName(
+        postings.join(hot.select("token"), "token", "left_anti").join(cold, "token")))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK).cast("int"))
+    place = lambda n: F.pmod(F.xxhash64(F.lit(seed), "id"), n).cast("int")
+    part = lambda kind, lo, hi, first: F.struct(F.lit(kind).alias("kind"), lo.cast("int").alias("lo"),
+                                                hi.cast("int").alias("hi"), first.alias("first"))
+    to = lambda n, f: F.transform(F.sequence(F.lit(0), n - 1), f)
+    if every:
+        is_major, a, b = F.col("label") == F.col("major"), blocks(F.col("most")), blocks(F.col("size") - F.col("most"))
+        i = place(F.when(is_major, a).otherwise(b))
+        of_major = to(b, lambda j: part(1, i, j, F.lit(True)))
+        of_others = F.concat(to(a, lambda j: part(1, j, i, F.lit(False))), to(b, lambda j: part(0, F.least(i, j), F.greatest(i, j), i <= j)))
+        parts = F.when(is_major, of_major).otherwise(of_others)
+    else:
+        i = place(blocks(F.col("size")))
+        parts = F.array(part(0, i, i, F.lit(True)))
+    dealt = (open_.select("token", "gid", "id", "label", F.explode(parts).alias("part")).select("token", "gid", "id", "label", "part.*")
+             .join(members.select("id", "n", "sketch"), "id")
+             .select("token", "kind", "lo", "hi", "first", "gid", "id", "n", "label", "sketch"))
 
     def compare(rows: pd.DataFrame, last: bool) -> tuple[list, int]:
         """Pairs of all groups but, unless ``last``, the final one, which may go on; and its first row."""
-        key = rows[["token", "lo", "hi"]].to_numpy()
+        key = rows[["token", "kind", "lo", "hi"]].to_numpy()
         cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), *([len(rows)] if last else [])]
         columns = [rows[c].to_numpy() for c in ("id", "gid", "n", "label")]
         first, sketches, own, out = rows["first"].to_numpy(), rows["sketch"].tolist(), key[:, 0] == columns[1], []
@@ -286,7 +326,7 @@ def candidates(postings: DataFrame, members: DataFrame, percent: int, every: boo
         if held is not None:
             yield pd.DataFrame(compare(held, True)[0], columns=["a", "b", "d"])
 
-    return (dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    return (dealt.repartition("token", "kind", "lo", "hi").sortWithinPartitions("token", "kind", "lo", "hi")
             .mapInPandas(scan, "a long, b long, d long"))
 
 
@@ -296,63 +336,104 @@ def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
             .withColumn("label", F.coalesce("label", "id")))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def _postings(leads: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
+    """gid, pos, token of the prefix n-grams that a group may share with another of fitting size.
 
-    Rows without words are linked with nothing. Equal texts are linked; a doc_id is one node, so rows that
-    repeat it share a component; of an id's different texts, one stands for it where similar texts are
-    searched. Rows without doc_id have the component of an equal text, else none. An empty table gives no rows.
+    At the first n-gram that a similar pair shares, neither can have lost too many before it for the
+    other's size; and of the groups that hold the n-gram, the next smaller or the next larger must be near enough in
+    size. ``hot`` n-grams, at most ``HEAVY``, are taken to have such neighbours.
     """
-    heavy = heavy_shingles(docs, words)
-    rows = materialize(shingle_features(docs, heavy, words, percent), "shingles")
-    full = rows.where("n > 0")
-    classes = materialize(full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.min("g").alias("g")), "classes")
-    # rows that repeat an id with another text join the classes of that id
-    twice = (full.select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).groupBy("doc_id")
-             .agg(F.min("id").alias("b"), F.max("id").alias("a")).where("a <> b").select("a", "b"))
-    grouped = Window.partitionBy("n", "g")
-    groups = materialize(classes.dropDuplicates(["id"]).select("id", "n", F.min("id").over(grouped).alias("gid"),
-                                                               F.count(F.lit(1)).over(grouped).alias("size")), "groups")
-    leads = groups.where("id = gid").select(F.col("gid").alias("doc_id"), "n")
-    posted = (full.select("doc_id", "n", "prefix").join(leads, ["doc_id", "n"]).dropDuplicates(["doc_id", "n"])
-              .select(F.col("doc_id").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token")))
-    # n-grams that two groups share, and one token of their own for groups of several members. At the first
-    # n-gram that a similar pair shares, neither can have lost too many before it for the other's size; and
-    # of the groups that hold the n-gram, the next smaller or the next larger must be near enough in size
+    spark = leads.sparkSession
+    posted = leads.select(F.col("rid").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"))
+    often = F.broadcast(spark.createDataFrame(pd.DataFrame({"token": _as_long(hot)}), "token long"))
+    rare = posted.join(often, "token", "left_anti")
     by_token = Window.partitionBy("token")
     by_size = by_token.orderBy("n")
     fits = lambda m: (F.col("n") - F.col("pos")) * (100 + percent) >= (F.col("n") + F.col(m)) * percent
-    posted = (posted.select("*", F.min("n").over(by_size).alias("__least"), F.lag("n").over(by_size).alias("__less"),
-                            F.lead("n").over(by_size).alias("__more"))
-              .where(((F.col("__less") * 100 >= F.col("n") * percent) & fits("__least"))
-                     | ((F.col("__more") * percent <= F.col("n") * 100) & fits("__more"))))
-    df = F.count(F.lit(1)).over(by_token)
+    rare = (rare.select("*", F.min("n").over(by_size).alias("__least"), F.lag("n").over(by_size).alias("__less"),
+                        F.lead("n").over(by_size).alias("__more"))
+            .where(((F.col("__less") * 100 >= F.col("n") * percent) & fits("__least"))
+                   | ((F.col("__more") * percent <= F.col("n") * 100) & fits("__more")))
+            .withColumn("__df", F.count(F.lit(1)).over(by_token)).where("__df > 1"))
+    return rare.select("gid", "pos", "token").unionByName(posted.join(often, "token", "left_semi").select("gid", "pos", "token"))
+
+
+def jaccard_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, same_id: bool = False) -> DataFrame:
+    """Per row its doc_id, t (hash of the text), rid (a number of its own), n_shingles and label.
+
+    Rows have one label if their texts are linked, directly or over others; a row without words has none. With
+    ``same_id`` rows with one doc_id are linked too, whatever their texts. Rows, not ids, are compared: ids may
+    be null, repeat, or be of any type. An empty table gives no rows; texts are read whole.
+    """
+    heavy, often = heavy_shingles(docs, words)
+    rows = materialize(shingle_features(docs, heavy, words, percent).withColumn("rid", F.monotonically_increasing_id()), "shingles")
+    full = rows.where("n > 0")
+    classes = materialize(full.groupBy("n", "f1", "f2").agg(F.min("rid").alias("id"), F.min("g").alias("g")), "classes")
+    groups = classes.groupBy("n", "g").agg(F.min("id").alias("gid"), F.count(F.lit(1)).alias("size"))
+    groups = materialize(classes.join(groups, ["n", "g"]).select("id", "n", "gid", "size"), "groups")
+    leads = full.join(groups.where("id = gid").select(F.col("id").alias("rid")), "rid", "left_semi")
+    hot = heavy[often >= max(2, rows.count() // SHARE)]
+    # besides shared n-grams, one token of its own for every group of several members
     own = groups.where("id = gid AND size > 1").select("gid", F.lit(-1).alias("pos"), F.col("gid").alias("token"))
-    shared = posted.withColumn("__df", df).where("__df > 1").select("gid", "pos", "token").union(own)
+    shared = _postings(leads, hot, percent).unionByName(own)
     early = F.row_number().over(Window.partitionBy("gid").orderBy("pos")) <= EARLY
     shared = materialize(shared.select("gid", "token", early.alias("early")), "postings")
-    members = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
-    once = rows.groupBy("doc_id").agg((F.count(F.lit(1)) == 1).alias("once"))
-    wanted = materialize(members.select(F.col("id").alias("doc_id")).join(once, "doc_id"), "wanted")
-    hint = F.broadcast if wanted.count() <= BROADCAST_IDS else lambda ids: ids
-    members = materialize(members.join(full.select(F.col("doc_id").alias("id"), "n", "sketch"), ["id", "n"])
-                          .dropDuplicates(["id", "n"]).select("id", "gid", "n", "sketch"), "members")
-    # only texts of repeated ids are shuffled to leave one of each
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    single = whole.join(hint(wanted.where("once")), "doc_id", "left_semi")
-    several = whole.join(hint(wanted.where("NOT once")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = materialize(single.unionByName(several).select(F.col("doc_id").alias("id"), "text"), "texts")
-    links = materialize(twice, "links")
-    for r in range(ROUNDS + 1):
-        every = r == ROUNDS
-        now = materialize(_labelled(members, components(links)), "labelled")
-        postings = shared if every else shared.where("early")
-        found = candidates(postings.select("token", "gid").join(now.select("gid", "id", "label"), "gid"), now, percent, every)
+    wanted = groups.join(shared.select("gid").distinct(), "gid", "left_semi").select("id", "gid")
+    members = materialize(wanted.join(full.select(F.col("rid").alias("id"), "n", "sketch", "doc_id", "t"), "id"), "members")
+    # the members' texts; only those of repeated rows are shuffled to leave one of each
+    again = rows.groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    same_row = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & (x["t"] == y["t"])
+    named = members.select("id", "doc_id", "t")
+    whole = docs.select("doc_id", text_hash(F.col("text")).alias("t"), "text")
+    take = lambda ids: whole.join(ids, same_row(whole, ids)).select("id", "text")
+    texts = materialize(take(named.join(again, same_row(named, again), "left_anti"))
+                        .unionByName(take(named.join(again, same_row(named, again), "left_semi")).dropDuplicates(["id"])), "texts")
+    links = full.limit(0).select(F.col("rid").alias("a"), F.col("rid").alias("b"))
+    if same_id:
+        of_id = full.where("doc_id IS NOT NULL").select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("doc_id", "id").distinct()
+        first = of_id.groupBy("doc_id").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id", "b")
+        links = of_id.join(first, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
+    links = materialize(links, "links")
+    members = members.select("id", "gid", "n", "sketch")
+    for step in range(3):
+        every = step == 2
+        now = _labelled(members.select("id", "gid"), components(links))
+        postings = (shared if step else shared.where("early")).select("token", "gid").join(now, "gid")
+        found = candidates(materialize(postings.select("token", "gid", "id", "label"), "labelled"), members, percent, every, step)
         if not every:
             found = found.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
         pairs = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         links = materialize(links.union(verified(pairs, texts, words, percent)), "links")
     named = materialize(_labelled(classes.select("n", "f1", "f2", "id"), components(links)), "labelled_classes")
-    return (rows.select("doc_id", F.col("n").alias("n_shingles"), "n", "f1", "f2")
+    return (rows.select("doc_id", "t", "rid", F.col("n").alias("n_shingles"), "n", "f1", "f2")
             .join(named.select("n", "f1", "f2", "label"), ["n", "f1", "f2"], "left")
-            .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
+            .select("doc_id", "t", "rid", "n_shingles", "label"))
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every row.
+
+    Equal texts are linked, and so are rows that repeat a doc_id, whatever their texts. Rows without words are
+    linked with nothing and have their own id. Rows without doc_id link the others as all do; their component_id
+    is null if no row of their component has an id.
+    """
+    rows = materialize(jaccard_rows(docs, words, percent, same_id=True), "labelled_rows")
+    first = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    alone = rows.where("label IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return rows.join(first, "label").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of every component of linked texts, all columns: that of the smallest doc_id (null last), then text hash.
+
+    Rows are linked by their texts alone, so different texts under one doc_id all stay; copies go whether they
+    have an id or not. Rows without words are linked with nothing and stay, rows equal in doc_id and text once.
+    """
+    rows = materialize(jaccard_rows(docs, words, percent), "labelled_rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("t"))
+    first = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first")).select("first.doc_id", "first.t")
+    kept = materialize(first.unionByName(rows.where("label IS NULL").select("doc_id", "t")).distinct(), "kept")
+    whole = docs.withColumn("__t", text_hash(F.col("text")))
+    kept = kept.select(F.col("doc_id").alias("__of_id"), F.col("t").alias("__of_t"))
+    return (whole.join(kept, F.col("doc_id").eqNullSafe(F.col("__of_id")) & (F.col("__t") == F.col("__of_t")), "left_semi")
+            .dropDuplicates(["doc_id", "__t"]).drop("__t"))
