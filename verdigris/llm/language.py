@@ -12,9 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from verdigris.session import materialize
 
@@ -127,23 +129,25 @@ def fit(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, clusters: i
 
 
 def identify(docs: DataFrame, model: Centroids, keep: list[str]) -> DataFrame:
-    """``keep`` columns with lang_pred, score (cosine) and rejected; reads only the text.
+    """``keep`` columns, as they are, with lang_pred, score (cosine) and rejected; reads only the text.
 
-    A null text, one without letter, and any text if nothing was learned are ``und`` with score 0.
+    A null text, one without letter, and any text if nothing was learned are ``und`` with score 0. Repeated rows are
+    judged alike, texts of any length whole; an empty table gives no rows.
     """
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema],
-                        "lang_pred string", "score double", "rejected boolean"])
+    source = docs.select(*keep, F.col("text").alias("__text"))
+    schema = StructType(source.select(*keep).schema.fields).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            known = np.array([bool(model.langs) and t is not None and LETTER.search(t) is not None for t in b["__text"]], dtype=bool)
-            lang, score, rejected = model.predict(b["__text"][known].tolist())
-            out = b[keep].copy()
-            out["lang_pred"], out["score"], out["rejected"] = "und", 0.0, False
-            out.loc[known, "lang_pred"], out.loc[known, "score"], out.loc[known, "rejected"] = lang, score, rejected
-            yield out
-
-    return docs.select(*keep, F.col("text").alias("__text")).mapInPandas(predict, schema)
+            texts = b["__text"].to_pylist()
+            known = [i for i, t in enumerate(texts) if model.langs and t is not None and LETTER.search(t) is not None]
+            lang, score, rejected = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
+            for i, *found in zip(known, *model.predict([texts[i] for i in known])):
+                lang[i], score[i], rejected[i] = found
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in keep], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                                              pa.array(rejected, pa.bool_())], [*keep, "lang_pred", "score", "rejected"])
+
+    return source.mapInArrow(predict, schema)
 
 
 def language_documents(docs: DataFrame) -> DataFrame:
