@@ -18,9 +18,10 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from verdigris.llm.common import number_within
 from verdigris.session import materialize
@@ -31,7 +32,8 @@ CACHE_PARTS, CACHE_WORDS = 1_000_000, 200_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*").fullmatch
 # Fixed value: how the tokenizer splits words, for such texts in lower case
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = {"piece": (IntegerType(), pa.int32()), "start": (LongType(), pa.int64()), "length": (LongType(), pa.int64()),
+         "ids_crc32": (LongType(), pa.int64())}
 
 
 def tokenizer_path() -> str:
@@ -98,7 +100,12 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     """Pieces of at most ``capacity`` tokens of every document row (null text: empty), its end id included."""
     end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    source = docs.select("doc_id", "text")
+    schema = StructType([source.schema["doc_id"]])
+    for name, (kind, _) in PIECE.items():
+        schema = schema.add(name, kind)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = path or tokenizer_path()
         if where not in _ENCODERS:  # once a Python worker
             _ENCODERS[where] = WordEncoder(where)
@@ -106,13 +113,15 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         step = 4 * capacity
         for batch in batches:
             out = []
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
+            for row, text in enumerate(batch["text"].to_pylist()):
                 ids = memoryview(encoder.encode(text or "") + end)
-                out += [(doc, j // step, j // 4, min(step, len(ids) - j) // 4, zlib.crc32(ids[j:j + step]))
+                out += [(row, j // step, j // 4, min(step, len(ids) - j) // 4, zlib.crc32(ids[j:j + step]))
                         for j in range(0, len(ids), step)]
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            row, *columns = zip(*out) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(pa.array(row, pa.int64())), *[pa.array(c, t) for c, (_, t) in zip(columns, PIECE.values())]], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
+    return source.mapInArrow(cut, schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
@@ -178,9 +187,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Place of every piece: ``pieces`` columns with sequence_id and offset.
 
-    Repeated rows and ids are packed each by itself, an empty or null text is
-    its end id alone, an empty table gives no rows. The driver holds the
-    histogram (at most ``capacity`` rows) and the plan made from it.
+    Repeated rows and ids are packed each by itself, ids of any type stay as they are, an empty
+    or null text is its end id alone, a text of any length is cut into pieces, an empty table
+    gives no rows. The driver holds the histogram (at most ``capacity`` rows) and the plan made
+    from it.
     """
     cut = materialize(pieces(docs, path, capacity), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -189,15 +199,14 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     key = rows[:, 0].astype(object) * (1 << 48) + rows[:, 1].astype(object)  # length, then first rank
     keys = np.array(key.tolist(), dtype=np.int64)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    numbered = numbered.select("doc_id", *PIECE, "__rank")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             length, rank = b["length"].to_numpy(), b["__rank"].to_numpy()
             r = rows[np.searchsorted(keys, length * (1 << 48) + rank, side="right") - 1]
             nth = rank - r[:, 1]
-            out = b.drop(columns="__rank")
-            out["sequence_id"] = r[:, 2] + nth // r[:, 3]
-            out["offset"] = r[:, 4] + nth % r[:, 3] * length
-            yield out
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in ("doc_id", *PIECE)], pa.array(r[:, 2] + nth // r[:, 3]),
+                                              pa.array(r[:, 4] + nth % r[:, 3] * length)], ["doc_id", *PIECE, "sequence_id", "offset"])
 
-    return (numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "__rank")
-            .mapInPandas(place, PIECE + ", sequence_id long, offset long"))
+    return numbered.mapInArrow(place, cut.schema.add("sequence_id", "long").add("offset", "long"))
