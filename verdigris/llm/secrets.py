@@ -1,10 +1,13 @@
 """Secret scans: fixed patterns, and character Markov models for what they miss.
 
-Two first-order Markov models over the characters of tokens are trained from
-labelled samples: random strings (values found by the patterns, and seeded
-random strings of usual alphabets) and ordinary identifiers (all other long
-words). A token is a secret if the log-likelihood ratio of the two, summed and
-per character, is high enough.
+First-order Markov models over the characters of tokens are trained from labelled
+samples: random strings (values found by the patterns, and seeded random strings
+of usual alphabets) and ordinary ones, of two kinds (the other long words, and words
+joined to identifiers in the usual styles; and characters in an order). Half of a character's chance comes from the
+pairs seen, half from the classes of the two (lower, upper, digit, each sign), so
+words of another language are ordinary too. A token is a secret if its
+log-likelihood ratio per character exceeds its alphabet's cut, which is set on
+held-out identifiers: at most one in ``1 / FALSE_RATE`` of them is above it.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import random
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +35,17 @@ KEYWORD = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SAMPLE_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{5,}")
+WORDS = re.compile(r"[A-Za-z]{2,}")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-."
 INDEX = np.full(128, len(ALPHABET), dtype=np.int64)
 INDEX[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 N_STATES = len(ALPHABET) + 1
 
 TRAIN_DOCS = 20_000  # bound of the labelled sample: about so many documents, chosen by hash
-MIN_PER_CHAR, MIN_TOTAL = 0.6, 12.0
+FALSE_RATE = 0.002  # of held-out ordinary identifiers above their alphabet's cut
+LEAST_CUT, LEAST_SAMPLE = 0.1, 500  # a cut of fewer identifiers is not lower than that of mixed tokens
+BIN = 0.02
+ALPHABETS = ("digits", "hex", "mixed")
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -56,12 +64,46 @@ def _codes(token: str) -> np.ndarray:
     return INDEX[np.frombuffer(token.encode("ascii"), dtype=np.uint8)]
 
 
-def random_strings(seed: int = 5, each: int = 300) -> list[str]:
-    """Seeded random strings of hexadecimal, base-62 and base-64 alphabets."""
+#: classes of characters: lower, upper, digit, and each sign by itself
+CLASS = np.array([0] * 26 + [1] * 26 + [2] * 10 + list(range(3, 3 + N_STATES - 62)))
+
+
+def alphabet(token: str) -> int:
+    """Place in ``ALPHABETS``."""
+    return 0 if token.isdigit() else 1 if not token.strip("0123456789abcdef") else 2
+
+
+def random_strings(seed: int = 5, each: int = 300) -> dict[str, list[str]]:
+    """Seeded random strings by alphabet; mixed ones of base 62 and base 64."""
     rng = random.Random(seed)
-    kinds = (string.hexdigits[:16], string.ascii_letters + string.digits,
-             string.ascii_letters + string.digits + "+/")
-    return ["".join(rng.choices(k, k=rng.randint(20, 48))) for k in kinds for _ in range(each)]
+    kinds = (("digits", string.digits), ("hex", string.hexdigits[:16]), ("mixed", string.ascii_letters + string.digits),
+             ("mixed", string.ascii_letters + string.digits + "+/"))
+    out: dict[str, list[str]] = {k: [] for k in ALPHABETS}
+    for kind, letters in kinds:
+        out[kind] += ["".join(rng.choices(letters, k=rng.randint(20, 48))) for _ in range(each)]
+    return out
+
+
+def ordinary_runs(lengths: tuple[int, ...] = (16, 33), first_year: int = 1990) -> list[str]:
+    """Characters in an order: alphabets and digits up and down, keyboard rows, dates, and (three times) repeated characters."""
+    rows = [string.ascii_lowercase, string.ascii_uppercase, string.digits, string.digits[1:] + "0", "qwertyuiop", "asdfghjkl", "zxcvbnm"]
+    out = [(r * 6)[i:i + n] for row in rows for r in (row, row[::-1]) for i in range(len(row)) for n in lengths]
+    out += [c * n for c in ALPHABET for n in lengths] * 3
+    out += [f"{y}{m:02d}{d:02d}{h:02d}0000" + "0" * (m % 9) for y in range(first_year, 2031, 4) for m in range(1, 13) for d in (1, 15, 28) for h in (0, 12)]
+    return out
+
+
+def identifiers(text: str) -> list[str]:
+    """Consecutive words of a text joined as identifiers, in turn in camel, Pascal, snake, constant, kebab and path style."""
+    words, out = WORDS.findall(text), []
+    for i in range(0, len(words) - 4, 9):
+        w = [x.lower() for x in words[i:i + 2 + i % 3]]
+        style = i // 9 % 8
+        number = str(i % 100) if i % 4 == 1 else ""
+        joined = (w[0] + "".join(map(str.capitalize, w[1:])), "".join(map(str.capitalize, w)), "_".join(w), "_".join(w).upper(),
+                  "-".join(w), "/".join(w), "".join(w), "//" + "/".join(w) + "/index")[style]
+        out.append(joined + number)
+    return out
 
 
 def _outside(text: str, spans: list, pattern: re.Pattern) -> list[re.Match]:
@@ -89,43 +131,92 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, N_STATES, N_STATES), dtype=np.int64)
         for text in batch["text"].to_pylist():
             spans = base_spans(text or "")
-            counts[0] += _pairs([m[0] for m in _outside(text or "", spans, SAMPLE_TOKEN)])
-            counts[1] += _pairs([text[s:e] for s, k, e in spans if k])
+            counts[0] += _pairs([m[0] for m in _outside(text or "", spans, SAMPLE_TOKEN)] + identifiers(text or ""))
+            counts[1] += _pairs([text[s:e] for s, k, e in spans if k == 1])
         at = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*at, counts[at])], ["label", "a", "b", "n"])
 
 
-def train(docs: DataFrame, sample_docs: int = TRAIN_DOCS) -> np.ndarray:
-    """Log-likelihood ratio (random against ordinary) of every character pair.
+def _log_chance(counts: np.ndarray) -> np.ndarray:
+    """Log chance of every character after every other: half by the pairs, half by their classes."""
+    n_classes = CLASS.max() + 1
+    one_hot = np.eye(n_classes)[CLASS]
+    classes = one_hot.T @ counts @ one_hot + 0.5
+    single = counts.sum(axis=0) + 0.5
+    share = single / (one_hot.T @ single)[CLASS]
+    back = (classes / classes.sum(axis=1, keepdims=True))[CLASS][:, CLASS] * share
+    total = counts.sum(axis=1, keepdims=True)
+    return np.log(np.where(total > 0, 0.5 * counts / np.maximum(total, 1) + 0.5 * back, back))
+
 
-    Counted on about ``sample_docs`` documents; an empty table leaves the
-    seeded random strings against a uniform model.
+class Markov:
+    """Per alphabet the log-likelihood ratios of every character pair, random against words and against characters in an
+    order, and the cut per character."""
+
+    def __init__(self, ratios: np.ndarray, cuts: np.ndarray):
+        self.ratios, self.cuts = ratios, cuts
+
+    def per_char(self, token: str) -> float:
+        c = _codes(token)
+        return float(self.ratios[alphabet(token)][:, c[:-1], c[1:]].mean(axis=1).min())
+
+    def is_random(self, token: str) -> bool:
+        return self.per_char(token) > self.cuts[alphabet(token)]
+
+
+def _half(which: int):
+    return F.pmod(F.xxhash64(F.lit("secret halves"), "doc_id", "text"), F.lit(2)) == which
+
+
+def train(docs: DataFrame, sample_docs: int = TRAIN_DOCS, false_rate: float = FALSE_RATE) -> Markov:
+    """Models and cuts from about ``sample_docs`` documents: one half is counted, the identifiers of the other set the cuts.
+
+    An empty table leaves the seeded samples.
     """
     total = docs.count()
     share = min(1.0, sample_docs / max(1, total))
     picked = docs.where(F.pmod(F.xxhash64(F.lit("secrets"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = (picked.select("text").mapInArrow(_count, "label long, a long, b long, n long")
-            .groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect())  # at most 2 * 68 * 68 rows
-    counts = np.ones((2, N_STATES, N_STATES))
+    rows = (picked.where(_half(0)).select("text").mapInArrow(_count, "label long, a long, b long, n long")
+            .groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect())  # at most 2 * 69 * 69 rows
+    counts = np.zeros((2, N_STATES, N_STATES))
     for r in rows:
         counts[r["label"], r["a"], r["b"]] += r["n"]
-    counts[1] += _pairs(random_strings())
-    chance = counts / counts.sum(axis=2, keepdims=True)
-    return np.log(chance[1]) - np.log(chance[0])
-
+    seeded = random_strings()
+    sure = [_pairs(seeded["digits"]), _pairs(seeded["hex"]), _pairs(seeded["mixed"]) + counts[1]]
+    plain = np.stack([_log_chance(counts[0]), _log_chance(_pairs(ordinary_runs()).astype(float))])
+    model = Markov(np.stack([_log_chance(a) - plain for a in sure]), np.zeros(len(ALPHABETS)))
 
-def ratio(model: np.ndarray, token: str) -> float:
-    c = _codes(token)
-    return float(model[c[:-1], c[1:]].sum())
+    def bins(tokens: list[str]) -> Counter:
+        return Counter((alphabet(t), int(np.floor(model.per_char(t) / BIN))) for t in tokens if len(t) >= 16)
 
-
-def secret_spans(text: str, model: np.ndarray) -> list[tuple[int, int, int]]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = sum((bins(identifiers(t or "")) for t in batch["text"].to_pylist()), Counter())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (
+                [k for k, _ in found], [b for _, b in found], list(found.values()))], ["kind", "bin", "n"])
+
+    held = bins(ordinary_runs((24,), 1992))
+    for r in (picked.where(_half(1)).select("text").mapInArrow(score, "kind long, bin long, n long")
+              .groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect()):  # a few hundred bins
+        held[r["kind"], r["bin"]] += r["n"]
+    for kind in (2, 1, 0):
+        of = sorted((b, n) for (k, b), n in held.items() if k == kind)
+        left = int(sum(n for _, n in of) * false_rate)
+        cut = LEAST_CUT
+        for b, n in reversed(of):  # the lowest cut that few enough identifiers exceed
+            if n > left:
+                cut = max(cut, (b + 1) * BIN)
+                break
+            left -= n
+        few = kind == 1 and sum(n for _, n in of) < LEAST_SAMPLE
+        model.cuts[kind] = max(cut, model.cuts[2]) if few else cut
+    return model
+
+
+def secret_spans(text: str, model: Markov) -> list[tuple[int, int, int]]:
     """Base spans and Markov spans, which touch no base span, by start and kind."""
     spans = base_spans(text)
-    for m in _outside(text, spans, TOKEN):
-        r = ratio(model, m[0])
-        if r >= MIN_TOTAL and r >= MIN_PER_CHAR * len(m[0]):
-            spans.append((m.start(), 3, m.end()))
+    spans += [(m.start(), 3, m.end()) for m in _outside(text, spans, TOKEN) if model.is_random(m[0])]
     return sorted(spans)
 
 
@@ -139,10 +230,11 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def find_secrets(docs: DataFrame, model: np.ndarray, keep: list[str], clean: str | None = None) -> DataFrame:
+def find_secrets(docs: DataFrame, model: Markov, keep: list[str], clean: str | None = None) -> DataFrame:
     """The ``keep`` columns of every row with its ``spans`` and, if ``clean`` names it, the redacted text.
 
-    Null texts count as empty and have no spans; repeated rows are scanned alike; texts of any length are read whole.
+    Null texts count as empty and have no spans; repeated rows are scanned alike; texts of any length are read whole;
+    an empty table gives no rows.
     """
     names = [*keep, *([clean] if clean else []), "spans"]
     source = docs.select(*keep, F.col("text").alias("__text"))
