@@ -1,25 +1,34 @@
-"""Exact top-k inner products over integer components, with MaxScore's bounds but without its postings.
-
-A component is a term, its value the term's impact. Candidates are dealt into
-shards, queries into blocks; every (block, shard) pair is one small task group.
-In a shard a term's impact is at most its range over the shard. All candidates
-are scored on the terms that move scores most; from then on only those whose
-score and bound of the remaining terms can reach the k-th best score are scored
-further, a few terms at a time. There are no postings and no split into
-essential and non-essential terms, and a shard starts without a threshold.
-Shards' results are merged by one aggregation.
+"""Exact top-k inner products over integer components by MaxScore.
+
+A component is a term. A shard of candidates has two postings lists per term, for
+queries with a positive and with a negative weight: the rows whose value lies
+above a base that three quarters of the rows do not exceed, with how far. A score
+is at most the query's sum over the bases and over the impacts of the lists that
+hold the row. Terms are ordered by their largest contribution; the smallest ones,
+which cannot reach the threshold together, are not essential. The essential lists
+are traversed; of the rows found, the other terms are probed, largest first, while
+a row can still reach the threshold, and what is left is scored exactly.
+
+The first shard has no threshold and scores all its rows. The k-th best score that
+it finds for a query is the threshold that the query brings to the others.
+Vectors are sent to their shard once, queries to every shard; shards' results are
+merged by one aggregation.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigris.session import materialize
 
-SHARD_ROWS, BLOCK_QUERIES, STEP = 2048, 1024, 8
+SHARD_ROWS, FIRST_QUERIES = 16384, 4096  # rows of a shard, and queries of a task of the first shard, about
+BASE = 0.75
+EXACT = 1 << 52  # sums up to here are exact in doubles
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -38,30 +47,59 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def max_score(query: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray,
-              k: int, own: int | None = None) -> list[tuple[int, int]]:
-    """The k best (score, id) of ``rows``, ties to smaller ids, without the row ``own``."""
-    terms = np.flatnonzero(query)
-    a, b = query[terms] * low[terms], query[terms] * high[terms]
-    most, floor = np.maximum(a, b), np.minimum(a, b)
-    order = np.argsort(floor - most, kind="stable")  # the terms that move scores most come first
-    terms, most = terms[order], most[order]
-    rest = np.concatenate([np.cumsum(most[::-1])[::-1], [0]])  # bound of the terms from i on
-    alive = np.arange(len(rows)) if own is None else np.flatnonzero(ids != own)
-    score = np.zeros(len(alive), dtype=np.int64)
-    threshold = None
-    for i in range(0, len(terms), STEP):
-        if threshold is not None:
-            keep = score + rest[i] >= threshold  # the remaining terms cannot lift the others
-            alive, score = alive[keep], score[keep]
-        t = terms[i:i + STEP]
-        score = score + rows[np.ix_(alive, t)] @ query[t]
-        if len(alive) > 4 * k:
-            lead = alive[np.argpartition(-score, k)[:k]]
-            bound = int((rows[lead] @ query).min())
-            threshold = bound if threshold is None else max(threshold, bound)
-    best = np.lexsort((ids[alive], -score))[:k]
-    return [(int(score[j]), int(ids[alive[j]])) for j in best]
+class Shard:
+    """Candidates and their postings: by sign and term the rows above the base, and their impacts."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+        self.signed = (rows, -rows)
+        self.base = np.stack([np.quantile(x, BASE, axis=0, method="lower") for x in self.signed]).astype(np.int64)
+        self.docs, self.impacts = [], []
+        for x, base in zip(self.signed, self.base):
+            over = x - base
+            at = [np.flatnonzero(over[:, t] > 0) for t in range(x.shape[1])]
+            self.docs.append(at)
+            self.impacts.append([over[d, t] for t, d in enumerate(at)])
+        self.top = np.array([[i.max(initial=0) for i in lists] for lists in self.impacts], dtype=np.int64).reshape(self.base.shape)
+        self.largest = int(np.abs(rows).max(initial=0))
+
+    def candidates(self, query: np.ndarray, threshold: int) -> np.ndarray:
+        """Rows that may score ``threshold`` or more; all that do are among them."""
+        terms = np.flatnonzero(query)
+        sign, weight = (query[terms] < 0).astype(int), np.abs(query[terms])
+        base, most = int(weight @ self.base[sign, terms]), weight * self.top[sign, terms]
+        order = np.argsort(most, kind="stable")
+        upto = base + np.cumsum(most[order])
+        split = int(np.searchsorted(upto, threshold, side="left"))  # the terms before it cannot reach the threshold
+        essential, others = order[split:], order[:split]
+        if not split and base >= threshold:  # rows that no list holds may reach it too
+            return np.arange(len(self.ids))
+        if not len(essential):
+            return np.empty(0, dtype=np.int64)
+        docs = [self.docs[sign[i]][terms[i]] for i in essential]
+        gains = [self.impacts[sign[i]][terms[i]] * weight[i] for i in essential]
+        found = np.bincount(np.concatenate(docs), weights=np.concatenate(gains), minlength=len(self.ids)).astype(np.int64)
+        alive = np.flatnonzero(found)
+        rest = int(most[others].sum())
+        for i in [None, *others[::-1]]:
+            if i is not None:
+                x = self.signed[sign[i]][alive, terms[i]] - self.base[sign[i], terms[i]]
+                found[alive] += weight[i] * np.maximum(x, 0)
+                rest -= int(most[i])
+            alive = alive[base + found[alive] + rest >= threshold]
+        return alive
+
+    def best(self, query: np.ndarray, k: int, own: int, threshold: int | None) -> list[tuple[int, int]]:
+        """The k best (score, id) that reach the threshold, ties to smaller ids, without rows of the id ``own``."""
+        rows = slice(None)
+        if threshold is not None and int(np.abs(query).sum()) * self.largest * 2 < EXACT:
+            rows = self.candidates(query, threshold)
+        score, ids = self.rows[rows] @ query, self.ids[rows]
+        at = np.flatnonzero((ids != own) & (score >= (np.iinfo(np.int64).min if threshold is None else threshold)))
+        if len(at) > 4 * k:
+            at = at[score[at] >= np.partition(score[at], -k)[-k]]  # with all ties
+        at = at[np.lexsort((ids[at], -score[at]))[:k]]
+        return list(zip(score[at].tolist(), ids[at].tolist()))
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -70,32 +108,53 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
 
     Rows with a null id, a null vector or a null or non-finite component take
     no part. A query's own id is never its candidate, so neither are further
-    rows of that id; an id that occurs twice with another vector is two
-    candidates. Fewer candidates than k give fewer rows; an empty table none.
+    rows of that id; every other row is a candidate, also if it repeats another.
+    Of a query id's different vectors the smallest asks. Shorter vectors are filled
+    up with zeros. Fewer candidates than k give fewer rows; an empty table none.
     """
     scaled = materialize(
         vectors.select(F.col(id_col).cast("long").alias("id"), impacts(F.col(vector_col), scale).alias("v"),
                        F.coalesce(is_query, F.lit(False)).alias("q"))
-        .where(F.col("id").isNotNull() & F.col("v").isNotNull()), "topk_vectors")
+        .where(F.col("id").isNotNull() & F.col("v").isNotNull()).withColumn("row", F.monotonically_increasing_id()), "topk_vectors")
     size = scaled.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q"), F.max(F.size("v")).alias("w")).first()
-    shards, blocks = max(1, -(-size["n"] // SHARD_ROWS)), max(1, -(-size["q"] // BLOCK_QUERIES))
-    width = size["w"] or 0
-    dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = scaled.select("id", "v", dealt(shards).alias("shard"), upto(blocks).alias("block"))
-    queries = scaled.where("q").dropDuplicates(["id"]).select("id", "v", dealt(blocks).alias("block"), upto(shards).alias("shard"))
-
-    def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(asked) and len(held):
-            m, ids = _matrix(held["v"].tolist(), width), held["id"].to_numpy()
-            low, high = m.min(axis=0), m.max(axis=0)
-            for qid, q in zip(asked["id"].tolist(), _matrix(asked["v"].tolist(), width)):
-                out += [(qid, i, s) for s, i in max_score(q, m, low, high, ids, k, qid)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    by = ["block", "shard"]
-    found = queries.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(search, FOUND)
+    shards, width = max(1, -(-size["n"] // SHARD_ROWS)), size["w"] or 0
+    rows = scaled.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "id", "v",
+                         F.lit(None).cast("long").alias("least"))
+    queries = materialize(scaled.where("q").groupBy("id").agg(F.min("v").alias("v")), "topk_queries")
+    asked = lambda q, shard, least: q.select(shard.alias("shard"), F.lit(True).alias("asks"), "id", "v", least.alias("least"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, ids, held, shard = None, [], [], None
+        for b in batches:
+            out = []
+            columns = [b[c].to_pylist() for c in ("part", "asks", "id", "v", "least")]
+            for part, asks, i, v, least in zip(*columns):
+                if part != here:
+                    here, ids, held, shard = part, [], [], None
+                if not asks:
+                    ids.append(i)
+                    held.append(v)
+                elif held:
+                    if shard is None:
+                        shard = Shard(np.array(ids), _matrix(held, width))
+                    out += [(i, found, score) for score, found in shard.best(_matrix([v], width)[0], k, i, least)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 3)], ["query_id", "vec_id", "score"])
+
+    def run(parts: DataFrame) -> DataFrame:
+        return parts.repartition("part").sortWithinPartitions("part", "asks").select("part", "asks", "id", "v", "least").mapInArrow(search, FOUND)
+
+    # the first shard, for some of the queries a task
+    blocks = max(1, -(-size["q"] // FIRST_QUERIES))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    copies = rows.where("shard = 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    first = materialize(run(copies.unionByName(asked(queries, F.lit(0), F.lit(None).cast("long")).withColumn("part", block))), "topk_first")
+    found = first
+    if shards > 1:
+        # the k-th best score so far; without k results there is none
+        least = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least"))
+        known = queries.join(least.withColumnRenamed("query_id", "id"), "id", "left")
+        everywhere = asked(known, F.explode(F.sequence(F.lit(1), F.lit(shards - 1))), F.col("least"))
+        found = found.unionByName(run(rows.where("shard > 0").unionByName(everywhere).withColumn("part", F.col("shard"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
