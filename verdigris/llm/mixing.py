@@ -90,38 +90,37 @@ def pivotal_round(rows: DataFrame, group: str, seed: int, block: int = BLOCK) ->
     """0/1 decision ``take`` for every ``key`` (long, unique) with probability ``p`` in (0, 1).
 
     Input columns: ``group``, ``key``, ``size``, ``p``. Within a group the
-    decisions sum to the sum of ``p`` rounded up or down. The tree has
-    log_block(rows) levels; a level reads only what the level below left open.
+    decisions sum to the sum of ``p`` rounded up or down. Blocks of about
+    ``block`` keys are contiguous in the order of sizes, the largest first, so mass
+    moves between keys of nearly one size and a block leaves one of its
+    smallest open. The tree has log_block(rows) levels; a level reads only what the
+    level below left open.
     """
-    # documents of one size class (a twelfth of a doubling) are dealt into blocks
-    band = F.floor(F.log2(F.col("size") + 1.0) * 12).cast("long")
-    rows = rows.withColumn("__band", band)
-    per = rows.groupBy(group, "__band").agg(F.count(F.lit(1)).alias("__n"))
-    sized = per.agg(F.max("__n")).first()[0]
-    if sized is None:
+    rows = materialize(rows.select(group, "key", F.col("size").cast("long").alias("size"), F.col("p").cast("double").alias("p")), "pivot_rows")
+    # a key's place: after the larger sizes, and somewhere among its own
+    larger = Window.partitionBy(group).orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(group, "size").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(larger), F.lit(0)))
+    place = F.col("__before") + F.floor(_uniform(seed, F.col("key")) * F.col("__n"))
+    open_ = materialize(join_hot(rows, sizes, [group, "size"], "inner").select(
+        group, F.floor(place / block).cast("long").alias("__block"), F.struct("size", "key", "p").alias("item")), "pivot_places")
+    top = open_.agg(F.max("__block")).first()[0]
+    if top is None:
         return rows.select("key", F.lit(0).alias("take"))
-    blocks = max(1, -(-sized // block))
-    open_ = rows.select(group, "__band", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(blocks)).alias("__block"),
-                        F.struct(F.col("size").cast("long").alias("size"), F.col("key").cast("long").alias("key"),
-                                 F.col("p").cast("double").alias("p")).alias("item"))
     decided = []
     while True:
-        last = blocks == 1
-        level = (open_.groupBy(group, *([] if last and decided else ["__band"]), "__block")
-                 .agg(F.sort_array(F.collect_list("item")).alias("block"))
+        level = (open_.groupBy(group, "__block").agg(F.sort_array(F.collect_list("item"), asc=False).alias("block"))
                  .withColumn("r", _pivot(seed + len(decided)))
-                 .select("*", F.col("r.open").alias("item"), F.col("r.done").alias("done")).drop("block", "r"))
+                 .select(group, "__block", F.col("r.open").alias("item"), F.col("r.done").alias("done")))
         level = materialize(level, "pivot")
         decided.append(level.select(F.explode("done").alias("d")).select("d.*"))
         left = level.where(F.col("item").isNotNull())
-        if last and "__band" not in level.columns:
+        if top == 0:
             u = _uniform(seed - 1, F.col("item.key"))
-            decided.append(left.select(F.col("item.key").alias("key"),
-                                       (u < F.col("item.p")).cast("int").alias("take")))
+            decided.append(left.select(F.col("item.key").alias("key"), (u < F.col("item.p")).cast("int").alias("take")))
             break
-        # parents: neighbouring blocks of a band, at last all bands of the group
-        blocks = -(-blocks // block) if blocks > 1 else 1
-        open_ = left.select(group, "__band", F.floor(F.col("__block") / block).cast("long").alias("__block"), "item")
+        top //= block  # parents: neighbouring blocks
+        open_ = left.select(group, F.floor(F.col("__block") / block).cast("long").alias("__block"), "item")
     out = decided[0]
     for d in decided[1:]:
         out = out.unionByName(d)
