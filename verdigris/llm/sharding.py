@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from verdigris.llm.common import number_within
 from verdigris.session import materialize
 
-GRID_BITS, TIE_BITS, STEP_BITS = 16, 32, 12
+GRID_BITS, STEP_BITS = 16, 12
+HASH_BITS, ROW_BITS = 32, 12  # of a tie: by the values of the row; among rows with equal values by a number of the row
+TIE_BITS = HASH_BITS + ROW_BITS
 POSITION_BITS = GRID_BITS + TIE_BITS
 
 
@@ -89,7 +91,8 @@ def kd_shards(df: DataFrame, size: Column, dims: dict[str, str], tie: list[str],
     proportion. Give ``target_bytes`` of a leaf or the number of leaves.
     Returns the ``keep`` columns with ``size`` and ``shard``. Null dimensions
     lie at the low end; an empty table gives no rows; fewer rows than leaves
-    leave some shards empty; repeated rows with equal ties stay together.
+    leave some shards empty; repeated rows, which nothing tells apart, are dealt out
+    as any others.
     """
     ranged = [d for d, kind in dims.items() if kind == "range"]
     seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.min(F.col(d).cast("double")).alias(f"lo_{d}") for d in ranged],
@@ -99,7 +102,8 @@ def kd_shards(df: DataFrame, size: Column, dims: dict[str, str], tie: list[str],
         *[c.alias(n) for n, c in (keep or {}).items()], size.alias("__size"),
         *[_grid(d, kind, seen[f"lo_{d}"] if kind == "range" else None,
                 seen[f"hi_{d}"] if kind == "range" else None).alias(names[d]) for d, kind in dims.items()],
-        F.pmod(F.xxhash64(*tie), F.lit(1 << TIE_BITS)).alias("__tie"), F.lit(0).alias("__node"))
+        (F.shiftleft(F.pmod(F.xxhash64(*tie), F.lit(1 << HASH_BITS)), ROW_BITS)
+         + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << ROW_BITS))).alias("__tie"), F.lit(0).alias("__node"))
     rows = materialize(narrow, "kd_rows")
     if n_shards is None:
         total = rows.agg(F.sum("__size")).first()[0] or 0
