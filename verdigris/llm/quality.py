@@ -121,7 +121,9 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK
     grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).cast("long").alias("cutoff"),
                               F.col(f"good_{r}_{c}").alias("x"), F.col(f"bad_{r}_{c}").alias("caught"))
                      for r, (_, _, cs) in RULES.items() for c in cs])
-    tests = max(1, counts.count()) * sum(len(cs) for _, _, cs in RULES.values())
+    # a rule's cutoffs are nested, so they are tested in one order, from lax to strict, until the first that fails: only
+    # rules and strata share the risk of error
+    tests = max(1, counts.count()) * len(RULES)
     tried = (counts.select("stratum", "n", F.explode(grid).alias("t")).select("stratum", "n", "t.*")
              .withColumn("bound", binomial_below(F.col("n"), F.col("x"), risk / len(RULES))))
     return (tried.where((F.col("bound") <= delta / tests) & (F.col("caught") > 0))
