@@ -5,7 +5,7 @@ or ``revisit`` record in files of about ``maxBytes``; with ``compression`` gzip
 default) each record is a gzip member whose extra field tells its length. Files appear
 under the path when the whole job commits, so a lost or repeated task leaves nothing.
 
-Read, the files are packed into partitions of about ``maxBytes``. Predicates on header
+Read, the files are packed into partitions of about ``maxBytes`` (each file whole). Predicates on header
 columns (type, ids, uri, date, digest) are pushed down: a record's header is parsed
 first, and an unwanted record is passed over by its length, without inflating or
 decoding what follows. ``payload`` tells what is made of wanted payloads: ``full``
@@ -39,7 +39,7 @@ FIELDS = {"record_type": b"WARC-Type", "record_id": b"WARC-Record-ID", "target_u
 PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "1970-01-01T00:00:00Z"
-MAX_BYTES = 128 << 20
+FILE_BYTES, PART_BYTES = 128 << 20, 16 << 20  # of a file written, and of a partition read
 READ = 1 << 16
 ARROW_BYTES = 8 << 20
 
@@ -111,7 +111,7 @@ class WarcWriter(D.DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.path, self.overwrite = options["path"].rstrip("/"), overwrite
         self.plain = options.get("compression", "gzip").lower() == "none"
-        self.max_bytes = int(options.get("maxBytes", MAX_BYTES))
+        self.max_bytes = int(options.get("maxBytes", FILE_BYTES))
         self.job = uuid.uuid4().hex
 
     def _folder(self, path: str) -> str:
@@ -340,7 +340,7 @@ class WarcReader(D.DataSourceReader):
         self.payload = options.get("payload", "full").lower()
         if self.payload not in ("full", "digest", "none"):
             raise ValueError("payload must be full, digest or none")
-        self.max_bytes = int(options.get("maxBytes", MAX_BYTES))
+        self.max_bytes = int(options.get("maxBytes", PART_BYTES))
         self.filters: list[D.Filter] = []
 
     def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
