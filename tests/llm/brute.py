@@ -144,7 +144,7 @@ def cutoffs(rows, labels, rules, risk, delta):
     for doc, stratum, text in rows:
         if truth.get(doc) in (0, 1):
             known[stratum].append((zlib.crc32(str(doc).encode()) % 2 == 0, truth[doc], more_measures(text)))
-    tests = max(1, len(strata)) * sum(len(cs) for _, _, cs in rules.values())
+    tests = max(1, len(strata)) * len(rules)
     p, out = risk / len(rules), {}
     for stratum, found in known.items():
         n = sum(held and q == 1 for held, q, _ in found)
@@ -178,42 +178,60 @@ def redacted(text, spans):
     return "".join("[secret]" if i in starts else "" if i in hidden else c for i, c in enumerate(text))
 
 
-def url_templates(rows, depth=6, wide=20, rare=0.2, prior=10.0, z=2.0):
-    """(host, path) -> (template, blocked share), from (host, path, labelled, blocked) rows, one tree a host."""
-    def smoothed(found, share):
-        return (sum(b for *_, b in found) + prior * share) / (sum(n for *_, n, _ in found) + prior)
+def url_templates(rows, wide=20, rare=0.2, prior=10.0, z=2.0, evidence=5):
+    """(host, path) -> (template, blocked share, labels it rests on), from (host, path, labelled, blocked) rows, one tree a host."""
+    def count(found):
+        return sum(r[2] for r in found), sum(r[3] for r in found)
 
-    labelled = sum(r[2] for r in rows)
-    overall = sum(r[3] for r in rows) / labelled if labelled else 0.0
-    out = {}
+    def purity(found, share, n):
+        own, b = count(found)
+        return ((b + prior * share) / (own + prior), own) if own >= evidence else (share, n)
+
+    def number(segment):
+        return bool(re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", segment))
 
-    def grow(level, prefix, share, found):
-        ended = [r for r in found if len(r[4]) <= level]
-        out.update({(r[0], r[1]): (prefix, share) for r in ended})
-        branches = collections.defaultdict(list)
+    n, b = count(rows)
+    overall = b / n if n else 0.0
+    ended = {}  # (host, path) -> (template, share and labels of the node above)
+
+    def grow(level, prefix, share, known, found):
+        paths = {r[1] for r in found}
+        going = collections.defaultdict(list)
         for r in found:
-            if len(r[4]) > level:
-                branches[r[4][level]].append(r)
-        going = [r for x in branches.values() for r in x]
-        total_n, total_b = sum(r[2] for r in going), sum(r[3] for r in going)
-        single = sum(len(x) == 1 for x in branches.values())
+            if len(paths) == 1 or len(r[4]) <= level:
+                ended[r[0], r[1]] = ("/".join([prefix, *["{var}" if number(s) else s for s in r[4][level:]]]), share, known)
+            else:
+                going[r[4][level]].append(r)
+        rest = [r for x in going.values() for r in x]
+        total_n, total_b = count(rest)
+        single = sum(len(x) == 1 for x in going.values())
         merged = collections.defaultdict(list)
-        for segment, x in branches.items():
-            n, b = sum(r[2] for r in x), sum(r[3] for r in x)
+        for segment, x in going.items():
+            n, b = count(x)
             step = segment
-            number = bool(re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", segment))
-            if number or (len(branches) >= wide and len(x) < rare * len(going) and 2 * single >= len(branches)):
+            if number(segment) or (len(going) >= wide and len(x) < rare * len(rest) and 2 * single >= len(going)):
                 step = "{var}"
-            elif len(branches) > 1 and 0 < n < total_n:
+            elif len(going) > 1 and min(n, total_n - n) >= evidence:
                 s = total_b / total_n
                 error = math.sqrt(s * (1 - s) * (1 / n + 1 / (total_n - n)))
                 if abs(b / n - (total_b - b) / (total_n - n)) <= z * error:
                     step = "{any}"
             merged[step] += x
         for step, x in merged.items():
-            grow(level + 1, f"{prefix}/{step}", smoothed([r[:4] for r in x], share), x)
+            grow(level + 1, f"{prefix}/{step}", *purity(x, share, known), x)
 
     for host in {r[0] for r in rows}:
-        found = [(*r, r[1].removeprefix("/").split("/", depth - 1)) for r in rows if r[0] == host]
-        grow(0, "", smoothed([r[:4] for r in found], overall), found)
+        found = [(*r, r[1].removeprefix("/").split("/")) for r in rows if r[0] == host]
+        grow(0, "", *purity(found, overall, n), found)
+    shapes, own = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        template = ended[r[0], r[1]][0]
+        shapes[template].append(r)
+        own[r[0], template].append(r)
+    out = {}
+    for (host, path), (template, share, known) in ended.items():
+        n, b = count(shapes[template])
+        if n >= evidence:
+            share, known = ((b + prior * overall) / (n + prior), n) if count(own[host, template])[0] < evidence else (share, known)
+        out[host, path] = (template, *purity(own[host, template], share, known))
     return out

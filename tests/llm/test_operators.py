@@ -43,6 +43,50 @@ def test_shards(docs, none, rows):
     assert sharding.shard_documents(none, 5).count() == 0
 
 
+def _check_node(rows, shards, lo, hi):
+    """The rows of shards lo to hi - 1 are parted along their widest dimension, at the byte goal."""
+    if hi - lo < 2 or not rows:
+        return
+    widest = max(range(len(rows[0][1])), key=lambda d: max(r[1][d] for r in rows) - min(r[1][d] for r in rows))
+    mid = lo + (hi - lo) // 2
+    left, right = ([r for r in rows if (r[2] < mid) == side] for side in (True, False))
+    goal = sum(r[0] for r in rows) * (mid - lo) / (hi - lo)
+    assert abs(sum(r[0] for r in left) - goal) <= max(r[0] for r in rows)
+    if left and right:
+        assert max(r[1][widest] for r in left) <= min(r[1][widest] for r in right)
+    _check_node(left, shards, lo, mid)
+    _check_node(right, shards, mid, hi)
+
+
+@pytest.mark.parametrize("n_shards", [5, 24])
+def test_kd_tree_splits(spark, n_shards):
+    """Every node recomputed: its widest dimension on the grid, the order along it, and the bytes on both sides."""
+    import random
+
+    rng = random.Random(n_shards)
+    rows = [(i, rng.choice((1, 50, 500)) * rng.random(), rng.expovariate(1), rng.randrange(20, 900)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, a double, b double, bytes long").repartition(4)
+    got = sharding.kd_shards(df, F.col("bytes"), {"a": "range", "b": "range"}, ["doc_id"], n_shards=n_shards,
+                             keep={"doc_id": F.col("doc_id")}).collect()
+    low = [min(r[d] for r in rows) for d in (1, 2)]
+    high = [max(r[d] for r in rows) for d in (1, 2)]
+    grid = {r[0]: tuple(math.floor((r[d] - low[d - 1]) / (high[d - 1] - low[d - 1]) * 65535) for d in (1, 2)) for r in rows}
+    _check_node([(r["size"], grid[r["doc_id"]], r["shard"]) for r in got], None, 0, n_shards)
+    by_bytes = sharding.kd_shards(df, F.col("bytes"), {"a": "range"}, ["doc_id"], target_bytes=40_000, keep={"doc_id": F.col("doc_id")})
+    sums = [r[1] for r in by_bytes.groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sums) == math.ceil(sum(r[3] for r in rows) / 40_000) and max(sums) <= 40_000 + 900 * 5
+
+
+def test_shards_of_equal_rows(spark):
+    """Nothing tells the rows apart, and still the shards hold near equal bytes."""
+    rows = [(1, "same text", "en", "a", 9)] * 400 + [(i, f"text {i}", "en", "b", 8) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for df in (docs, docs.where("doc_id = 1 AND source = 'a'")):
+        got = sharding.shard_documents(df, 10).groupBy("shard").agg(F.sum("size").alias("bytes"), F.max("size").alias("most")).collect()
+        mean = sum(r["bytes"] for r in got) / 10
+        assert len(got) == 10 and all(abs(r["bytes"] - mean) <= 6 * r["most"] for r in got)
+
+
 def test_language(spark, docs, none):
     train = [(i, t * 5, lang, "s", 1, 1, "x", "y") for i in range(40) for t, lang in
              ((f"the cat and the dog {i} walk there ", "en"), (f"le chat et les chiens {i} sont là ", "fr"))]
@@ -135,12 +179,64 @@ def test_secrets(docs, none):
     for r in secrets.secret_documents(docs).collect():
         want = B.secret_digest(TEXTS[r["doc_id"]])
         assert (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) == want[:4]
-    model = secrets.train(none)
-    random = secrets.random_strings(seed=99, each=5)
-    assert all(secrets.ratio(model, t) == secrets.ratio(model, t) for t in random)
-    text = f"x token={random[0]} y"
-    assert random[0] not in secrets.redact(text, secrets.secret_spans(text, model))
     assert secrets.secret_documents(none).count() == 0
+    assert secrets.train(none).cuts.min() >= secrets.LEAST_CUT
+
+
+ENGLISH = """get set user account information http servlet request wrapper default buffer size bytes read write file path index
+content length value parser builder factory manager service handler response client server thread pool queue worker cache
+entry listener event stream channel exception message digest image layer weight matrix vector""".split()
+
+
+def ordinary_identifiers(n):
+    """English words, which no document holds, joined in the usual styles."""
+    import random
+
+    rng, out = random.Random(12), []
+    while len(out) < n:
+        w = rng.sample(ENGLISH, rng.choice((3, 4, 5)))
+        for x in ("".join([w[0], *map(str.capitalize, w[1:])]), "".join(map(str.capitalize, w)), "_".join(w), "_".join(w).upper(), "-".join(w),
+                  "/".join(w), "//www/" + "/".join(w), "".join(w) + str(rng.randrange(100))):
+            if len(x) >= 16:
+                out.append(x)
+    return out[:n]
+
+
+@pytest.fixture(scope="module")
+def markov(spark):
+    return secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_ordinary_identifiers_are_no_secrets(markov):
+    fixed = ["getUserAccountInformation", "HttpServletRequestWrapper", "DEFAULT_BUFFER_SIZE_BYTES", "https//www/example/com/path/index",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "-" * 22, "=" * 40, "abcdefghijklmnopqrstuvwxyz", "1234567890123456", "0" * 20, "20240101120000000"]
+    found = [t for t in fixed + ordinary_identifiers(400) if secrets.secret_spans(f"see {t} here", markov)]
+    assert len(found) <= 4 and not set(found) & set(fixed), found
+
+
+@pytest.mark.parametrize("kind", ["digits", "hex", "base62", "base64"])
+def test_random_strings_are_secrets(markov, kind):
+    import random
+    import string
+
+    letters = {"digits": string.digits, "hex": "0123456789abcdef", "base62": string.ascii_letters + string.digits,
+               "base64": string.ascii_letters + string.digits + "+/"}[kind]
+    rng = random.Random(kind)
+    tokens = ["".join(rng.choices(letters, k=rng.randint(20, 23 if kind in ("digits", "hex") else 48))) for _ in range(400)]
+    texts = [f"x {t} y" for t in tokens]
+    spans = [secrets.secret_spans(t, markov) for t in texts]
+    assert sum(s == [(2, 3, 2 + len(t))] for s, t in zip(spans, tokens)) >= 380
+    assert [secrets.redact(t, s) for t, s in zip(texts, spans) if s][:3] == ["x [secret] y"] * 3
+
+
+def test_markov_spans_equal_plain_python(markov):
+    """The score of a token and the spans of a text, recomputed pair by pair."""
+    t = "u9Xk2LmQ8vRt0ZaB7yHc"
+    want = min(sum(m[secrets.ALPHABET.index(x), secrets.ALPHABET.index(y)] for x, y in zip(t, t[1:])) / (len(t) - 1) for m in markov.ratios[2])
+    assert markov.per_char(t) == pytest.approx(want) and want > markov.cuts[2]
+    text = f"token: {t} and {t} é {t}x AKIA{'Q' * 16}{t[:3]}"
+    got = secrets.secret_spans(text, markov)
+    assert [text[s:e] for _, s, e in sorted((s, s, e) for s, k, e in got if k == 3)] == [t, t + "x"]
 
 
 def test_packing(docs, none, rows):
@@ -165,6 +261,56 @@ def test_jaccard(docs, none, rows):
     assert ngram_join.jaccard_components(none).count() == 0
 
 
+def _copies(rng, count):
+    """Clusters of near and almost near copies, on both sides of the thresholds, small and large."""
+    out = []
+    for size in (2, 3, 8, count):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(90)]
+        for _ in range(size):
+            copy = list(words)
+            for i in rng.sample(range(90), rng.choice((0, 1, 2, 3, 4, 6))):
+                copy[i] = f"x{rng.randrange(10 ** 6)}"
+            out.append(" ".join(copy[rng.randrange(3):]))
+    return out
+
+
+@pytest.mark.parametrize("words,percent", [(4, 85), (5, 80)])
+def test_jaccard_of_large_clusters(spark, monkeypatch, words, percent):
+    """Hubs of many near and almost near copies, over several blocks of a token, and hot n-grams."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 40)
+    monkeypatch.setattr(ngram_join, "SHARE", 20)
+    rng = random.Random(words)
+    texts = _copies(rng, 260) + [" ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(50)) for _ in range(60)]
+    rows = [(10 ** 6 - 7 * i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(tuple(r) for r in ngram_join.jaccard_components(docs, words, percent).collect())
+    want = {r[0]: r for r in B.jaccard_components(sorted(rows), percent, words)}
+    assert got == sorted(want.values())
+    assert 70 < len({c for _, _, c in got}) < len(rows)
+
+
+def test_ids_stay_as_they_are(spark):
+    """Ids beside null ids in one batch, above the range of doubles, repeated with other texts; or of another type."""
+    big = 2 ** 53
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(big + 1, a), (None, a), (big + 3, b), (None, c), (9, a + " z"), (9, b), (9, c), (None, None), (big + 5, ""), (None, "q r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    key = lambda r: (r is None, r or 0)
+    ids = sorted((r[0] for r in rows), key=key)
+    got = ngram_join.jaccard_components(docs).collect()
+    assert sorted((r["doc_id"] for r in got), key=key) == ids
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {
+        (big + 1, 9), (None, 9), (big + 3, 9), (9, 9), (None, None), (big + 5, big + 5)}
+    assert sorted({r["doc_id"] for r in packing.pack(docs).collect()}, key=key) == sorted(set(ids), key=key)
+    found = language.language_documents(docs.withColumn("lang", F.lit("en"))).collect()
+    assert sorted((r["doc_id"] for r in found), key=key) == ids
+    named = spark.createDataFrame([("k1", a), ("k0", a), (None, b)], "doc_id string, text string")
+    assert {tuple(r)[::2] for r in ngram_join.jaccard_components(named).collect()} == {("k1", "k0"), ("k0", "k0"), (None, None)}
+    assert {r["doc_id"] for r in packing.pack(named).collect()} == {"k1", "k0", None}
+
+
 def test_mix(docs, none, rows):
     got = mixing.mix(docs).collect()
     sizes = {}
@@ -178,6 +324,19 @@ def test_mix(docs, none, rows):
     assert mixing.mix(none).count() == 0
 
 
+def test_taken_words_come_near_the_targets(spark):
+    """Also with few documents a source, of sizes from one word to thousands, and a source of a third of all."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, "w " * int(rng.lognormvariate(5, 1.2) + 1), f"s{i % 30:02d}" if i % 3 else "hot") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(docs).groupBy(F.col("target"), F.col("source_size")).agg(F.sum("taken").alias("taken")).collect()
+    assert len(got) == 21
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= 0.025 * r["target"], r
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/1?x", "http://b.org", "http://b.org/q#f",
             "http://x.com/de/5", "http://x.com/de/5", "http://xcom/fr/1", "http://example.org/en/12/" + "a/" * 40, "x://é.NET/p"]
@@ -206,13 +365,33 @@ def test_url_tree(spark):
     rows = [(h, p, int(bool(r)), int(bool(r) and r[3] == "block")) for u in urls
             for h, p in [B.split_url(u)] for r in [B.rule(h, p, url_filter.RULES)]]
     want = B.url_templates(rows)
-    assert len(got) == len(urls) and len({t for t, _ in want.values()}) > 20
+    assert len(got) == len(urls) and len({t for t, *_ in want.values()}) > 20
     for r in got:
-        template, share = want[r["host"], r["path"]]
-        assert (r["template"], r["blocked_share"]) == (template, pytest.approx(share, abs=1e-6)), r
+        template, share, n = want[r["host"], r["path"]]
+        assert (r["template"], r["blocked_share"], r["n_labelled"]) == (template, pytest.approx(share, abs=1e-6), n), r
         if r["rule"] is None:
-            assert r["verdict"] == ("block" if share > 0.5 else "allow")
+            assert r["verdict"] == ("block" if share > 0.5 and n >= url_filter.EVIDENCE else "allow")
     assert any(r["rule"] is None and r["verdict"] == "block" for r in got)
+    assert {r["evidence"] for r in got} == {"template", "shape", "parent"}
+
+
+def test_labels_decide_verdicts(spark):
+    """One template, three kinds of evidence: labels of its own, of the same template elsewhere, none anywhere."""
+    rules = (("bad.com/p/", "bad.com", "/p/", "block"), ("good.com/p/", "good.com", "/p/", "allow"), ("x.org/q/1", "x.org", "/q/1", "block"))
+    own = [f"http://{h}/{p}" for h in ("new.net",) for p in [f"p/{i}" for i in range(8)] + [f"z/{i}" for i in range(8)]]
+
+    def verdicts(*hosts):
+        urls = own + [f"http://{h}/p/{i}" for h in hosts for i in range(20)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = url_filter.judge_urls(pages, rules=rules).where("host = 'new.net'").collect()
+        return {(r["template"], r["verdict"], r["evidence"] if r["template"] == "/p/{var}" else None) for r in got}
+
+    assert verdicts("bad.com") == {("/p/{var}", "block", "shape"), ("/z/{var}", "block", None)}
+    assert verdicts("bad.com", "good.com", "good.com") == {("/p/{var}", "allow", "shape"), ("/z/{var}", "allow", None)}
+    assert verdicts("other.com") == {("/p/{var}", "allow", "parent"), ("/z/{var}", "allow", None)}  # nothing is known
+    deep = ["http://x.org/q/" + "/".join(["1", *["d"] * 6, str(i), "e"]) for i in range(6)] + ["http://x.org/q/2" + "/d" * 7 + "/7/e"]
+    got = url_filter.judge_urls(spark.createDataFrame(list(enumerate(deep)), "page_id long, url string"), rules=rules).collect()
+    assert {r["template"] for r in got} == {"/q/{var}" + "/d" * 6 + "/{var}/e", "/q/{var}" + "/d" * 7 + "/{var}/e"}
 
 
 def test_top_k(spark):
@@ -225,3 +404,37 @@ def test_top_k(spark):
     got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
     assert got == B.top_k(vecs, {0, 50, 100, 200})
     assert topk.top_k(df.where("false"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+def test_top_k_over_many_shards(spark, monkeypatch, k):
+    """Thresholds handed from the first shard on, ties, vectors of unequal length, repeated ids and rows, extra columns."""
+    import random
+
+    monkeypatch.setattr(topk, "SHARD_ROWS", 60)
+    monkeypatch.setattr(topk, "FIRST_QUERIES", 7)
+    rng = random.Random(k)
+    vecs = [(i, [rng.gauss(0.1, 0.2) for _ in range(rng.choice((5, 12, 12, 12)))]) for i in range(400)]
+    vecs += [(i, [rng.choice((0.0, 0.5, -0.5)) for _ in range(4)]) for i in range(400, 600)]  # many ties
+    vecs += [(700, []), (701, [1e6] * 12), (-50, vecs[1][1])]
+    repeated = [vecs[7], (8, vecs[9][1]), vecs[450], vecs[450]]
+    df = spark.createDataFrame([(i, v, 1, "x", 2.0) for i, v in vecs + repeated], "vec_id long, embedding array<double>, rank int, id string, score double")
+    asks = {i for i, _ in vecs if i % 20 == 0}
+    rows = [(i, v + [0.0] * (12 - len(v))) for i, v in vecs + repeated]
+    got = [tuple(r) for r in topk.top_k(df.repartition(5), F.col("vec_id") % 20 == 0, k=k).collect()]
+    assert sorted(got) == B.top_k(rows, asks, k) and len({q for q, *_ in got}) == len(asks)
+
+
+def test_max_score_skips_rows():
+    """With a threshold few rows are scored, and none that reaches it is missed."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = np.floor(rng.normal(0, 40, (4000, 24))).astype(np.int64) * (rng.random((4000, 24)) < 0.3)
+    shard = topk.Shard(np.arange(4000), rows)
+    for q in rows[:30]:
+        score = rows @ q
+        least = int(np.sort(score)[-5])
+        at = shard.candidates(q, least)
+        assert set(np.flatnonzero(score >= least)) <= set(at.tolist()) and len(at) < 400
+        assert len(shard.candidates(q, int(score.max()) * 50 + 1)) == 0
