@@ -41,14 +41,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one of smallest id. Near are ``PERCENT`` of shingles of ``WORDS`` words.
 
-    One row of each id stays; rows without doc_id cannot be the smallest of a component and all stay.
+    Documents are compared by their texts, not their ids: different texts under one id all stay, and of copies
+    one stays even if none has an id. A text without words is near to nothing.
     """
-    docs = docs.select(*COLUMNS)
-    named = docs.where("doc_id IS NOT NULL")
-    found = ngram_join.jaccard_components(named, words=WORDS, percent=PERCENT)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    return ngram_join.one_of_each(docs.select(*COLUMNS), words=WORDS, percent=PERCENT)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
