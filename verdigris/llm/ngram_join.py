@@ -39,7 +39,8 @@ BLOCK = 1024
 FEW = 8
 EARLY = 4  # postings of a group that the first round looks at
 SHARE = 1000  # a token with at least 1/SHARE of the rows is hot
-FEATURES = "t long, n long, f1 long, f2 long, g long, prefix array<long>, sketch binary"
+WIDE_FROM = 64  # members of a token from which on wide sketches are compared
+FEATURES = "t long, n long, f1 long, f2 long, g long, prefix array<long>, short binary, sketch binary"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -68,6 +69,12 @@ def parity_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
+def short_sketch(sketch: bytes) -> bytes:
+    """A sketch folded to a quarter, one to two bits a member."""
+    x = np.frombuffer(sketch, dtype=np.uint64)[None, :]
+    return _fold(x, max(8, x.shape[1] // 4)).tobytes()
+
+
 def _fold(sketches: np.ndarray, width: int) -> np.ndarray:
     """Sketches (rows of 64-bit words) brought to ``width`` words; bounds stay bounds."""
     while sketches.shape[1] > width:
@@ -118,12 +125,13 @@ def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, per
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            numbers, prefixes, sketches = [], [], []
+            numbers, prefixes, shorts, sketches = [], [], [], []
             for text in b["text"].to_pylist():
                 s = shingle_set(text, words)
                 if len(s) == 0:
                     numbers.append((0, 0, 0, 0))
                     prefixes.append(np.empty(0, np.int64))
+                    shorts.append(b"")
                     sketches.append(b"")
                     continue
                 order = np.zeros(len(s), dtype=np.int64)
@@ -134,10 +142,11 @@ def shingle_features(docs: DataFrame, heavy: np.ndarray, words: int = WORDS, per
                 numbers.append((len(s), *[int(_as_long(x.sum(keepdims=True))[0]) for x in (_mix(s), _mix(s ^ np.uint64(0xA5A5A5A5)), _mix(p))]))
                 prefixes.append(_as_long(p))
                 sketches.append(parity_sketch(s).tobytes())
+                shorts.append(short_sketch(sketches[-1]))
             numbers = np.array(numbers, dtype=np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["t"], *[pa.array(np.ascontiguousarray(numbers[:, i])) for i in range(4)],
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], schema.names)
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(shorts, pa.binary()), pa.array(sketches, pa.binary())], schema.names)
 
     return source.mapInArrow(measure, schema)
 
@@ -272,8 +281,8 @@ def _folded_int(sketch: bytes, width: int) -> int:
 def candidates(postings: DataFrame, members: DataFrame, percent: int, every: bool, seed: int) -> DataFrame:
     """Pairs (a, b, distance) of members that share a token, pass the sketch and are still apart.
 
-    ``postings``, a written table, has token, gid, id and label, ``members`` id, n and sketch; sketches travel
-    only with tokens that still span several components. A token's members are dealt into blocks of about
+    ``postings``, a written table, has token, gid, id and label, ``members`` id, n, short and sketch; sketches travel
+    only with tokens that still span several components, the wide ones only where ``every`` pair of many is looked at. A token's members are dealt into blocks of about
     ``BLOCK`` by ``seed``. Only members of one block are compared, each with its nearest, unless ``every``: then
     all blocks are compared with each other but those of the token's largest component, whose members are compared
     with the others alone. Tokens are counted before they are joined, and hot ones, at most ``SHARE``, are broadcast.
@@ -300,9 +309,12 @@ def candidates(postings: DataFrame, members: DataFrame, percent: int, every: boo
     else:
         i = place(blocks(F.col("size")))
         parts = F.array(part(0, i, i, F.lit(True)))
-    dealt = (open_.select("token", "gid", "id", "label", F.explode(parts).alias("part")).select("token", "gid", "id", "label", "part.*")
-             .join(members.select("id", "n", "sketch"), "id")
-             .select("token", "kind", "lo", "hi", "first", "gid", "id", "n", "label", "sketch"))
+    wide = F.lit(every) & (F.col("size") >= WIDE_FROM)
+    sketch = F.when(F.col("wide"), F.col("sketch")).otherwise(F.col("short"))
+    dealt = (open_.select("token", "gid", "id", "label", wide.alias("wide"), parts.alias("parts"))
+             .join(members.select("id", "n", "short", "sketch" if every else F.lit(None).cast("binary").alias("sketch")), "id")
+             .select("token", "gid", "id", "label", "n", sketch.alias("sketch"), F.explode("parts").alias("part"))
+             .select("token", "part.*", "gid", "id", "n", "label", "sketch"))
 
     def compare(rows: pd.DataFrame, last: bool) -> tuple[list, int]:
         """Pairs of all groups but, unless ``last``, the final one, which may go on; and its first row."""
@@ -345,17 +357,19 @@ def _postings(leads: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
     """
     spark = leads.sparkSession
     posted = leads.select(F.col("rid").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"))
-    often = F.broadcast(spark.createDataFrame(pd.DataFrame({"token": _as_long(hot)}), "token long"))
-    rare = posted.join(often, "token", "left_anti")
-    by_token = Window.partitionBy("token")
+    often = F.broadcast(spark.createDataFrame(pd.DataFrame({"token": _as_long(hot)}), "token long").withColumn("__hot", F.col("token")))
+    # a posting of a hot n-gram is a part by itself
+    posted = posted.join(often, "token", "left").withColumn("__part", F.when(F.col("__hot").isNotNull(), F.col("gid")).otherwise(F.lit(-1)))
+    by_token = Window.partitionBy("token", "__part")
     by_size = by_token.orderBy("n")
     fits = lambda m: (F.col("n") - F.col("pos")) * (100 + percent) >= (F.col("n") + F.col(m)) * percent
-    rare = (rare.select("*", F.min("n").over(by_size).alias("__least"), F.lag("n").over(by_size).alias("__less"),
-                        F.lead("n").over(by_size).alias("__more"))
-            .where(((F.col("__less") * 100 >= F.col("n") * percent) & fits("__least"))
-                   | ((F.col("__more") * percent <= F.col("n") * 100) & fits("__more")))
-            .withColumn("__df", F.count(F.lit(1)).over(by_token)).where("__df > 1"))
-    return rare.select("gid", "pos", "token").unionByName(posted.join(often, "token", "left_semi").select("gid", "pos", "token"))
+    near = (((F.col("__less") * 100 >= F.col("n") * percent) & fits("__least"))
+            | ((F.col("__more") * percent <= F.col("n") * 100) & fits("__more")))
+    posted = (posted.select("*", F.min("n").over(by_size).alias("__least"), F.lag("n").over(by_size).alias("__less"),
+                            F.lead("n").over(by_size).alias("__more"))
+              .where(F.col("__hot").isNotNull() | near)
+              .withColumn("__df", F.count(F.lit(1)).over(by_token)).where(F.col("__hot").isNotNull() | (F.col("__df") > 1)))
+    return posted.select("gid", "pos", "token")
 
 
 def jaccard_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, same_id: bool = False) -> DataFrame:
@@ -379,22 +393,23 @@ def jaccard_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sa
     early = F.row_number().over(Window.partitionBy("gid").orderBy("pos")) <= EARLY
     shared = materialize(shared.select("gid", "token", early.alias("early")), "postings")
     wanted = groups.join(shared.select("gid").distinct(), "gid", "left_semi").select("id", "gid")
-    members = materialize(wanted.join(full.select(F.col("rid").alias("id"), "n", "sketch", "doc_id", "t"), "id"), "members")
+    members = materialize(wanted.join(full.select(F.col("rid").alias("id"), "n", "short", "sketch", "doc_id", "t"), "id"), "members")
     # the members' texts; only those of repeated rows are shuffled to leave one of each
     again = rows.groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     same_row = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & (x["t"] == y["t"])
     named = members.select("id", "doc_id", "t")
     whole = docs.select("doc_id", text_hash(F.col("text")).alias("t"), "text")
     take = lambda ids: whole.join(ids, same_row(whole, ids)).select("id", "text")
-    texts = materialize(take(named.join(again, same_row(named, again), "left_anti"))
-                        .unionByName(take(named.join(again, same_row(named, again), "left_semi")).dropDuplicates(["id"])), "texts")
+    repeated = materialize(named.join(again, same_row(named, again), "left_semi"), "repeated_members")
+    once = materialize(named.join(repeated.select("id"), "id", "left_anti"), "single_members")
+    texts = materialize(take(once).unionByName(take(repeated).dropDuplicates(["id"])), "texts")
     links = full.limit(0).select(F.col("rid").alias("a"), F.col("rid").alias("b"))
     if same_id:
         of_id = full.where("doc_id IS NOT NULL").select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("doc_id", "id").distinct()
         first = of_id.groupBy("doc_id").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id", "b")
         links = of_id.join(first, "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
     links = materialize(links, "links")
-    members = members.select("id", "gid", "n", "sketch")
+    members = members.select("id", "gid", "n", "short", "sketch")
     for step in range(3):
         every = step == 2
         now = _labelled(members.select("id", "gid"), components(links))
