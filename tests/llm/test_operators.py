@@ -98,6 +98,44 @@ def test_language(spark, docs, none):
     assert language.language_documents(none).count() == 0
 
 
+def _plain_language(text, model):
+    """(language, cosine, rejected) of a text: hashed trigrams, TF-IDF and cosines in plain Python."""
+    cp = [ord(c) if ord(c) > 127 or "a" <= c <= "z" else 32 for c in text.lower()]
+    cp = [32, *cp, 32]
+    counts = {}
+    for x, y, z in zip(cp, cp[1:], cp[2:]):
+        if y != 32:
+            h = (x * 0x9E3779B1 & 0xFFFFFFFF) ^ (y * 0x85EBCA77 & 0xFFFFFFFF) ^ (z * 0xC2B2AE3D & 0xFFFFFFFF)
+            h = (h ^ h >> 15) * 0x27D4EB2F & 0xFFFFFFFF
+            counts[h >> 32 - language.DIM_BITS] = counts.get(h >> 32 - language.DIM_BITS, 0) + 1
+    weights = {h: math.log1p(n) * float(model.idf[h]) for h, n in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    cos = [sum(w * float(c[h]) for h, w in weights.items()) / norm for c in model.centroids]
+    best = max(range(len(cos)), key=cos.__getitem__)
+    return model.langs[best], cos[best], 1 - cos[best] > model.radius[best]
+
+
+def test_language_scores_recomputed(spark):
+    """Every prediction, score and rejection of held-out and foreign texts; clusters, idf and null or unknown languages."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    known = docs.where("doc_id % 3 = 0").unionByName(spark.createDataFrame([(-1, "null language", None), (-2, "12 34", "xx")], docs.schema))
+    model = language.fit(known)
+    assert set(model.langs) == {r[0] for r in docs.where("doc_id % 3 = 0 AND lang IS NOT NULL").select("lang").distinct().collect()}
+    assert len(model.centroids) == language.CLUSTERS * len(set(model.langs))
+    texts = [(r["doc_id"], r["text"]) for r in docs.where("doc_id % 20 = 1").collect() if r["text"] and language.LETTER.search(r["text"])]
+    texts += [(10 ** 6, "Žluťoučký kůň úpěl ďábelské ódy"), (10 ** 6 + 1, "qqq zzz xxq"), (10 ** 6 + 2, "a")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language.identify(rows, model, ["doc_id"]).collect()}
+    for doc, text in texts:
+        lang, score, rejected = _plain_language(text, model)
+        r = got[doc]
+        assert r["score"] == pytest.approx(min(1, max(0, score)), abs=1e-4)
+        assert r["lang_pred"] == lang and (r["rejected"] == rejected or abs(score - r["score"]) < 1e-4)
+    assert got[10 ** 6]["rejected"] and got[10 ** 6 + 1]["rejected"]
+    right = [got[r["doc_id"]]["lang_pred"] == r["lang"] for r in docs.where("doc_id % 20 = 1 AND lang IS NOT NULL").collect() if r["doc_id"] in got]
+    assert sum(right) >= 0.95 * len(right)
+
+
 def test_quality_measures(docs, none, rows, spark):
     labels = spark.createDataFrame([(5, 1), (5, 0), (9, None)], "doc_id long, quality int")
     got = {r["doc_id"]: r for r in quality.quality_rules(docs, labels).collect()}
