@@ -73,14 +73,17 @@ NOTES = """
 - The shuffle in `train_*` and pixel queries is `keyed_partitions()`: the input is a
   single small file with fewer partitions than cores; a large input is not
   reshuffled.
-- `balance_exact` / `stratified_split`: the final plan reads the wide
-  table once, with no shuffle. Its two broadcasts are the checkpointed
-  per-class cut table and the ranked cut-bucket keys, both size-checked.
-  The window that ranks only the cut-bucket rows runs earlier, on a narrow
-  projection, and is checkpointed, so it does not appear here.
+- `balance_exact` / `stratified_split` / `balance_*_keys`: the final plan reads the
+  wide table once and compares each row with the cut of its class. The counts by
+  which the cuts are found run earlier, on a narrow projection, and are
+  written, so they do not appear here; rows equal in all columns that share a
+  cut are grouped in one more branch, only where there are any.
+- `label_index_orders`: hot labels are broadcast, the others joined by a
+  shuffle; ranks come from a range partition, without a window.
+- `join_copartitioned`: no Exchange but for broadcasts that Spark chooses at this size.
 - `weighted_metrics` / `best_model`: cells -> per-class (expand + aggregate)
   -> per-model; no join of the cell table with itself, one scan per input.
-- Windows without partitioning (`label_map`, `best_model`, `decode_label`)
+- Windows without partitioning (`best_model`, `decode_label`'s partial map)
   run over tables with one row per class or per model, never over data rows.
 - Joins chosen as broadcast in these plans join tables with one row per class
   or AQE's statistics-based choice at this size; at scale they are

@@ -100,6 +100,10 @@ def test_a_step_that_fails_half_way_runs_again(spark, tmp_path):
         write_step(rows.where("id >= 50"), out, "two")
     write_step(rows.where("id < 50"), out, "one")
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(100))
+    write_step(rows.limit(0), out, "two")  # now it has no rows
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(50))
+    with pytest.raises(ValueError):
+        write_step(rows, out, "a/b")
 
 
 def test_counted_write(spark, tmp_path):

@@ -70,3 +70,19 @@ def test_fit_depends_on_rows_and_parameters_only(spark):
     assert predictions(rows.repartition(3)) == want
     assert predictions(rows.repartition(11)) == want
     base.unpersist()
+
+
+def test_partitions_follow_the_size_of_the_rows_alone(spark, monkeypatch):
+    from verdigris.operators import partitions as PT
+    from verdigris.operators import train as TR
+    df = spark.range(1000).select(F.col("id").alias("path"), (F.col("id") % 2).cast("double").alias("label_index"),
+                                  array_to_vector(F.array(*[(F.col("id") * k % 7).cast("double") for k in range(8)])).alias("features"))
+    assert PT.partitions_for(df) == PT.partitions_for(df.repartition(9)) == 1 and PT.partitions_for(df.limit(0)) == 1
+    monkeypatch.setattr(PT, "SMALL_PART", 20_000)  # 64,000 bytes
+    assert PT.partitions_for(df) == 4
+    monkeypatch.setattr(PT, "FEW_PARTS", 2)
+    assert PT.partitions_for(df) == 2
+    monkeypatch.setattr(PT, "LARGE_PART", 10_000)
+    assert PT.partitions_for(df) == 7
+    assert PT.keyed_partitions(df).rdd.getNumPartitions() == 7
+    assert TR.fit_preset(TR.NAIVE_BAYES, df).num_partitions == 7

@@ -19,6 +19,7 @@ SWEEP_COUNTS = (2, 4, 8, 16)
 MIN_TRAIN_ROWS = 10
 SKIP_REASON = "Only {n} training rows – too few"
 # -----------------------------------------------------------------------------
+SMALL_PART, FEW_PARTS, LARGE_PART = 16 << 20, 8, 128 << 20  # bytes, partitions, bytes
 
 SWEEP_SCHEMA = T.StructType([
     T.StructField("n_partitions", T.IntegerType(), False),
@@ -33,14 +34,27 @@ SWEEP_SCHEMA = T.StructType([
 ])
 
 
+def partitions_for(df: DataFrame, features_col: str = "features") -> int:
+    """Partitions for training rows, from their size as doubles alone: parts of
+    ``SMALL_PART`` bytes up to ``FEW_PARTS`` of them, then of ``LARGE_PART`` bytes.
+
+    Trees shuffle statistics of all features per partition, so small tables are
+    not cut fine; cores and session settings have no say."""
+    vector = dict(df.dtypes)[features_col] == "vector"
+    width = F.size(vector_to_array(features_col) if vector else F.col(features_col))
+    values = df.agg(F.sum(F.greatest(width, F.lit(0)).cast("long"))).first()[0] or 0
+    parts = lambda size: -(-8 * values // size)
+    return max(1, min(FEW_PARTS, parts(SMALL_PART)), parts(LARGE_PART))
+
+
 def keyed_partitions(df: DataFrame, features_col: str = "features",
                      num_partitions: int | None = None) -> DataFrame:
-    """Rows in ``num_partitions`` partitions (default: the session's
-    ``spark.sql.shuffle.partitions``) by their own values, and in their order.
+    """Rows in ``num_partitions`` partitions (default: ``partitions_for`` them)
+    by their own values, and in their order.
 
     A fit that samples by partition then depends on the rows, the seed and this
     number only: not on cores, caching or how the caller's rows were dealt."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df, features_col)
     vector = dict(df.dtypes)[features_col] == "vector"
     features = vector_to_array(features_col) if vector else F.col(features_col)
     plain = [c for c, t in df.dtypes if t != "vector" and not t.startswith(("array", "map", "struct"))]

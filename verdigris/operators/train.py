@@ -72,6 +72,7 @@ class FitResult:
     name: str
     model: PipelineModel
     train_time_sec: float
+    num_partitions: int | None = None  # that the training rows were dealt into
 
 
 def fit_timed(pipeline: Pipeline, train: DataFrame, name: str = "model") -> FitResult:
@@ -96,10 +97,13 @@ def fit_preset(name: str, train: DataFrame, input_col: str = "features",
     released afterwards."""
     from pyspark import StorageLevel
 
-    from verdigris.operators.partitions import keyed_partitions
+    from verdigris.operators.partitions import keyed_partitions, partitions_for
     clf = classifier(name, label_col=label_col, **overrides)
-    rows = keyed_partitions(train, input_col, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    n = num_partitions or partitions_for(train, input_col)
+    rows = keyed_partitions(train, input_col, n).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return fit_timed(make_pipeline(clf, input_col, scale), rows, name)
+        fit = fit_timed(make_pipeline(clf, input_col, scale), rows, name)
+        fit.num_partitions = n
+        return fit
     finally:
         rows.unpersist()

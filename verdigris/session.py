@@ -63,8 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written table."""
+    return f"{_own_tables(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_tables(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application has written with ``materialize``.
+
+    For the end of a job: results that read them can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -32,10 +33,16 @@ def write_step(df: DataFrame, path: str, step: str | int, column: str = "step",
     """Write one step's rows as their own part of a table, replacing what an
     earlier attempt of the same step left and nothing else.
 
-    A step that failed or was lost can be run again: its rows are there once.
-    Steps are told apart by ``column``, a partition column of the table."""
-    (df.withColumn(column, F.lit(step)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(column, *partition_by).parquet(path))
+    A step that failed or was lost can be run again: its rows are there once, and
+    none of the earlier attempt's if it has none now.  Steps are told apart by
+    ``column``, a partition column of the table; a step's name holds letters,
+    digits, ``_``, ``.`` and ``-``."""
+    if not re.fullmatch(r"[\w.-]+", str(step)):
+        raise ValueError(f"not a name of a step: {step!r}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path.rstrip('/')}/{column}={step}")
 
 
 def write_json_map(df: DataFrame, path: str, key: str = "label_index",
