@@ -402,7 +402,8 @@ def jaccard_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sa
     take = lambda ids: whole.join(ids, same_row(whole, ids)).select("id", "text")
     repeated = materialize(named.join(again, same_row(named, again), "left_semi"), "repeated_members")
     once = materialize(named.join(repeated.select("id"), "id", "left_anti"), "single_members")
-    texts = materialize(take(once).unionByName(take(repeated).dropDuplicates(["id"])), "texts")
+    # one plan at every size: texts are shuffled to their ids, not ids broadcast while they are few
+    texts = materialize(take(once.hint("merge")).unionByName(take(repeated).dropDuplicates(["id"])), "texts")
     links = full.limit(0).select(F.col("rid").alias("a"), F.col("rid").alias("b"))
     if same_id:
         of_id = full.where("doc_id IS NOT NULL").select("doc_id", "n", "f1", "f2").join(classes, ["n", "f1", "f2"]).select("doc_id", "id").distinct()
