@@ -114,3 +114,36 @@ def test_featurize_to_decodes_once_and_keeps_rejects(spark, image_dir, tmp_path)
     labels = {r["label"] for r in feats.collect()}
     assert labels == {"RS_HL", "JR_B", "RS_LB", None}
     assert {len(r["features"]) for r in feats.collect()} == {256}
+
+
+def test_a_batch_leaves_in_runs_of_bounded_size(spark, monkeypatch):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    runs = []
+    frame = type(spark.range(0))
+    keep = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, f, schema: runs.append(f) or keep(self, f, schema))
+    image = F.struct(F.concat(F.lit("v"), "id").alias("origin"), F.lit(2).alias("height"), F.lit(2).alias("width"),
+                     F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.unhex(F.lit("00FF00FF")).alias("data"))
+    df = spark.range(0, 3000, numPartitions=1).select("id", image.alias("image"))
+    PX.image_features(df)
+    PX.resize(df, 1024)
+    n = 700  # at 64 x 64 pixels, 11 MB
+    batch = pd.DataFrame({"id": range(n), "__origin": "v", "__height": 2, "__width": 2, "__nChannels": 1, "__mode": 0,
+                          "__data": [b"\0\xff\0\xff"] * n})
+    parts = list(runs[0](iter([batch, batch.iloc[:0]])))
+    assert [i for p in parts for i in p["id"]] == list(range(n))
+    assert len(parts) == 3 and max(sum(f.nbytes for f in p["features"]) for p in parts) <= PX.OUT_BATCH_BYTES
+    parts = list(runs[1](iter([batch.iloc[:9]])))  # 1 MB each
+    assert [i for p in parts for i in p["id"]] == list(range(9)) and [len(p) for p in parts] == [4, 4, 1]
+
+
+def test_runs_keep_rows_that_are_large_or_have_no_image(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(PX, "OUT_BATCH_BYTES", 10)
+    batch = pd.DataFrame({"__data": [None, b"", b"123", b"x" * 50, b"1", None, b"123456789"]})
+    assert [list(r.index) for r in PX._runs(batch, None, 1)] == [[0, 1, 2], [3, 4, 5], [6]]
+    assert [list(r.index) for r in PX._runs(batch, 11, 4)] == [[i] for i in range(7)]
+    assert list(PX._runs(batch.iloc[:0], None, 1)) == []

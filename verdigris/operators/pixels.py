@@ -30,8 +30,9 @@ CUBIC_A = -0.5
 CUBIC_SUPPORT = 2.0
 BOX_SUPPORT = 0.5
 RESAMPLE_PRECISION_BITS = 22
-# Upper bound for one Arrow batch of pixel rows (decoded photos can be MBs each).
-ARROW_BATCH_BYTES = 64 * 1024 * 1024
+# Output pixels that leave a task at a time: a batch of 10,000 small images makes
+# 160 MB of 64 x 64 features, and several copies of them on the way to Arrow.
+OUT_BATCH_BYTES = 4 * 1024 * 1024
 # OpenCV-style type codes used by the image schema's ``mode`` field.
 MODE_GRAY = 0      # CV_8UC1
 MODE_BGR = 16      # CV_8UC3
@@ -231,13 +232,24 @@ def _images(pdf: pd.DataFrame):
         yield to_array(data, int(h), int(w), int(c))
 
 
-def _map_images(df: DataFrame, image_col: str, per_image, mode: int) -> DataFrame:
-    """Apply ``per_image(ndarray) -> 2-D uint8`` to every image; keep the schema."""
+def _runs(pdf: pd.DataFrame, pixels: int | None, item_bytes: int) -> Iterator[pd.DataFrame]:
+    """The rows of a batch in order, in runs whose output takes about ``OUT_BATCH_BYTES``
+    (at least one row each).  ``pixels`` per row; None: as many as the image has bytes, at most."""
+    ends = np.cumsum([item_bytes * (pixels or len(d or b"")) for d in pdf["__data"]], dtype=np.int64)
+    run = np.maximum(ends - 1, 0) // OUT_BATCH_BYTES
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    for lo, hi in zip(starts, [*starts[1:], len(pdf)]):
+        yield pdf.iloc[lo:hi]
+
+
+def _map_images(df: DataFrame, image_col: str, per_image, mode: int,
+                pixels: int | None = None) -> DataFrame:
+    """Apply ``per_image(ndarray) -> 2-D uint8`` (of ``pixels``) to every image; keep the schema."""
     flat, rest = _flatten(valid_images(df, image_col), image_col)
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in (r for batch in batches for r in _runs(batch, pixels, 1)):
             outs = [per_image(img) for img in _images(pdf)]
             res = pdf[names + ["__origin"]].copy()
             res["__height"] = [o.shape[0] for o in outs]
@@ -265,7 +277,8 @@ def resize(df: DataFrame, size: int | tuple[int, int] = DEFAULT_SIZE, filter: st
            image_col: str = "image") -> DataFrame:
     """Gray (or colour, converted to luma first) images -> ``size`` gray images."""
     oh, ow = (size, size) if isinstance(size, int) else size
-    return _map_images(df, image_col, lambda img: resize_gray(luma(img), oh, ow, filter), MODE_GRAY)
+    return _map_images(df, image_col, lambda img: resize_gray(luma(img), oh, ow, filter), MODE_GRAY,
+                       oh * ow)
 
 
 def flatten_normalise(df: DataFrame, image_col: str = "image",
@@ -301,7 +314,8 @@ def image_features(df: DataFrame, size: int | tuple[int, int] | None = DEFAULT_S
     out_fields.append(T.StructField(out_col, T.ArrayType(T.FloatType(), False), with_rejects))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        pixels = target and target[0] * target[1]
+        for pdf in (r for batch in batches for r in _runs(batch, pixels, 4)):
             res = pdf[names].copy()
             if keep_origin:
                 res[keep_origin] = pdf["__origin"]
