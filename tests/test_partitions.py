@@ -86,3 +86,11 @@ def test_partitions_follow_the_size_of_the_rows_alone(spark, monkeypatch):
     assert PT.partitions_for(df) == 7
     assert PT.keyed_partitions(df).rdd.getNumPartitions() == 7
     assert TR.fit_preset(TR.NAIVE_BAYES, df).num_partitions == 7
+
+
+def test_narrow_training_rows_are_cut_by_their_number(spark):
+    df = spark.range(1_200_000).select("id", array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    assert PT.partitions_for(df.limit(500_000)) == 1 and PT.partitions_for(df) == 3  # 9.6 MB of doubles
+    sizes = PT.partition_profile(PT.keyed_partitions(df)).first()
+    assert sizes["n_partitions"] == 3 and sizes["total_rows"] == 1_200_000
+    assert sizes["max_partition_rows"] <= 1.1 * PT.MOST_ROWS

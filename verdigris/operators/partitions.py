@@ -20,6 +20,7 @@ MIN_TRAIN_ROWS = 10
 SKIP_REASON = "Only {n} training rows – too few"
 # -----------------------------------------------------------------------------
 SMALL_PART, FEW_PARTS, LARGE_PART = 16 << 20, 8, 128 << 20  # bytes, partitions, bytes
+MOST_ROWS = 500_000  # in a partition; a forest of 20 trees caches some 200 bytes a row, however narrow
 
 SWEEP_SCHEMA = T.StructType([
     T.StructField("n_partitions", T.IntegerType(), False),
@@ -36,15 +37,16 @@ SWEEP_SCHEMA = T.StructType([
 
 def partitions_for(df: DataFrame, features_col: str = "features") -> int:
     """Partitions for training rows, from their size as doubles alone: parts of
-    ``SMALL_PART`` bytes up to ``FEW_PARTS`` of them, then of ``LARGE_PART`` bytes.
+    ``SMALL_PART`` bytes up to ``FEW_PARTS`` of them, then of ``LARGE_PART`` bytes,
+    and of ``MOST_ROWS`` rows at most.
 
     Trees shuffle statistics of all features per partition, so small tables are
     not cut fine; cores and session settings have no say."""
     vector = dict(df.dtypes)[features_col] == "vector"
     width = F.size(vector_to_array(features_col) if vector else F.col(features_col))
-    values = df.agg(F.sum(F.greatest(width, F.lit(0)).cast("long"))).first()[0] or 0
+    rows, values = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.greatest(width, F.lit(0)).cast("long")), F.lit(0))).first()
     parts = lambda size: -(-8 * values // size)
-    return max(1, min(FEW_PARTS, parts(SMALL_PART)), parts(LARGE_PART))
+    return max(1, min(FEW_PARTS, parts(SMALL_PART)), parts(LARGE_PART), -(-rows // MOST_ROWS))
 
 
 def keyed_partitions(df: DataFrame, features_col: str = "features",
