@@ -94,3 +94,11 @@ def test_narrow_training_rows_are_cut_by_their_number(spark):
     sizes = PT.partition_profile(PT.keyed_partitions(df)).first()
     assert sizes["n_partitions"] == 3 and sizes["total_rows"] == 1_200_000
     assert sizes["max_partition_rows"] <= 1.1 * PT.MOST_ROWS
+
+
+def test_sweep_after_an_observed_write(spark, tmp_path):
+    from verdigris.sources import write_counted
+    write_counted(spark.range(5).toDF("k"), str(tmp_path / "t"), {"n": F.count(F.lit(1))})
+    train = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2), 1.0])) for i in range(40)], ["label_index", "features"])
+    for pipe in (lambda: LogisticRegression(labelCol="label_index"), lambda: Pipeline(stages=[LogisticRegression(labelCol="label_index")])):
+        assert [r["accuracy"] for r in PT.partition_sweep(train, train, pipe, (2,), warmup=False).collect()] == [1.0]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdigris.operators import evaluate as EV
+from verdigris.operators.train import without_summaries
 
 # --- fixed values ------------------------------------------------------------
 SWEEP_COUNTS = (2, 4, 8, 16)
@@ -147,7 +148,7 @@ def partition_sweep(train: DataFrame, test: DataFrame,
                 model = make_pipeline().fit(tr)
                 times.append(time.perf_counter() - t0)
             times.sort()
-            acc = EV.accuracy(model.transform(te), label_col, "prediction", digits=4).first()[0]
+            acc = EV.accuracy(without_summaries(model, spark).transform(te), label_col, "prediction", digits=4).first()[0]
             records.append((n, train_rows, test_rows, round(times[len(times) // 2], 2),
                             float(acc) if acc is not None else None, False, None,
                             sizes[0], sizes[1]))

@@ -9,14 +9,14 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from verdigris.operators.features import UnitClip, minmax_stage, standard_stage
 
@@ -81,11 +81,15 @@ def fit_timed(pipeline: Pipeline, train: DataFrame, name: str = "model") -> FitR
     t0 = time.perf_counter()
     model = pipeline.fit(train)
     took = round(time.perf_counter() - t0, 2)
-    for stage in model.stages:
+    return FitResult(name, without_summaries(model, train.sparkSession), took)
+
+
+def without_summaries(model: Model, spark: SparkSession) -> Model:
+    for stage in getattr(model, "stages", [model]):
         if getattr(stage, "hasSummary", False):
             # a two-class summary holds the session, which cannot be sent to tasks once a write was observed
-            stage._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
-    return FitResult(name, model, took)
+            stage._java_obj.setSummary(spark._jvm.scala.Option.empty())
+    return model
 
 
 def fit_preset(name: str, train: DataFrame, input_col: str = "features",
